@@ -1,0 +1,34 @@
+"""Joins against dimension-like sides.
+
+A side is broadcast only after its size is *proven* under a bound: ``limit(bound + 1)``
+is counted (each task stops after bound + 1 rows, so the check stays cheap even when the
+side turns out to be large). Beyond the bound the join is left to the optimizer, i.e.
+a shuffle join that AQE may still convert or split for skew at runtime.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A broadcast side is shipped to every executor: 1M narrow dimension rows is a few tens of MB.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_small(
+    left: DataFrame,
+    right: DataFrame,
+    on: str | Sequence[str],
+    how: str = "left",
+    max_rows: int = BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """``left ⋈ right`` with ``right`` broadcast when it is proven to hold ≤ ``max_rows``."""
+    if how in ("left", "left_outer", "inner", "left_semi", "left_anti") and has_at_most(right, max_rows):
+        right = F.broadcast(right)
+    return left.join(right, on, how)
