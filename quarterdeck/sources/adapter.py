@@ -58,9 +58,33 @@ DRIVER_TABLES = (
 ).split()
 
 
+# Fact tables: their scans carry the per-row work of every query.
+FACT_TABLES = ("lineitem", "events")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_utc(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_scan(df) if name in FACT_TABLES else df
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Round-robin a fact scan that yields fewer input splits than the cluster has cores.
+
+    A file written as one big row group is read by one task, which would then run every
+    fused per-row step alone. On real data (many files / row groups) the scan already has
+    at least as many splits as cores and nothing is added; the check is planning-only.
+    """
+    cores = spark_cores(df.sparkSession)
+    if df.rdd.getNumPartitions() < cores:
+        # hash on the first column: deterministic under task retries without the sort a
+        # round-robin repartition needs for that
+        return df.repartition(cores, df.columns[0])
+    return df
+
+
+def spark_cores(spark: SparkSession) -> int:
+    return int(spark.sparkContext.defaultParallelism)
 
 
 def _ts(c: str) -> Column:
@@ -111,19 +135,26 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(F.broadcast(geo), F.col("s_nationkey") == geo.n_nationkey)
     )
 
-    gross = _dec("l_extendedprice")
-    discount = F.round(gross * _dec("l_discount", 4, 2), 2)
-    tax = F.round((gross - discount) * _dec("l_tax", 4, 2), 2)
-    order_ts = _ts("o_orderdate")
+    # Money in exact 64-bit cents: discount = round_half_up(gross × rate), tax likewise on
+    # (gross − discount); rates have two decimals, so every step is an integer operation.
+    gross_c = F.round(F.col("l_extendedprice") * 100).cast("long")
+    disc_rate = F.round(F.col("l_discount") * 100).cast("long")
+    tax_rate = F.round(F.col("l_tax") * 100).cast("long")
+    discount_c = F.floor((gross_c * disc_rate + 50) / 100)
+    tax_c = F.floor(((gross_c - discount_c) * tax_rate + 50) / 100)
+    order_date = F.col("o_orderdate").cast("date")
+    ship_date = F.col("l_shipdate").cast("date")
     time_of_day = F.lit(TRADING_DAY_START_SECONDS) + (
         F.col("o_orderkey") * TIME_OF_DAY_MULTIPLIER
     ) % F.lit(TRADING_DAY_LENGTH_SECONDS)
+    # zone-free arithmetic on the driver's TIMESTAMP_NTZ values, one cast to UTC at the end
+    completed = F.col("o_orderdate") + F.make_dt_interval(secs=time_of_day)
     ship_ts = _ts("l_shipdate")
     is_json = F.col("r_name") == NEW_UNIT_REGION
     d = F.col("l_discount")
 
     return joined.select(
-        F.to_date(order_ts).alias("business_date"),
+        order_date.alias("business_date"),
         F.col("n_name").alias("country_code"),
         location_id_expr(F.col("n_nationkey")).alias("location_id"),
         F.concat(F.col("n_name"), F.lit(" Terminal")).alias("location_name"),
@@ -133,15 +164,15 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(
             F.lit("T"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")
         ).alias("transaction_line_id"),
-        F.timestamp_seconds(F.unix_seconds(order_ts) + time_of_day).alias("transaction_completed_ts"),
+        completed.cast("timestamp").alias("transaction_completed_ts"),
         product_id_expr(F.col("l_partkey")).alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("product_category"),
         (F.col("l_linestatus") == "O").alias("is_combo"),
         F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("gross_sales"),
-        discount.cast("double").alias("discount_amount"),
-        tax.cast("double").alias("tax_amount"),
+        (discount_c / 100).alias("discount_amount"),
+        (tax_c / 100).alias("tax_amount"),
         F.when(d == 0, "NONE")
         .when(d < 0.03, "LOYALTY")
         .when(d < 0.06, "STAFF")
@@ -155,11 +186,11 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("line_status"),
         (F.col("p_size") > 3).alias("is_priced_product"),
         ((F.col("p_type") == "ECONOMY") & (F.col("p_size") <= 10)).alias("is_kitchen_instruction"),
-        F.datediff(ship_ts, order_ts).cast("long").alias("source_sequence"),
+        F.datediff(ship_date, order_date).cast("long").alias("source_sequence"),
         ship_ts.alias("source_update_ts"),
         (ship_ts + F.expr("INTERVAL 2 HOURS")).alias("extraction_ts"),
         F.when(is_json, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("pos_extract_"), F.date_format(ship_ts, "yyyyMMdd"), F.lit(".csv")))
+        .otherwise(F.concat(F.lit("pos_extract_"), F.translate(ship_date.cast("string"), "-", ""), F.lit(".csv")))
         .alias("source_file_name"),
         F.when(is_json, ROUTE_JSON).otherwise(ROUTE_DB).alias("_source_ingestion_route"),
     )
@@ -288,35 +319,26 @@ def country_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _daily_unit_gross(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gross sales per (business date, unit), pre-aggregated before any join."""
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_extendedprice")
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return (
-        li.join(orders, li.l_orderkey == orders.o_orderkey)
-        .groupBy(F.to_date(_ts("o_orderdate")).alias("business_date"), F.col("l_suppkey"))
-        .agg(F.sum(_dec("l_extendedprice")).cast("decimal(18,2)").alias("gross"))
-        .select("business_date", unit_id_expr(F.col("l_suppkey")).alias("unit_id"), "gross")
+def _daily_unit_gross_cents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gross sales cents per (business date, unit), from the same sales-line plan the
+    queries use (its scan and exchanges are reused, not recomputed)."""
+    lines = sales_lines(spark, sf_dir)
+    return lines.groupBy("business_date", "unit_id").agg(
+        F.sum(F.round(F.col("gross_sales") * 100).cast("long")).alias("gross_c")
     )
 
 
+def _scaled(cents_col: str, factor: str) -> Column:
+    """cents × factor (two decimals), rounded half up to a cent, as a double amount."""
+    basis = int(round(float(factor) * 100))
+    return F.floor((F.col(cents_col) * basis + 50) / 100) / 100
+
+
 def daily_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = _daily_unit_gross(spark, sf_dir).filter(F.dayofmonth("business_date") <= BUDGET_LAST_DAY)
-    return g.select(
-        "business_date",
-        "unit_id",
-        F.round(F.col("gross") * F.lit(BUDGET_FACTOR).cast("decimal(4,2)"), 2)
-        .cast("double")
-        .alias("daily_budget_net_sales"),
-    )
+    g = _daily_unit_gross_cents(spark, sf_dir).filter(F.dayofmonth("business_date") <= BUDGET_LAST_DAY)
+    return g.select("business_date", "unit_id", _scaled("gross_c", BUDGET_FACTOR).alias("daily_budget_net_sales"))
 
 
 def daily_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = _daily_unit_gross(spark, sf_dir).filter(F.dayofmonth("business_date") >= FORECAST_FIRST_DAY)
-    return g.select(
-        "business_date",
-        "unit_id",
-        F.round(F.col("gross") * F.lit(FORECAST_FACTOR).cast("decimal(4,2)"), 2)
-        .cast("double")
-        .alias("forecast_net_sales"),
-    )
+    g = _daily_unit_gross_cents(spark, sf_dir).filter(F.dayofmonth("business_date") >= FORECAST_FIRST_DAY)
+    return g.select("business_date", "unit_id", _scaled("gross_c", FORECAST_FACTOR).alias("forecast_net_sales"))

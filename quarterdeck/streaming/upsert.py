@@ -1,10 +1,11 @@
 """Keyed current-state tables on plain parquet: a ``foreachBatch`` upsert (SCD type 1).
 
-The table is partitioned by ``business_date``, which is part of the key, so a key never
-moves between partitions. For each micro-batch:
+The table is partitioned by ``business_date`` (part of the key) or by a coarser value
+derived from it (``partition_expr``, e.g. the month), so a key never moves between
+partitions. For each micro-batch:
 
 1. rows with a null key part go to quarantine;
-2. the touched dates of the batch are found (a distinct over one column, bounded by the
+2. the touched partitions of the batch are found (one aggregate; a set bounded by the
    calendar, not by the data);
 3. the stored rows of those dates (partition pruning) are unioned with the batch and
    reduced to the newest version per key (the same total order as batch dedupe);
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterdeck.operators.dedupe import latest_per_key
@@ -54,6 +55,7 @@ class Scd1Upsert:
         order: Sequence[str] = SEQUENCE_COLS,
         tiebreak: Sequence[str] | None = None,
         partition_col: str = "business_date",
+        partition_expr: Column | None = None,
         quarantine: str | None = None,
         prepare: Callable[[DataFrame], DataFrame] | None = None,
     ) -> None:
@@ -62,6 +64,7 @@ class Scd1Upsert:
         self.order = list(order)
         self.tiebreak = list(tiebreak) if tiebreak is not None else None
         self.partition_col = partition_col
+        self.partition_expr = partition_expr
         self.quarantine = quarantine or f"{self.target}_quarantine"
         self.prepare = prepare
         self.staging = f"{self.target}/_staging"
@@ -75,19 +78,26 @@ class Scd1Upsert:
 
     def _stage(self, spark: SparkSession, batch: DataFrame, stage: str) -> None:
         rows = _typed(batch if self.prepare is None else self.prepare(batch))
+        if self.partition_expr is not None:
+            rows = rows.withColumn(self.partition_col, self.partition_expr)
         null_key = F.lit(False)
         for k in self.keys:
             null_key = null_key | F.col(k).isNull()
-        rows = rows.persist()  # the batch is read by the quarantine, the dates and the merge
+        rows = rows.persist()  # the batch is read by the check, the quarantine and the merge
         try:
-            rows.filter(null_key).write.mode("append").parquet(self.quarantine)
+            stats = rows.agg(
+                F.count_if(null_key).alias("null_keys"),
+                F.collect_set(F.when(~null_key, F.col(self.partition_col))).alias("touched"),
+            ).first()
+            if stats["null_keys"]:
+                rows.filter(null_key).write.mode("append").parquet(self.quarantine)
             good = rows.filter(~null_key)
-            touched = [r[0] for r in good.select(self.partition_col).distinct().collect()]
+            touched = list(stats["touched"])
             if not touched:
                 good.limit(0).write.mode("overwrite").parquet(stage)
                 return
             merged = good
-            if path_exists(spark, f"{self.target}/_SUCCESS") or self._has_data(spark):
+            if self._has_data(spark):
                 stored = spark.read.parquet(self.target).filter(F.col(self.partition_col).isin(touched))
                 merged = good.unionByName(stored.select(*good.columns), allowMissingColumns=False)
             newest = latest_per_key(merged, self.keys, self.order, self.tiebreak)
@@ -104,7 +114,9 @@ class Scd1Upsert:
         )
 
     def _swap(self, spark: SparkSession, stage: str) -> None:
-        staged = spark.read.parquet(stage)
+        # REBALANCE lets AQE size the write tasks: small partitions are coalesced into one
+        # file, a hot date is split over several tasks instead of one.
+        staged = spark.read.parquet(stage).hint("rebalance", self.partition_col)
         (
             staged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
