@@ -1,5 +1,8 @@
 """Data-quality expectations: named SQL predicates; failing rows are kept and flagged.
 
+Predicates over Bronze read raw text columns, so numeric checks ``try_cast`` first (an
+unparseable amount fails the rule instead of failing the job under ANSI mode).
+
 ``with_dq_flags`` adds ``_dq_failed_rules``; ``dq_metrics`` counts failures of every rule in
 one aggregate pass (map-side partial counts, one tiny shuffle); ``quarantine_split`` routes
 flagged rows. A predicate that evaluates to NULL counts as failed.
@@ -20,11 +23,13 @@ LANDING_JSON_RULES = {
 BRONZE_SALES_RULES = {
     "transaction_id_is_present": "transaction_id IS NOT NULL",
     "business_date_is_present": "business_date IS NOT NULL",
-    "gross_sales_is_not_negative_for_completed_lines": "line_status <> 'completed' OR gross_sales >= 0",
+    "gross_sales_is_not_negative_for_completed_lines": (
+        "line_status <> 'completed' OR try_cast(gross_sales AS DOUBLE) >= 0"
+    ),
 }
 BRONZE_ENERGY_RULES = {
     "unit_id_is_present": "unit_id IS NOT NULL",
-    "running_cost_is_non_negative": "estimated_running_cost >= 0",
+    "running_cost_is_non_negative": "try_cast(estimated_running_cost AS DOUBLE) >= 0",
 }
 SILVER_BUSINESS_RULES = {
     "valid_net_sales": "net_sales IS NOT NULL",

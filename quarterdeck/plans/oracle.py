@@ -329,7 +329,7 @@ owners(rule_name, technical_owner, functional_owner) AS (VALUES
 BRONZE_FLAGS = """
 CASE WHEN NOT coalesce(transaction_id IS NOT NULL, false) THEN 'transaction_id_is_present' END,
 CASE WHEN NOT coalesce(business_date IS NOT NULL, false) THEN 'business_date_is_present' END,
-CASE WHEN NOT coalesce(line_status <> 'completed' OR gross_sales >= 0, false)
+CASE WHEN NOT coalesce(line_status <> 'completed' OR TRY_CAST(gross_sales AS DOUBLE) >= 0, false)
      THEN 'gross_sales_is_not_negative_for_completed_lines' END"""
 
 SILVER_FLAGS = """

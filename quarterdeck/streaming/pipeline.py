@@ -45,6 +45,16 @@ class LakeLayout:
     lake: str  # output tables
     checkpoints: str
     max_files_per_trigger: int | None = None
+    # Partition grain of the keyed sales tables: "day" (business_date) at production volume;
+    # "month" (derived from business_date, so keys still never move) for sparse history.
+    date_grain: str = "day"
+
+    def partitioning(self):
+        if self.date_grain == "day":
+            return PARTITION, None
+        if self.date_grain == "month":
+            return "business_month", F.trunc(F.col(PARTITION), "month")
+        raise ValueError(f"unknown date_grain {self.date_grain!r}")
 
     def table(self, name: str) -> str:
         return f"{self.lake.rstrip('/')}/{name}"
@@ -134,18 +144,28 @@ class SilverSalesUpsert(Scd1Upsert):
     analytics table for the same touched dates (dimension lookups as of this batch)."""
 
     def __init__(self, layout: LakeLayout, tiebreak=None) -> None:
-        super().__init__(layout.table("silver_sales_line_items_deduped"), tiebreak=tiebreak)
+        col, expr = layout.partitioning()
+        super().__init__(
+            layout.table("silver_sales_line_items_deduped"),
+            tiebreak=tiebreak,
+            partition_col=col,
+            partition_expr=expr,
+        )
         self.layout = layout
 
+    def _with_partition(self, df: DataFrame) -> DataFrame:
+        return df if self.partition_expr is None else df.withColumn(self.partition_col, self.partition_expr)
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        touched = [r[0] for r in batch.select(PARTITION).distinct().dropna().collect()]
+        pc = self.partition_col
+        touched = [r[0] for r in self._with_partition(batch).select(pc).distinct().dropna().collect()]
         super().__call__(batch, batch_id)
         if not touched:
             return
-        deduped = spark.read.parquet(self.target).filter(F.col(PARTITION).isin(touched))
+        deduped = spark.read.parquet(self.target).filter(F.col(pc).isin(touched))
         business = deduped.transform(apply_sales_business_rules)
-        _overwrite_partitions(business, self.layout.table("silver_sales_line_items_business"))
+        _overwrite_partitions(business, self.layout.table("silver_sales_line_items_business"), pc)
         dims_ready = all(
             path_exists(spark, self.layout.table(t))
             for t in ("silver_dim_unit", "silver_dim_product", "silver_daily_budget_forecast")
@@ -153,22 +173,26 @@ class SilverSalesUpsert(Scd1Upsert):
         if dims_ready:
             analytics = products.transactional_from_silver(
                 spark.read.parquet(self.layout.table("silver_sales_line_items_business")).filter(
-                    F.col(PARTITION).isin(touched)
+                    F.col(pc).isin(touched)
                 ),
                 spark.read.parquet(self.layout.table("silver_dim_unit")),
                 spark.read.parquet(self.layout.table("silver_dim_product")),
                 spark.read.parquet(self.layout.table("silver_daily_budget_forecast")),
                 with_versions=True,
             )
-            _overwrite_partitions(analytics, self.layout.table("analytics_sales_transactional"))
+            _overwrite_partitions(
+                self._with_partition(analytics), self.layout.table("analytics_sales_transactional"), pc
+            )
 
 
-def _overwrite_partitions(df: DataFrame, path: str) -> None:
+def _overwrite_partitions(df: DataFrame, path: str, partition_col: str = PARTITION) -> None:
+    """Replace only the partitions present in ``df``; REBALANCE lets AQE size the files
+    (small partitions coalesced, a hot date split over several writers)."""
     (
-        df.hint("rebalance", PARTITION)
+        df.hint("rebalance", partition_col)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION)
+        .partitionBy(partition_col)
         .parquet(path)
     )
 
@@ -262,7 +286,9 @@ def run_gold(spark: SparkSession, layout: LakeLayout) -> None:
     if path_exists(spark, energy_path):
         energy = spark.read.parquet(energy_path)
         gold = products.unit_15_min_profitability(silver, energy)
-        files.write_overwrite_table(gold, layout.table("gold_unit_quarter_hour_sales"), [PARTITION])
+        col, expr = layout.partitioning()
+        gold = gold if expr is None else gold.withColumn(col, expr)
+        files.write_overwrite_table(gold.hint("rebalance", col), layout.table("gold_unit_quarter_hour_sales"), [col])
 
 
 def run_pipeline(spark: SparkSession, layout: LakeLayout, tiebreak=None) -> None:
