@@ -187,3 +187,15 @@ def read_master_entity(spark: SparkSession, base: str, entity: str, folder: str
             "_ingested_at": F.current_timestamp(),
         }
     )
+
+
+def append_run_audit(audit: DataFrame, path: str) -> None:
+    """Append one run's audit rows (success and failure alike) to the audit table."""
+    audit.coalesce(1).write.mode("append").parquet(path)
+
+
+def source_counts_from_audit(audit: DataFrame, control: DataFrame) -> DataFrame:
+    """Rows the source reported per entity and run, for reconciliation against Bronze."""
+    return audit.join(F.broadcast(control.select("ingestion_id", "target_entity")), "ingestion_id").select(
+        "target_entity", "pipeline_run_id", F.col("rows_read").alias("source_rows")
+    )

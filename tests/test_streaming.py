@@ -120,3 +120,33 @@ def test_pipeline_end_to_end_matches_batch(spark, tmp_dir):
     after = sorted(spark.read.parquet(layout.table("silver_sales_line_items_business")).select(*cols).collect())
     assert before == after
     assert glob.glob(f"{layout.lake}/silver_energy_15_minute_cost/reading_date=*")
+
+
+def test_watermarked_energy_aggregate_drops_only_too_late_readings(spark, tmp_dir):
+    import datetime as dt
+    import time
+
+    from quarterdeck.streaming.energy import energy_cost_windowed
+
+    schema = "unit_id string, quarter_hour_start_ts timestamp, kwh_consumed double, estimated_running_cost double"
+    src = f"{tmp_dir}/energy"
+    t = lambda h, m: dt.datetime(2026, 1, 1, h, m)
+    # A batch filters late rows with the watermark of the batch before it, so the late
+    # reading comes two batches after the 13:00 reading that moved the watermark to 12:00.
+    batches = [
+        [("U1", t(10, 1), 1.0, 0.5), ("U1", t(10, 14), 1.0, 0.5)],
+        [("U1", t(13, 0), 1.0, 0.5)],
+        [("U1", t(13, 30), 1.0, 0.5)],
+        [("U1", t(10, 5), 9.0, 9.0), ("U1", t(16, 0), 1.0, 0.5)],  # 10:05 arrives 3 h late
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)  # distinct modification times keep the arrival order
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (energy_cost_windowed(stream, "1 hour").writeStream.outputMode("append").format("memory")
+         .queryName("energy_wm_test").option("checkpointLocation", f"{tmp_dir}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = {r.quarter_hour_start_ts: r.estimated_running_cost for r in spark.table("energy_wm_test").collect()}
+    assert rows[t(10, 0)] == 1.0  # the late reading did not reach the emitted 10:00 bucket
+    assert rows[t(13, 0)] == 0.5
