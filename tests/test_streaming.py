@@ -150,3 +150,27 @@ def test_watermarked_energy_aggregate_drops_only_too_late_readings(spark, tmp_di
     rows = {r.quarter_hour_start_ts: r.estimated_running_cost for r in spark.table("energy_wm_test").collect()}
     assert rows[t(10, 0)] == 1.0  # the late reading did not reach the emitted 10:00 bucket
     assert rows[t(13, 0)] == 0.5
+
+
+def test_generated_delivery_through_pipeline(spark, tmp_dir):
+    from quarterdeck.sources import synthetic as S
+
+    paths = S.write_landing(spark, tmp_dir, days=2, countries=6)
+    lines = spark.read.schema(__import__("quarterdeck.schemas", fromlist=["SALES_RAW"]).SALES_RAW).option("header", True).csv(paths["landing"] + "/sales_line_items")
+    assert lines.count() > 0
+    layout = LakeLayout(landing=paths["landing"], new_unit_json=paths["new_unit_json"], master=paths["master"],
+                        lake=f"{tmp_dir}/lake", checkpoints=f"{tmp_dir}/ckpt")
+    run_pipeline(spark, layout)
+    silver = spark.read.parquet(layout.table("silver_sales_line_items_business"))
+    bronze = spark.read.parquet(layout.table("bronze_sales_line_items_unified"))
+    keys = ["business_date", "transaction_id", "transaction_line_id"]
+    assert silver.count() == bronze.select(*keys).distinct().count()
+    assert silver.filter("source_sequence = 2").count() == bronze.filter("source_sequence = 2").count() > 0
+    assert silver.groupBy(*keys).count().filter("count > 1").count() == 0
+    kitchen = silver.filter("is_kitchen_instruction").agg(F.sum("enhanced_quantity")).first()[0]
+    assert not kitchen
+    assert spark.read.parquet(layout.table("gold_unit_quarter_hour_sales")).count() > 0
+    dims = spark.read.parquet(layout.table("silver_dim_product"))
+    assert dims.filter("product_id = 'P004'").first().product_category == "Meal Deal"
+    inv = S.gen_inventory(spark, S.gen_units(spark, 6), days=2)
+    assert inv.count() == 2 * 12 * 7
