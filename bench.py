@@ -44,8 +44,10 @@ HEADLINE = [
     "recon_gold_silver",
     "missing_countries",
     "latest_master_snapshot",
-    "scd1_stream",
 ]
+# Streaming replay (land Bronze as files, three micro-batches through the staged upsert):
+# mostly file I/O by design, reported on its own line item, not in the analytics total.
+STREAMING = ["scd1_stream"]
 
 
 def run_once(spark, name: str, sf_dir: str) -> float:
@@ -58,13 +60,14 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
-    names = [n for n in (sys.argv[1:] or HEADLINE) if n in QUERIES]
+    names = [n for n in (sys.argv[1:] or HEADLINE) if n in QUERIES and n not in STREAMING]
+    streams = [n for n in (sys.argv[1:] or STREAMING) if n in STREAMING]
     spark = build_session(f"local[{cpus}]", app_name="quarterdeck-bench", shuffle_partitions=int(cpus))
     run_once(spark, "atv", sf_dir)  # warm-up
     times = {}
     for name in names:
-        reps = 1 if name == "scd1_stream" else repeats
-        times[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(reps)), 3)
+        times[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(repeats)), 3)
+    stream_times = {name: round(run_once(spark, name, sf_dir), 3) for name in streams}
     spark.stop()
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(
@@ -74,6 +77,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "streaming": stream_times,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
             }
         )

@@ -265,9 +265,9 @@ dim_product AS (
 
 BUDGET = """
 daily_gross AS (
-  SELECT CAST(o_orderdate AS DATE) AS business_date, 'U' || CAST(l_suppkey AS VARCHAR) AS unit_id,
+  SELECT CAST(l_shipdate AS DATE) AS business_date, 'U' || CAST(l_suppkey AS VARCHAR) AS unit_id,
     CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS gross
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2
+  FROM lineitem GROUP BY 1, 2
 ),
 budget AS (
   SELECT business_date, unit_id,
