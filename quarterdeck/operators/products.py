@@ -166,6 +166,20 @@ def top_discounts(strategy: DataFrame, k: int = 10) -> DataFrame:
     return strategy.orderBy(*order).limit(k)
 
 
+def order_discount_report(strategy: DataFrame) -> DataFrame:
+    """Presentation order of the discount report: net sales, then transactions, descending
+    (keys break ties). A global sort is a range-partitioned shuffle: apply it only where a
+    consumer reads rows in order (exports, top-k); products stay unordered otherwise."""
+    return strategy.orderBy(
+        F.col("net_sales").desc(), F.col("transaction_count").desc(), *[F.col(c).asc_nulls_first() for c in DISCOUNT_KEYS]
+    )
+
+
+def order_combo_report(combo: DataFrame) -> DataFrame:
+    """Presentation order of the combo report: most combo units first."""
+    return combo.orderBy(F.col("combo_units").desc_nulls_last(), "product_id", "product_name")
+
+
 def combo_price_variance(sales: DataFrame) -> DataFrame:
     """Average realised unit price of each product inside combos vs sold alone.
 

@@ -153,3 +153,17 @@ def test_reconciliations(spark):
     bronze = spark.createDataFrame([(D, "k1"), (D, "k1"), (D, "k2")], "business_date date, k string")
     r2 = recon.bronze_silver_dropped(bronze, bronze.dropDuplicates(["k"]), ["k"]).first()
     assert (r2.bronze_rows, r2.silver_rows, r2.dropped_rows) == (3, 2, 1)
+
+
+def test_report_orders(spark):
+    df = _discount_rows(spark, [
+        ("GB", "L", "U1", "PROMO", "A", "C", 10.0, 1.0, 9.0, "T1"),
+        ("GB", "L", "U2", "PROMO", "A", "C", 30.0, 1.0, 29.0, "T2"),
+        ("GB", "L", "U3", "PROMO", "A", "C", 30.0, 1.0, 29.0, "T3"),
+        ("GB", "L", "U3", "PROMO", "A", "C", 0.0, 0.0, 0.0, "T4"),
+    ])
+    ordered = [r.unit_id for r in products.order_discount_report(products.discount_strategy(df)).collect()]
+    assert ordered == ["U3", "U2", "U1"]
+    combo = spark.createDataFrame([("P1", "a", 1.0), ("P2", "b", 5.0), ("P3", "c", None)],
+                                  "product_id string, product_name string, combo_units double")
+    assert [r.product_id for r in products.order_combo_report(combo).collect()] == ["P2", "P1", "P3"]
