@@ -29,6 +29,9 @@ def join_small(
     max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """``left ⋈ right`` with ``right`` broadcast when it is proven to hold ≤ ``max_rows``."""
-    if how in ("left", "left_outer", "inner", "left_semi", "left_anti") and has_at_most(right, max_rows):
+    keys = [on] if isinstance(on, str) else list(on)
+    # a projection has the side's row count: counting only the keys proves the same bound
+    # while column pruning drops everything else from the check
+    if how in ("left", "left_outer", "inner", "left_semi", "left_anti") and has_at_most(right.select(*keys), max_rows):
         right = F.broadcast(right)
     return left.join(right, on, how)

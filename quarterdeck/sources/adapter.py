@@ -338,11 +338,25 @@ def _scaled(cents_col: str, factor: str) -> Column:
     return F.floor((F.col(cents_col) * basis + 50) / 100) / 100
 
 
+def _daily_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Budget and forecast from one aggregate. Each figure is gated by a condition on the
+    aggregated value, so the row filters below cannot be pushed under the aggregate: both
+    consumers keep the same aggregate subtree and its exchange is reused (one scan)."""
+    g = _daily_unit_gross_cents(spark, sf_dir)
+    day = F.dayofmonth("business_date")
+    return g.select(
+        "business_date",
+        "unit_id",
+        F.when(day <= BUDGET_LAST_DAY, _scaled("gross_c", BUDGET_FACTOR)).alias("daily_budget_net_sales"),
+        F.when(day >= FORECAST_FIRST_DAY, _scaled("gross_c", FORECAST_FACTOR)).alias("forecast_net_sales"),
+    )
+
+
 def daily_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = _daily_unit_gross_cents(spark, sf_dir).filter(F.dayofmonth("business_date") <= BUDGET_LAST_DAY)
-    return g.select("business_date", "unit_id", _scaled("gross_c", BUDGET_FACTOR).alias("daily_budget_net_sales"))
+    p = _daily_plans(spark, sf_dir)
+    return p.filter(F.col("daily_budget_net_sales").isNotNull()).select("business_date", "unit_id", "daily_budget_net_sales")
 
 
 def daily_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = _daily_unit_gross_cents(spark, sf_dir).filter(F.dayofmonth("business_date") >= FORECAST_FIRST_DAY)
-    return g.select("business_date", "unit_id", _scaled("gross_c", FORECAST_FACTOR).alias("forecast_net_sales"))
+    p = _daily_plans(spark, sf_dir)
+    return p.filter(F.col("forecast_net_sales").isNotNull()).select("business_date", "unit_id", "forecast_net_sales")
