@@ -60,7 +60,7 @@ bronze AS (
     l.l_shipdate + INTERVAL 2 HOUR AS extraction_ts,
     CASE WHEN r.r_name = 'MIDDLE EAST' THEN NULL
          ELSE 'pos_extract_' || strftime(l.l_shipdate, '%Y%m%d') || '.csv' END AS source_file_name,
-    CASE WHEN r.r_name = 'MIDDLE EAST' THEN 'adls_json_new_unit' ELSE 'adf_oracle_shir' END
+    CASE WHEN r.r_name = 'MIDDLE EAST' THEN 'new_unit_json_files' ELSE 'pos_db_extract' END
       AS _source_ingestion_route
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey

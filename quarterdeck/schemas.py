@@ -166,9 +166,9 @@ RUN_AUDIT = T.StructType(
 
 MASTER_CONTROL = T.StructType(
     [
-        T.StructField("sharepoint_ingestion_id", T.LongType()),
-        *_s("source_system", "sharepoint_site_url", "sharepoint_folder_path", "sharepoint_file_name"),
-        *_s("file_format", "worksheet_name", "entity_name", "keyvault_linked_service"),
+        T.StructField("master_ingestion_id", T.LongType()),
+        *_s("source_system", "source_site_url", "source_folder_path", "source_file_name"),
+        *_s("file_format", "worksheet_name", "entity_name", "secret_store_service"),
         *_s("app_id_secret_name", "app_secret_secret_name", "tenant_id_secret_name"),
         *_s("target_container", "target_base_folder"),
         T.StructField("remove_spaces_from_folder", T.BooleanType()),

@@ -27,8 +27,8 @@ TRADING_DAY_START_SECONDS = 5 * 3600  # first sale 05:00
 TRADING_DAY_LENGTH_SECONDS = 18 * 3600  # last sale before 23:00
 TIME_OF_DAY_MULTIPLIER = 7919
 NEW_UNIT_REGION = "MIDDLE EAST"  # units onboarded through the JSON route
-ROUTE_JSON = "adls_json_new_unit"
-ROUTE_DB = "adf_oracle_shir"
+ROUTE_JSON = "new_unit_json_files"
+ROUTE_DB = "pos_db_extract"
 EVENT_UNITS = 10  # events: unit = user_id mod 10
 ENERGY_UNIT_RATE = "0.20"  # currency per kWh
 BUDGET_FACTOR = "1.05"

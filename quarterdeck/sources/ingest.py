@@ -199,3 +199,34 @@ def source_counts_from_audit(audit: DataFrame, control: DataFrame) -> DataFrame:
     return audit.join(F.broadcast(control.select("ingestion_id", "target_entity")), "ingestion_id").select(
         "target_entity", "pipeline_run_id", F.col("rows_read").alias("source_rows")
     )
+
+
+def run_master_ingestion(
+    spark: SparkSession,
+    master_control: DataFrame,
+    source_base: str,
+    target_base: str,
+    stamp: str | None = None,
+    parallelism: int = DEFAULT_PARALLELISM,
+) -> DataFrame:
+    """Copy every active business master file (one control row each) into
+    ``{target_base}/{normalised folder}/{entity}/{entity}_{stamp}``.
+
+    The control table is configuration (one row per master file); each copy is its own job.
+    Returns one row per file: entity, target path, status, error.
+    """
+    stamp = stamp or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S")
+    rows = active_control_rows(master_control).collect()
+
+    def copy(row: Row):
+        src = f"{source_base.rstrip('/')}/{row['source_file_name']}"
+        try:
+            folder = row["target_base_folder"] + "/" + row["source_folder_path"].rsplit("/", 1)[-1]
+            path = master_file_to_parquet(spark, src, target_base, folder, row["entity_name"], stamp)
+            return (row["entity_name"], path, STATUS_OK, None)
+        except Exception as exc:
+            return (row["entity_name"], None, STATUS_FAILED, str(exc)[:4000])
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        results = list(pool.map(copy, rows))
+    return spark.createDataFrame(results, "entity_name string, target_path string, status string, error_message string")

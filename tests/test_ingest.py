@@ -85,3 +85,34 @@ def test_incremental_run_audit_watermark_and_recon(spark, tmp_dir):
     # R5: the broken object never succeeded; the others are fresh
     late = recon.load_delays(all_audit, F.lit(NOW + dt.timedelta(hours=5)).cast("timestamp"), max_hours=6).collect()
     assert {r.ingestion_id for r in late} == {1, 2} and not any(r.is_delayed for r in late)
+
+
+def test_master_ingestion_lands_stamped_loads_and_snapshot_picks_newest(spark, tmp_dir):
+    from quarterdeck.schemas import MASTER_CONTROL
+    from quarterdeck.sources import adapter as A
+    from quarterdeck.sources.files import read_master_parquet
+    from quarterdeck.sources.ingest import run_master_ingestion
+    from quarterdeck.operators.dedupe import latest_master_snapshot
+
+    src = f"{tmp_dir}/src"
+    A.unit_mapping_override(spark, SMOKE_DIR).coalesce(1).write.option("header", True).csv(f"{src}/unit_mapping_override.csv")
+    A.product_exclusions(spark, SMOKE_DIR).coalesce(1).write.option("header", True).csv(f"{src}/product_exclusions.csv")
+    rows = [
+        (1, "site", "https://example.org/sites/masters", "Shared Documents/Unit Mapping Override", "unit_mapping_override.csv",
+         "csv", None, "unitmappingoverride", "vault", "a", "b", "c", "landing", "master files", True, "parquet", "full", True, NOW, NOW),
+        (2, "site", "https://example.org/sites/masters", "Shared Documents/Product Exclusions", "product_exclusions.csv",
+         "csv", None, "productexclusions", "vault", "a", "b", "c", "landing", "master files", True, "parquet", "full", True, NOW, NOW),
+        (3, "site", "https://example.org/sites/masters", "Shared Documents/Missing", "missing.csv",
+         "csv", None, "forecast", "vault", "a", "b", "c", "landing", "master files", True, "parquet", "full", False, NOW, NOW),
+    ]
+    control = spark.createDataFrame(rows, MASTER_CONTROL)
+    target = f"{tmp_dir}/master"
+    first = {r.entity_name: r for r in run_master_ingestion(spark, control, src, target, stamp="20260101020000").collect()}
+    assert set(first) == {"unitmappingoverride", "productexclusions"}
+    assert first["unitmappingoverride"].target_path.endswith("/masterfiles_unitmappingoverride/unitmappingoverride/unitmappingoverride_20260101020000")
+    run_master_ingestion(spark, control, src, target, stamp="20260102020000")
+    loads = read_master_parquet(spark, target, "productexclusions")
+    n = A.product_exclusions(spark, SMOKE_DIR).count()
+    assert n > 0 and loads.count() == 2 * n
+    snap = latest_master_snapshot(loads, ["product_id"])
+    assert snap.count() == n and {r._file_stamp for r in snap.collect()} == {"20260102020000"}

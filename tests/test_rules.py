@@ -106,8 +106,8 @@ def test_folder_name_null_raises(spark):
 
 
 def test_target_path(spark):
-    base = "abfss://landing@account.dfs.core.windows.net/sharepoint/"
+    base = "s3a://lake/landing/masters/"
     df = spark.createDataFrame([(base, "Product Hierarchy Corrections", "Product Corrections")], "b string, f string, e string")
     path = df.select(build_target_path("b", "f", "e").alias("p")).first().p
-    assert path.endswith("/sharepoint/producthierarchycorrections/productcorrections")
+    assert path.endswith("/masters/producthierarchycorrections/productcorrections")
     assert path == build_target_path_py(base, "Product Hierarchy Corrections", "Product Corrections")
