@@ -56,18 +56,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster this must already be set to shared storage; every executor and the driver
     see it. Only when it is unset (local tests) do we create one under the temp folder.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: only the SQL conf is visible
+        sc = None
+    if sc is not None:
+        conf_dir = conf_dir or sc.getConf().get("spark.checkpoint.dir", None)
+        current = sc.getCheckpointDir()
+        if current:
+            return current.rstrip("/")
     if conf_dir:
-        spark.sparkContext.setCheckpointDir(conf_dir)
+        if sc is not None:
+            sc.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
     local = tempfile.mkdtemp(prefix="quarterdeck-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local.rstrip("/")
 
 

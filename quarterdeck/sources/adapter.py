@@ -75,8 +75,12 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     fused per-row step alone. On real data (many files / row groups) the scan already has
     at least as many splits as cores and nothing is added; the check is planning-only.
     """
-    cores = spark_cores(df.sparkSession)
-    if df.rdd.getNumPartitions() < cores:
+    try:
+        cores = spark_cores(df.sparkSession)
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (Spark Connect): leave the scan as is
+        return df
+    if splits < cores:
         # hash on the first column: deterministic under task retries without the sort a
         # round-robin repartition needs for that
         return df.repartition(cores, df.columns[0])

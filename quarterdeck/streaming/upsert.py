@@ -37,7 +37,14 @@ def _fs(spark: SparkSession, path: str):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    try:
+        fs, p = _fs(spark, path)
+    except Exception:  # no JVM gateway (Spark Connect): probe by listing through Spark
+        try:
+            spark.read.format("binaryFile").load(path).limit(1).collect()
+            return True
+        except Exception:
+            return False
     return bool(fs.exists(p))
 
 
