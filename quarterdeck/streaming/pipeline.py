@@ -156,13 +156,12 @@ class SilverSalesUpsert(Scd1Upsert):
     def _with_partition(self, df: DataFrame) -> DataFrame:
         return df if self.partition_expr is None else df.withColumn(self.partition_col, self.partition_expr)
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+    def __call__(self, batch: DataFrame, batch_id: int) -> list:
         spark = batch.sparkSession
         pc = self.partition_col
-        touched = [r[0] for r in self._with_partition(batch).select(pc).distinct().dropna().collect()]
-        super().__call__(batch, batch_id)
+        touched = super().__call__(batch, batch_id)
         if not touched:
-            return
+            return touched
         deduped = spark.read.parquet(self.target).filter(F.col(pc).isin(touched))
         business = deduped.transform(apply_sales_business_rules)
         _overwrite_partitions(business, self.layout.table("silver_sales_line_items_business"), pc)
@@ -183,6 +182,7 @@ class SilverSalesUpsert(Scd1Upsert):
             _overwrite_partitions(
                 self._with_partition(analytics), self.layout.table("analytics_sales_transactional"), pc
             )
+        return touched
 
 
 def _overwrite_partitions(df: DataFrame, path: str, partition_col: str = PARTITION) -> None:

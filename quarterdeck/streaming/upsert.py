@@ -76,14 +76,19 @@ class Scd1Upsert:
         self.prepare = prepare
         self.staging = f"{self.target}/_staging"
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+    def __call__(self, batch: DataFrame, batch_id: int) -> list:
+        """Upsert one micro-batch; returns the partition values it touched."""
         spark = batch.sparkSession
         stage = f"{self.staging}/batch_id={batch_id}"
-        if not path_exists(spark, f"{stage}/_SUCCESS"):
-            self._stage(spark, batch, stage)
+        if path_exists(spark, f"{stage}/_SUCCESS"):  # replay after a crash: the stage is complete
+            staged = spark.read.parquet(stage)
+            touched = [r[0] for r in staged.select(self.partition_col).distinct().collect()] if staged.columns else []
+        else:
+            touched = self._stage(spark, batch, stage)
         self._swap(spark, stage)
+        return touched
 
-    def _stage(self, spark: SparkSession, batch: DataFrame, stage: str) -> None:
+    def _stage(self, spark: SparkSession, batch: DataFrame, stage: str) -> list:
         rows = _typed(batch if self.prepare is None else self.prepare(batch))
         if self.partition_expr is not None:
             rows = rows.withColumn(self.partition_col, self.partition_expr)
@@ -102,13 +107,14 @@ class Scd1Upsert:
             touched = list(stats["touched"])
             if not touched:
                 good.limit(0).write.mode("overwrite").parquet(stage)
-                return
+                return []
             merged = good
             if self._has_data(spark):
                 stored = spark.read.parquet(self.target).filter(F.col(self.partition_col).isin(touched))
                 merged = good.unionByName(stored.select(*good.columns), allowMissingColumns=False)
             newest = latest_per_key(merged, self.keys, self.order, self.tiebreak)
             newest.write.mode("overwrite").parquet(stage)
+            return touched
         finally:
             rows.unpersist()
 
