@@ -343,6 +343,27 @@ def q_scd1_stream(spark, sf_dir):
     )
 
 
+def _view(name: str, needs: tuple[str, ...]):
+    """A registered query answered through the SQL API: source tables as temp views, the
+    analytics view on top (``spark.sql``), Catalyst planning both paths identically."""
+
+    def build(spark, sf_dir):
+        from quarterdeck.plans.views import register_views
+
+        sources = {
+            "silver_sales_line_items_business": lambda: silver_sales(spark, sf_dir),
+            "gold_discount_strategy": lambda: gold_discount_strategy(spark, sf_dir),
+            "gold_unit_quarter_hour_sales": lambda: gold_break_even(spark, sf_dir),
+            "silver_dim_unit": lambda: silver_dim_unit(spark, sf_dir),
+            "silver_dim_product": lambda: silver_dim_product(spark, sf_dir),
+            "silver_daily_budget_forecast": lambda: silver_budget_forecast(spark, sf_dir),
+        }
+        register_views(spark, {t: sources[t]() for t in needs})
+        return spark.table(name)
+
+    return build
+
+
 QUERIES: dict[str, Query] = {
     "atv": q_atv,
     "silver_business": q_silver_business,
@@ -380,4 +401,12 @@ QUERIES: dict[str, Query] = {
     "watermark_advance": q_watermark_advance,
     "latest_master_snapshot": q_latest_master_snapshot,
     "scd1_stream": q_scd1_stream,
+    "vw_atv": _view("vw_enhanced_quantity_atv", ("silver_sales_line_items_business",)),
+    "vw_discount_strategy": _view("vw_discount_strategy", ("gold_discount_strategy",)),
+    "vw_break_even": _view("vw_unit_sales_15_min_break_even", ("gold_unit_quarter_hour_sales",)),
+    "vw_combo_analytics": _view("vw_combo_analytics", ("silver_sales_line_items_business",)),
+    "vw_transactional": _view(
+        "vw_sales_transactional_from_silver",
+        ("silver_sales_line_items_business", "silver_dim_unit", "silver_dim_product", "silver_daily_budget_forecast"),
+    ),
 }

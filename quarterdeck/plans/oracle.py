@@ -491,3 +491,10 @@ SELECT 'P' || CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name,
 FROM part""",
     "scd1_stream": f"WITH {BRONZE},{RANKED}\nSELECT {DEDUPE_OUT} FROM dedup",
 }
+
+# The SQL views answer the same questions as their DataFrame builders.
+ORACLE["vw_atv"] = ORACLE["atv"]
+ORACLE["vw_discount_strategy"] = ORACLE["discount_actions"]
+ORACLE["vw_break_even"] = ORACLE["break_even_15min"]
+ORACLE["vw_combo_analytics"] = ORACLE["combo_variance"]
+ORACLE["vw_transactional"] = ORACLE["transactional"]
