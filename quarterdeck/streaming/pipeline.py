@@ -10,7 +10,7 @@ topological order:
                                      └► silver_sales_line_items_business (touched partitions)
                                      └► analytics_sales_transactional (touched partitions)
     landing energy CSV ─► bronze_energy_meter_readings ─► [foreachBatch] silver_energy_15_minute_cost
-    master parquet ─► bronze master (one table per entity) ─► dims (batch overwrite)
+    master parquet ─► bronze_master_files/{entity} (one stream per entity) ─► dims (batch overwrite)
     silver ─► gold tables (batch overwrite)
 
 Parquet has no change feed, so everything downstream of a keyed table is recomputed for
@@ -30,7 +30,7 @@ from quarterdeck.operators.dedupe import latest_master_snapshot
 from quarterdeck.operators.rules import apply_sales_business_rules, standardise_sales_columns
 from quarterdeck.schemas import MASTER_KEYS
 from quarterdeck.sources import files
-from quarterdeck.streaming.upsert import Scd1Upsert, path_exists
+from quarterdeck.streaming.upsert import Scd1Upsert, path_exists, read_partitions
 
 PARTITION = "business_date"
 
@@ -127,6 +127,13 @@ def run_bronze(spark: SparkSession, layout: LakeLayout) -> None:
         for s in streams[1:]:
             unified = unified.unionByName(s, allowMissingColumns=True)
         _await(_append(unified, layout, "bronze_sales_line_items_unified"))
+    if path_exists(spark, layout.master):
+        for entity in MASTER_KEYS:
+            try:
+                master = files.read_master_parquet(spark, layout.master, entity, streaming=True, max_files=mf)
+            except Exception:  # entity not delivered yet
+                continue
+            _await(_append(master, layout, f"bronze_master_files/{entity}"))
     if path_exists(spark, f"{landing}/energy_meter_readings"):
         energy = files.read_energy_csv(spark, f"{landing}/energy_meter_readings", streaming=True, max_files=mf)
         energy = quality.with_dq_flags(
@@ -162,7 +169,7 @@ class SilverSalesUpsert(Scd1Upsert):
         touched = super().__call__(batch, batch_id)
         if not touched:
             return touched
-        deduped = spark.read.parquet(self.target).filter(F.col(pc).isin(touched))
+        deduped = read_partitions(spark, self.target, pc, touched)
         business = deduped.transform(apply_sales_business_rules)
         _overwrite_partitions(business, self.layout.table("silver_sales_line_items_business"), pc)
         dims_ready = all(
@@ -171,9 +178,7 @@ class SilverSalesUpsert(Scd1Upsert):
         )
         if dims_ready:
             analytics = products.transactional_from_silver(
-                spark.read.parquet(self.layout.table("silver_sales_line_items_business")).filter(
-                    F.col(pc).isin(touched)
-                ),
+                read_partitions(spark, self.layout.table("silver_sales_line_items_business"), pc, touched),
                 spark.read.parquet(self.layout.table("silver_dim_unit")),
                 spark.read.parquet(self.layout.table("silver_dim_product")),
                 spark.read.parquet(self.layout.table("silver_daily_budget_forecast")),
@@ -247,13 +252,12 @@ def run_silver_energy(spark: SparkSession, layout: LakeLayout) -> None:
 
 
 def master_entity(spark: SparkSession, layout: LakeLayout, entity: str) -> DataFrame | None:
-    """Newest load of one master entity (older loads stay in Bronze as evidence)."""
-    try:
-        raw = files.read_master_parquet(spark, layout.master, entity)
-        raw.schema  # noqa: B018 — resolves the path now
-    except Exception:  # entity not delivered yet
+    """Newest load of one master entity from its Bronze table (every load is kept there as
+    evidence; the load stamp travels with the rows)."""
+    path = layout.table(f"bronze_master_files/{entity}")
+    if not path_exists(spark, path):
         return None
-    return latest_master_snapshot(raw, MASTER_KEYS[entity])
+    return latest_master_snapshot(spark.read.parquet(path), MASTER_KEYS[entity])
 
 
 def run_dims(spark: SparkSession, layout: LakeLayout) -> None:

@@ -48,6 +48,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def read_partitions(spark: SparkSession, target: str, partition_col: str, values: list) -> DataFrame | None:
+    """Only the given partitions of a table, with their schemas merged.
+
+    Reading the whole table would take its schema from one file (possibly an old one
+    without columns added later) and drop those columns when the partitions are rewritten;
+    merging the footers of just the touched partitions keeps every column at a cost
+    bounded by the batch, not the table.
+    """
+    paths = [f"{target}/{partition_col}={v}" for v in values]
+    paths = [p for p in paths if path_exists(spark, p)]
+    if not paths:
+        return None
+    return spark.read.option("mergeSchema", "true").option("basePath", target).parquet(*paths)
+
+
 def _typed(df: DataFrame) -> DataFrame:
     return df.transform(parse_sequence_columns) if "source_sequence" in df.columns else df
 
@@ -109,23 +124,16 @@ class Scd1Upsert:
                 good.limit(0).write.mode("overwrite").parquet(stage)
                 return []
             merged = good
-            if self._has_data(spark):
-                stored = spark.read.parquet(self.target).filter(F.col(self.partition_col).isin(touched))
-                merged = good.unionByName(stored.select(*good.columns), allowMissingColumns=False)
+            stored = read_partitions(spark, self.target, self.partition_col, touched)
+            if stored is not None:
+                # by name, so a column added by a later extract is null on older stored rows
+                merged = good.unionByName(stored, allowMissingColumns=True)
             newest = latest_per_key(merged, self.keys, self.order, self.tiebreak)
             newest.write.mode("overwrite").parquet(stage)
             return touched
         finally:
             rows.unpersist()
 
-    def _has_data(self, spark: SparkSession) -> bool:
-        if not path_exists(spark, self.target):
-            return False
-        fs, p = _fs(spark, self.target)
-        return any(
-            s.getPath().getName().startswith(f"{self.partition_col}=") for s in fs.listStatus(p)
-        )
-
     def _swap(self, spark: SparkSession, stage: str) -> None:
         # REBALANCE lets AQE size the write tasks: small partitions are coalesced into one
         # file, a hot date is split over several tasks instead of one.
@@ -139,5 +147,6 @@ class Scd1Upsert:
 
 
 def read_current(spark: SparkSession, target: str) -> DataFrame:
-    """The upserted table (its ``_staging`` folder is hidden from the file index)."""
-    return spark.read.parquet(target)
+    """The upserted table (its ``_staging`` folder is hidden from the file index); schemas
+    of all partitions merged, as columns may have been added over time."""
+    return spark.read.option("mergeSchema", "true").parquet(target)

@@ -174,3 +174,16 @@ def test_generated_delivery_through_pipeline(spark, tmp_dir):
     assert dims.filter("product_id = 'P004'").first().product_category == "Meal Deal"
     inv = S.gen_inventory(spark, S.gen_units(spark, 6), days=2)
     assert inv.count() == 2 * 12 * 7
+
+
+def test_upsert_accepts_a_new_column_in_a_later_batch(spark, tmp_dir):
+    target = os.path.join(tmp_dir, "t")
+    up = Scd1Upsert(target)
+    up(_rows(spark, [(1, "T1", "L1", 1, 1, 1.0), (1, "T2", "L1", 1, 1, 2.0), (2, "T0", "L1", 1, 1, 0.5)]), 0)
+    later = _rows(spark, [(2, "T1", "L1", 2, 2, 5.0)]).withColumn("loyalty_id", F.lit("C9"))
+    up(later, 1)  # a new column, on a later date partition
+    again = _rows(spark, [(2, "T3", "L1", 1, 1, 7.0)])  # a batch without the column, same date
+    up(again, 2)
+    out = {(r.business_date.day, r.transaction_id): r for r in read_current(spark, target).collect()}
+    assert out[(2, "T1")].discount_amount == 5.0 and out[(2, "T1")].loyalty_id == "C9"
+    assert out[(1, "T2")].loyalty_id is None and out[(2, "T3")].loyalty_id is None
