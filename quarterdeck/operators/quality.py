@@ -79,6 +79,17 @@ def dq_metrics(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     )
 
 
+def observe_expectations(df: DataFrame, rules: Mapping[str, str], name) -> DataFrame:
+    """Count rows and failures per rule as named metrics while the data flows (no extra
+    pass). ``name`` is a metric name (streams: each micro-batch's ``observedMetrics`` in the
+    query progress, i.e. the expectation log of a run) or an ``Observation`` (batch)."""
+    return df.observe(
+        name,
+        F.count(F.lit(1)).alias("rows_checked"),
+        *[F.count_if(~passed(p)).alias(f"failed_{n}") for n, p in rules.items()],
+    )
+
+
 def quarantine_split(df: DataFrame, rules: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
     """(clean rows, quarantined rows) — both keep ``_dq_failed_rules``."""
     flagged = with_dq_flags(df, rules)

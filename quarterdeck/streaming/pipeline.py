@@ -75,10 +75,20 @@ def _append(df: DataFrame, layout: LakeLayout, name: str, partition_by: list[str
     return w.start(layout.table(name))
 
 
+# observed expectation metrics of the last run, per metric name (summed over micro-batches)
+EXPECTATION_LOG: dict[str, dict[str, int]] = {}
+
+
 def _await(q: StreamingQuery) -> None:
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream {q.name or q.id} failed: {q.exception()}")
+    for progress in q.recentProgress:
+        for metric, values in (progress.observedMetrics or {}).items():
+            acc = EXPECTATION_LOG.setdefault(metric, {})
+            row = values.asDict() if hasattr(values, "asDict") else dict(values)
+            for k, v in row.items():
+                acc[k] = acc.get(k, 0) + int(v or 0)
 
 
 def _read_stream_table(spark: SparkSession, layout: LakeLayout, name: str) -> DataFrame:
@@ -98,24 +108,16 @@ def run_bronze(spark: SparkSession, layout: LakeLayout) -> None:
     landing = layout.landing.rstrip("/")
     if path_exists(spark, layout.new_unit_json):
         raw_json = files.read_new_unit_json(spark, layout.new_unit_json, streaming=True, max_files=mf)
-        _await(
-            _append(
-                quality.with_dq_flags(raw_json, quality.LANDING_JSON_RULES),
-                layout,
-                "landing_new_unit_sales_json",
-            )
-        )
+        flagged = quality.with_dq_flags(raw_json, quality.LANDING_JSON_RULES)
+        flagged = quality.observe_expectations(flagged, quality.LANDING_JSON_RULES, "dq_landing_new_unit_sales_json")
+        _await(_append(flagged, layout, "landing_new_unit_sales_json"))
         std = standardise_sales_columns(_read_stream_table(spark, layout, "landing_new_unit_sales_json"))
         _await(_append(std, layout, "bronze_new_unit_sales_line_items"))
     if path_exists(spark, f"{landing}/sales_line_items"):
         raw_csv = files.read_sales_csv(spark, f"{landing}/sales_line_items", streaming=True, max_files=mf)
-        _await(
-            _append(
-                quality.with_dq_flags(raw_csv, quality.BRONZE_SALES_RULES),
-                layout,
-                "bronze_oracle_sales_line_items",
-            )
-        )
+        flagged = quality.with_dq_flags(raw_csv, quality.BRONZE_SALES_RULES)
+        flagged = quality.observe_expectations(flagged, quality.BRONZE_SALES_RULES, "dq_bronze_oracle_sales_line_items")
+        _await(_append(flagged, layout, "bronze_oracle_sales_line_items"))
     routes = [
         n
         for n in ("bronze_oracle_sales_line_items", "bronze_new_unit_sales_line_items")
@@ -140,6 +142,7 @@ def run_bronze(spark: SparkSession, layout: LakeLayout) -> None:
             energy.withColumn("estimated_running_cost", F.col("estimated_running_cost").try_cast("double")),
             quality.BRONZE_ENERGY_RULES,
         ).withColumn("reading_date", F.to_date(F.try_to_timestamp("quarter_hour_start_ts")))
+        energy = quality.observe_expectations(energy, quality.BRONZE_ENERGY_RULES, "dq_bronze_energy_meter_readings")
         _await(_append(energy, layout, "bronze_energy_meter_readings", ["reading_date"]))
 
 

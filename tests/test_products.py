@@ -136,6 +136,15 @@ def test_quality_flags_metrics_quarantine(spark):
     assert {r.rule_name: r.functional_owner for r in alerts.collect()}["transaction_id_is_present"] == "store-operations"
 
 
+def test_observed_expectations(spark):
+    from pyspark.sql import Observation
+
+    df = spark.createDataFrame([(None, D), ("T2", None), ("T3", D)], "transaction_id string, business_date date")
+    obs = Observation("dq_test")
+    quality.observe_expectations(df, quality.LANDING_JSON_RULES, obs).collect()
+    assert obs.get == {"rows_checked": 3, "failed_transaction_id_is_present": 1, "failed_business_date_is_present": 1}
+
+
 def test_duplicate_keys(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1)], "k string, v int")
     assert [(r.k, r.row_count) for r in quality.duplicate_keys(df, ["k"]).collect()] == [("a", 2)]

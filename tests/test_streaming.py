@@ -101,7 +101,14 @@ def test_pipeline_end_to_end_matches_batch(spark, tmp_dir):
         landing=f"{tmp_dir}/landing", new_unit_json=f"{tmp_dir}/new_unit_json", master=f"{tmp_dir}/master",
         lake=f"{tmp_dir}/lake", checkpoints=f"{tmp_dir}/ckpt", max_files_per_trigger=2, date_grain="month",
     )
+    from quarterdeck.streaming.pipeline import EXPECTATION_LOG
+
+    EXPECTATION_LOG.clear()
     run_pipeline(spark, layout, tiebreak=A.ADAPTER_TIEBREAK)
+    dq = EXPECTATION_LOG["dq_bronze_oracle_sales_line_items"]
+    assert dq["rows_checked"] == C.bronze_sales(spark, SMOKE_DIR).filter(
+        F.col("_source_ingestion_route") == A.ROUTE_DB).count()
+    assert dq["failed_transaction_id_is_present"] == 0
     silver = spark.read.parquet(layout.table("silver_sales_line_items_business"))
     batch = C.silver_sales(spark, SMOKE_DIR)
     cols = ["business_date", "transaction_id", "transaction_line_id", "net_sales", "enhanced_quantity", "quarter_hour_start_ts"]
