@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import random
 
-from pyspark.sql import functions as F
 
 from quarterdeck.operators.dedupe import (
     dedupe_reposted_sales_lines,

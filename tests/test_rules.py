@@ -6,7 +6,6 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from quarterdeck.functions.paths import (
     build_target_path,

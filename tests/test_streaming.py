@@ -8,7 +8,6 @@ import os
 from pyspark.sql import functions as F
 
 from quarterdeck.operators.dedupe import dedupe_reposted_sales_lines
-from quarterdeck.operators.rules import apply_sales_business_rules
 from quarterdeck.plans import catalog as C
 from quarterdeck.sources import adapter as A
 from quarterdeck.sources.ingest import master_file_to_parquet

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from quarterdeck.operators import products
 from quarterdeck.plans import catalog as C
