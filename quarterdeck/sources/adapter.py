@@ -58,22 +58,19 @@ DRIVER_TABLES = (
 ).split()
 
 
-# Fact tables: their scans carry the per-row work of every query.
-FACT_TABLES = ("lineitem", "events")
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_utc(spark)
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_scan(df) if name in FACT_TABLES else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def spread_small_scan(df: DataFrame) -> DataFrame:
     """Round-robin a fact scan that yields fewer input splits than the cluster has cores.
 
     A file written as one big row group is read by one task, which would then run every
-    fused per-row step alone. On real data (many files / row groups) the scan already has
-    at least as many splits as cores and nothing is added; the check is planning-only.
+    fused per-row step alone. Used only where heavy per-row work follows the scan (the
+    sales-line mapping); scans that feed aggregates are reduced map-side and are not spread.
+    On real data (many files / row groups) the scan already has at least as many splits as
+    cores and nothing is added; the check is planning-only.
     """
     try:
         cores = spark_cores(df.sparkSession)
@@ -124,7 +121,7 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze sales lines of both ingestion routes, typed, with the route tag."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = spread_small_scan(read_table(spark, sf_dir, "lineitem"))
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority"
     )
