@@ -327,10 +327,11 @@ def _daily_unit_gross_cents(spark: SparkSession, sf_dir: str) -> DataFrame:
     spread: the scan feeds an aggregate, not per-row work).
     """
     li = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").select("l_shipdate", "l_suppkey", "l_extendedprice")
-    return li.groupBy(
-        F.col("l_shipdate").cast("date").alias("business_date"),
-        unit_id_expr(F.col("l_suppkey")).alias("unit_id"),
-    ).agg(F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).alias("gross_c"))
+    # group by the numeric key; the string unit id is built once per group, not per line
+    g = li.groupBy(F.col("l_shipdate").cast("date").alias("business_date"), "l_suppkey").agg(
+        F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).alias("gross_c")
+    )
+    return g.select("business_date", unit_id_expr(F.col("l_suppkey")).alias("unit_id"), "gross_c")
 
 
 def _scaled(cents_col: str, factor: str) -> Column:
