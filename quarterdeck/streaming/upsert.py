@@ -4,7 +4,7 @@ The table is partitioned by ``business_date`` (part of the key) or by a coarser
 derived from it (``partition_expr``, e.g. the month), so a key never moves between
 partitions. For each micro-batch:
 
-1. rows with a null key part go to quarantine;
+1. rows with a null key part go to quarantine (``{target}_quarantine/batch_id=N``);
 2. the touched partitions of the batch are found (one aggregate; a set bounded by the
    calendar, not by the data);
 3. the stored rows of those dates (partition pruning) are unioned with the batch and
@@ -99,11 +99,11 @@ class Scd1Upsert:
             staged = spark.read.parquet(stage)
             touched = [r[0] for r in staged.select(self.partition_col).distinct().collect()] if staged.columns else []
         else:
-            touched = self._stage(spark, batch, stage)
+            touched = self._stage(spark, batch, stage, batch_id)
         self._swap(spark, stage)
         return touched
 
-    def _stage(self, spark: SparkSession, batch: DataFrame, stage: str) -> list:
+    def _stage(self, spark: SparkSession, batch: DataFrame, stage: str, batch_id: int = 0) -> list:
         rows = _typed(batch if self.prepare is None else self.prepare(batch))
         if self.partition_expr is not None:
             rows = rows.withColumn(self.partition_col, self.partition_expr)
@@ -117,7 +117,8 @@ class Scd1Upsert:
                 F.collect_set(F.when(~null_key, F.col(self.partition_col))).alias("touched"),
             ).first()
             if stats["null_keys"]:
-                rows.filter(null_key).write.mode("append").parquet(self.quarantine)
+                # one folder per batch id, overwritten on replay: quarantined rows never double
+                rows.filter(null_key).write.mode("overwrite").parquet(f"{self.quarantine}/batch_id={batch_id}")
             good = rows.filter(~null_key)
             touched = list(stats["touched"])
             if not touched:

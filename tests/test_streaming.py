@@ -47,6 +47,7 @@ def test_upsert_matches_batch_for_any_split_with_late_old_version_and_replay(spa
     up(_rows(spark, all_rows[2:5]), 1)
     up(_rows(spark, all_rows[2:5]), 1)  # replay of the same batch id
     up(_rows(spark, all_rows[5:]), 2)
+    up._stage(spark, _rows(spark, all_rows[5:]), f"{up.staging}/batch_id=2", 2)  # crash, then replay
     up(_rows(spark, all_rows[2:5]), 3)  # the same rows arriving again as a new batch
     assert _sorted(read_current(spark, target)) == expected
     assert spark.read.parquet(target + "_quarantine").count() == 1
