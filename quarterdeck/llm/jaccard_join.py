@@ -254,6 +254,25 @@ def shingle_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", wid
     return joined.select("doc_id", "n_shingles", own.alias("component_id"))
 
 
+def deduplicated(docs: DataFrame, width: int = SHINGLE, percent: int = THRESHOLD_PERCENT) -> DataFrame:
+    """``docs`` with one document of each group of linked sets: the smallest id, nulls last.
+
+    Documents without words belong to no group and all stay. Rows that repeat id and text count
+    as one document. The columns are those of ``docs``.
+    """
+    row = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    keyed = docs.withColumn("_row", row)
+    groups = shingle_groups(keyed.select("_row", "text"), key="_row", width=width, percent=percent)
+    groups = staged(groups.select(F.col("doc_id").alias("_key"), F.col("n_shingles").alias("_n"), F.col("component_id").alias("_group")).distinct(), "jaccard-groups")
+    named = groups.join(keyed.select("_row", F.col("doc_id").cast("long").alias("_id")).distinct(), F.col("_key") == F.col("_row")).drop("_row")
+    first = F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_key"))
+    kept = named.groupBy("_group").agg(F.min(first).alias("_first"), F.max("_n").alias("_n"))
+    kept = kept.select(F.col("_first._key").alias("_key"), "_n")
+    one = keyed.join(kept, F.col("_row") == F.col("_key"))
+    one = one.withColumn("_nth", F.when(F.col("_n") > 0, F.lit(0)).otherwise(F.monotonically_increasing_id()))
+    return one.dropDuplicates(["_row", "_nth"]).select(*docs.columns)
+
+
 def _open(answers: DataFrame, reached: DataFrame) -> DataFrame:
     """(leader, member, component) of the lists whose sets are not all connected yet."""
     own = answers.groupBy("leader").agg(F.max("most").alias("most")).withColumn("member", F.col("leader"))

@@ -7,7 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarterdeck.llm.base import read
+from quarterdeck.llm.decontamination import find_leaks
 from quarterdeck.llm.jaccard_join import shingle_groups
+from quarterdeck.llm.mixing import mix_sources
+from quarterdeck.llm.quality import quality_scores
+from quarterdeck.llm.sharding import shard_documents
+
+
+def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that leak a benchmark item, verbatim or re-parameterised."""
+    leaks = find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return leaks.drop("doc_key")
+
+
+def op2_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The balanced mix of all sources to their target weights."""
+    return mix_sources(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op6_quadratic_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op9_bounded_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards 0 to 7 of all documents by the bounded consistent-hash ring."""
+    return shard_documents(read(spark, sf_dir, "documents"))
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +41,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_template_decontamination": op1_template_decontamination,
+    "op2_cube_mixing": op2_cube_mixing,
+    "op6_quadratic_quality": op6_quadratic_quality,
+    "op9_bounded_ring_sharding": op9_bounded_ring_sharding,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
