@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarterdeck.llm import url_filter
 from quarterdeck.llm.base import read
 from quarterdeck.llm.decontamination import find_leaks
 from quarterdeck.llm.jaccard_join import shingle_groups
 from quarterdeck.llm.mixing import mix_sources
 from quarterdeck.llm.quality import quality_scores
+from quarterdeck.llm.secret_scan import secret_report
 from quarterdeck.llm.sharding import shard_documents
 
 
@@ -30,6 +32,17 @@ def op6_quadratic_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op7_temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict under the list entries active at its fetch time."""
+    pages = read(spark, sf_dir, "pages")
+    return url_filter.filter_captures(url_filter.page_captures(pages), url_filter.page_list(pages))
+
+
+def op8_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    return secret_report(read(spark, sf_dir, "documents"))
+
+
 def op9_bounded_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards 0 to 7 of all documents by the bounded consistent-hash ring."""
     return shard_documents(read(spark, sf_dir, "documents"))
@@ -44,8 +57,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_decontamination": op1_template_decontamination,
     "op2_cube_mixing": op2_cube_mixing,
     "op6_quadratic_quality": op6_quadratic_quality,
+    "op7_temporal_url_filter": op7_temporal_url_filter,
+    "op8_secret_automaton": op8_secret_automaton,
     "op9_bounded_ring_sharding": op9_bounded_ring_sharding,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_temporal_url_filter": url_filter.ORACLE}
