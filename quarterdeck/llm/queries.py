@@ -10,10 +10,12 @@ from quarterdeck.llm import url_filter
 from quarterdeck.llm.base import read
 from quarterdeck.llm.decontamination import find_leaks
 from quarterdeck.llm.jaccard_join import shingle_groups
+from quarterdeck.llm.language_id import language_report
 from quarterdeck.llm.mixing import mix_sources
 from quarterdeck.llm.quality import quality_scores
 from quarterdeck.llm.secret_scan import secret_report
 from quarterdeck.llm.sharding import shard_documents
+from quarterdeck.llm.weighted_sampling import compare_neighbours
 
 
 def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +29,16 @@ def op2_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_ngram_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents."""
+    return language_report(read(spark, sf_dir, "documents"))
+
+
+def op4_consistent_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, their edited texts and their likeness to the next one."""
+    return compare_neighbours(read(spark, sf_dir, "documents"))
+
+
 def op6_quadratic_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents."""
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -56,6 +68,8 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_decontamination": op1_template_decontamination,
     "op2_cube_mixing": op2_cube_mixing,
+    "op3_ngram_language_id": op3_ngram_language_id,
+    "op4_consistent_weighted_sampling": op4_consistent_weighted_sampling,
     "op6_quadratic_quality": op6_quadratic_quality,
     "op7_temporal_url_filter": op7_temporal_url_filter,
     "op8_secret_automaton": op8_secret_automaton,
