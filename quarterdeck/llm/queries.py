@@ -13,6 +13,7 @@ from quarterdeck.llm.jaccard_join import shingle_groups
 from quarterdeck.llm.language_id import language_report
 from quarterdeck.llm.mixing import mix_sources
 from quarterdeck.llm.quality import quality_scores
+from quarterdeck.llm.repeats import repeat_report
 from quarterdeck.llm.secret_scan import secret_report
 from quarterdeck.llm.sharding import shard_documents
 from quarterdeck.llm.weighted_sampling import compare_neighbours
@@ -39,6 +40,11 @@ def op4_consistent_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFr
     return compare_neighbours(read(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 200-byte strings that occur elsewhere."""
+    return repeat_report(read(spark, sf_dir, "documents"))
+
+
 def op6_quadratic_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents."""
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -70,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_cube_mixing": op2_cube_mixing,
     "op3_ngram_language_id": op3_ngram_language_id,
     "op4_consistent_weighted_sampling": op4_consistent_weighted_sampling,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_quadratic_quality": op6_quadratic_quality,
     "op7_temporal_url_filter": op7_temporal_url_filter,
     "op8_secret_automaton": op8_secret_automaton,
