@@ -34,6 +34,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame, **keys: Column) -> DataFrame:
+    """``df`` as one struct column ``row`` beside ``keys``, so that no column name can clash."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    return df.select(whole, *[key.alias(name) for name, key in keys.items()])
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text as a long; null counts as none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.base import staged
+from quarterdeck.llm.base import packed, staged
 
 WINDOW, STRIDE = 8, 3  # items of 12 words or more
 SHORT_WINDOW, SHORT_STRIDE = 3, 1  # shorter ones; under three words they are not looked for
@@ -157,6 +157,5 @@ def _slots(both: DataFrame, steps: Column) -> DataFrame:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows and columns of ``docs`` without the documents that leak an item."""
-    leaks = find_leaks(docs, benchmark).select(F.col("doc_key").alias("_leak")).distinct()
-    keyed = docs.withColumn("_doc_key", _key())
-    return keyed.join(leaks, F.col("_doc_key") == F.col("_leak"), "left_anti").select(*docs.columns)
+    leaks = find_leaks(docs, benchmark).select("doc_key").distinct()
+    return packed(docs, doc_key=_key()).join(leaks, "doc_key", "left_anti").select("row.*")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.base import lower, mix, span_hashes, staged, text_blocks, words
+from quarterdeck.llm.base import lower, mix, packed, span_hashes, staged, text_blocks, words
 from quarterdeck.llm.components import connected_components
 
 SHINGLE = 3
@@ -260,17 +260,16 @@ def deduplicated(docs: DataFrame, width: int = SHINGLE, percent: int = THRESHOLD
     Documents without words belong to no group and all stay. Rows that repeat id and text count
     as one document. The columns are those of ``docs``.
     """
-    row = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    keyed = docs.withColumn("_row", row)
-    groups = shingle_groups(keyed.select("_row", "text"), key="_row", width=width, percent=percent)
-    groups = staged(groups.select(F.col("doc_id").alias("_key"), F.col("n_shingles").alias("_n"), F.col("component_id").alias("_group")).distinct(), "jaccard-groups")
-    named = groups.join(keyed.select("_row", F.col("doc_id").cast("long").alias("_id")).distinct(), F.col("_key") == F.col("_row")).drop("_row")
-    first = F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_key"))
-    kept = named.groupBy("_group").agg(F.min(first).alias("_first"), F.max("_n").alias("_n"))
-    kept = kept.select(F.col("_first._key").alias("_key"), "_n")
-    one = keyed.join(kept, F.col("_row") == F.col("_key"))
-    one = one.withColumn("_nth", F.when(F.col("_n") > 0, F.lit(0)).otherwise(F.monotonically_increasing_id()))
-    return one.dropDuplicates(["_row", "_nth"]).select(*docs.columns)
+    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    narrow = docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("id"), "text")
+    groups = shingle_groups(narrow.select("key", "text"), key="key", width=width, percent=percent)
+    groups = staged(groups.select(F.col("doc_id").alias("key"), "n_shingles", "component_id").distinct(), "jaccard-groups")
+    named = groups.join(narrow.select("key", "id").distinct(), "key")
+    first = F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first")
+    kept = named.groupBy("component_id").agg(first, F.max("n_shingles").alias("n"))
+    one = packed(docs, key=key).join(kept.select(F.col("first.key").alias("key"), "n"), "key")
+    one = one.withColumn("nth", F.when(F.col("n") > 0, F.lit(0)).otherwise(F.monotonically_increasing_id()))
+    return one.dropDuplicates(["key", "nth"]).select("row.*")
 
 
 def _open(answers: DataFrame, reached: DataFrame) -> DataFrame:

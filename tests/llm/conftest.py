@@ -14,7 +14,7 @@ def make_docs(spark):
         full = []
         for i, row in enumerate(rows):
             row = row if isinstance(row, tuple) else (i, row)
-            doc_id, text, lang, source = (*row, *["en", "src0"][len(row) - 2 :])[:4] if len(row) < 4 else row
+            doc_id, text, lang, source = (*row, *["en", "src0"][len(row) - 2 :])[:4]
             full.append((doc_id, text, lang, source, None if text is None else len(text)))
         return spark.createDataFrame(full, DOCS_SCHEMA)
 
