@@ -1,4 +1,4 @@
-"""Numeric column expressions: ANSI-safe coercion, guarded ratios and exact money sums."""
+"""Numeric column expressions: ANSI-safe coercion, guarded ratios and exact decimal sums."""
 
 from __future__ import annotations
 
@@ -6,17 +6,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+NOISE_SCALE = 8
+
+
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def to_double_or_zero(c: str | Column) -> Column:
-    """Unparseable or null → 0.0. ``try_cast`` because a plain cast raises under ANSI mode."""
-    return F.coalesce(_col(c).try_cast("double"), F.lit(0.0))
+def to_double_or_null(c: str | Column) -> Column:
+    """A finite number, or null: text that is no number, "NaN" and infinities are none."""
+    number = _col(c).try_cast("double")
+    return F.when(~F.isnan(number) & (F.abs(number) != float("inf")), number)
 
 
-def to_double_or_null(c: str | Column) -> Column:
-    return _col(c).try_cast("double")
+def to_double_or_zero(c: str | Column) -> Column:
+    """:func:`to_double_or_null` with 0.0 for what is no number."""
+    return F.coalesce(to_double_or_null(c), F.lit(0.0))
 
 
 def ratio_or_null(num: str | Column, den: str | Column) -> Column:
@@ -29,23 +34,18 @@ def ratio_or_zero(num: str | Column, den: str | Column) -> Column:
 
 
 def round_half_up(c: str | Column, scale: int = 2) -> Column:
-    """Round half away from zero on the binary value: ``floor(|x|·10^s + 0.5) / 10^s``.
+    """Spark's ``round``: half away from zero on the decimal text of the value (1.005 → 1.01).
 
-    Pure IEEE arithmetic, so every engine gives the same bits (``round`` on doubles differs
-    between engines for values whose decimal text ends in 5). Null stays null; -0.0 → 0.0.
+    The value is brought to ``NOISE_SCALE`` places first, which takes off what binary division
+    leaves (269638.41 / 6 is 44939.734999999993 and rounds to 44939.74).
     """
-    x = _col(c)
-    factor = 10**scale
-    scaled = F.when(x < 0, -F.floor(-x * factor + 0.5)).otherwise(F.floor(x * factor + 0.5))
-    return scaled / F.lit(factor)
+    return F.round(F.round(_col(c), NOISE_SCALE), scale)
 
 
-def exact_sum(c: str | Column, scale: int = 2) -> Column:
-    """Sum of a fixed-point measure (money, kWh) that does not depend on row order.
+def exact_sum(c: str | Column, scale: int = 6) -> Column:
+    """Sum of a measure (money, kWh) that does not depend on row order, as a double.
 
-    Values are summed as whole units of ``10**-scale`` in a 64-bit integer, so partial sums
-    merge exactly whatever the partitioning; the total is returned as a double. Under ANSI
-    mode an overflow raises instead of wrapping.
+    Values are summed as decimals with ``scale`` places, more than the measures carry, so
+    nothing is rounded before the total; partial sums merge exactly whatever the partitioning.
     """
-    factor = 10**scale
-    return F.sum(F.round(_col(c) * F.lit(factor)).cast("long")).cast("double") / F.lit(factor)
+    return F.sum(_col(c).cast(f"decimal(24,{scale})")).cast("double")

@@ -7,7 +7,7 @@ Plan notes that matter at scale:
   (group, transaction) and then on group; the first shuffle is on (group, transaction), so a
   hot unit or country is spread over many reducers, and the second shuffle carries one
   partial row per group and map task.
-* Money sums are exact fixed-point sums (``exact_sum``), so totals do not depend on row order.
+* Money sums are exact decimal sums (``exact_sum``), so totals do not depend on row order.
 * The combo report reads priced lines once (one conditional aggregate) instead of two
   filtered aggregates and a join.
 """
@@ -27,7 +27,6 @@ from quarterdeck.functions.money import (
     to_double_or_null,
 )
 from quarterdeck.functions.time import quarter_hour_key
-from quarterdeck.operators.joins import join_small
 from quarterdeck.operators.rules import require_columns, trading_recommendation
 
 # Thresholds of the commercial action rule (first match wins).
@@ -223,7 +222,7 @@ def product_master_controls(sales: DataFrame, exclusions: DataFrame, overrides:
 
     Active exclusions zero the enhanced quantity and flag the line; active price overrides
     are attached as ``combo_override_unit_price`` (unparseable → null). Both control sets
-    are one row per product at most (deduplicated here), joined through ``join_small``.
+    are one row per product at most (deduplicated here); sizes decide the join at runtime.
     """
     require_columns(sales, ["product_id", "is_combo", "enhanced_quantity"])
     require_columns(exclusions, ["product_id", "exclusion_reason", "is_active"])
@@ -234,14 +233,14 @@ def product_master_controls(sales: DataFrame, exclusions: DataFrame, overrides:
         .groupBy("product_id")
         .agg(F.max(to_double_or_null("override_unit_price")).alias("combo_override_unit_price"))
     )
-    flagged = join_small(sales, excl, "product_id", "left").withColumn(
+    flagged = sales.join(excl, "product_id", "left").withColumn(
         "is_masterdata_excluded_product", F.col("exclusion_reason").isNotNull()
     )
     flagged = flagged.withColumn(
         "enhanced_quantity",
         F.when(F.col("is_masterdata_excluded_product"), F.lit(0.0)).otherwise(F.col("enhanced_quantity")),
     )
-    return join_small(flagged, over, "product_id", "left")
+    return flagged.join(over, "product_id", "left")
 
 
 def combo_price_with_override(combo: DataFrame, overrides: DataFrame) -> DataFrame:
@@ -317,8 +316,8 @@ def transactional_from_silver(
     p = dim_product.select("product_id", "product_name", "product_category")
     b = budget_forecast.select("business_date", "unit_id", "daily_budget_net_sales", "forecast_net_sales")
     joined = (
-        join_small(s, u, ["country_code", "location_id", "unit_id"], "left")
-        .transform(lambda d: join_small(d, p, "product_id", "left"))
+        s.join(u, ["country_code", "location_id", "unit_id"], "left")
+        .join(p, "product_id", "left")
         .join(b, ["business_date", "unit_id"], "left")
     )
     cols = TRANSACTIONAL_COLUMNS[:]

@@ -24,12 +24,15 @@ def source_bronze_counts(source_counts: DataFrame, bronze: DataFrame, by: Sequen
     )
 
 
-def bronze_silver_dropped(bronze: DataFrame, silver: DataFrame, keys: Sequence[str], by: str = "business_date") -> DataFrame:
-    """R2: rows superseded between Bronze and deduplicated Silver, per business date."""
-    b = bronze.groupBy(by).agg(F.count(F.lit(1)).alias("bronze_rows"))
-    s = silver.groupBy(by).agg(F.count(F.lit(1)).alias("silver_rows"))
-    j = b.join(s, by, "full").fillna({"bronze_rows": 0, "silver_rows": 0})
-    return j.withColumn("dropped_rows", F.col("bronze_rows") - F.col("silver_rows"))
+def bronze_silver_dropped(bronze: DataFrame, keys: Sequence[str], by: str = "business_date") -> DataFrame:
+    """R2: rows that deduplication drops between Bronze and Silver, per value of ``by``.
+
+    Silver holds one row per key, so one pass over Bronze tells both counts: rows per key first
+    (partial aggregates shrink a key that was posted very often), then keys per value.
+    """
+    per_key = bronze.groupBy(*dict.fromkeys([by, *keys])).agg(F.count(F.lit(1)).alias("rows"))
+    counts = per_key.groupBy(by).agg(F.sum("rows").alias("bronze_rows"), F.count(F.lit(1)).alias("silver_rows"))
+    return counts.withColumn("dropped_rows", F.col("bronze_rows") - F.col("silver_rows"))
 
 
 def gold_silver_net_sales(gold: DataFrame, silver: DataFrame, tolerance: float = DEFAULT_TOLERANCE) -> DataFrame:
@@ -44,23 +47,15 @@ def gold_silver_net_sales(gold: DataFrame, silver: DataFrame, tolerance: float =
     )
 
 
-def missing_countries(countries: DataFrame, sales: DataFrame, run_col: str = "business_date") -> DataFrame:
-    """R4: (run, country) pairs where a master country has no sales line.
+def missing_countries(countries: DataFrame, sales: DataFrame, first_run, last_run, run_col: str = "business_date") -> DataFrame:
+    """R4: (run, country) pairs of a daily run calendar for which a country sent no sales line.
 
-    Per run, the set of countries seen is bounded by the country master, as is the master's
-    own set (one row); the master set is attached to every run by a broadcast join of that
-    one row and ``array_except`` yields only the missing countries.
+    The calendar from ``first_run`` to ``last_run`` is expanded for each country of the master,
+    so a run in which every country was silent is reported too.
     """
-    expected = countries.agg(F.array_sort(F.collect_set("country_code")).alias("expected")).withColumn(
-        "__k", F.lit(1)
-    )
-    seen = (
-        sales.groupBy(run_col)
-        .agg(F.collect_set("country_code").alias("seen"))
-        .withColumn("__k", F.lit(1))
-    )
-    j = seen.join(F.broadcast(expected), "__k")
-    return j.select(run_col, F.explode(F.array_except("expected", "seen")).alias("country_code"))
+    days = F.sequence(F.lit(first_run).cast("date"), F.lit(last_run).cast("date"))
+    expected = countries.select("country_code").distinct().select(F.explode(days).alias(run_col), "country_code")
+    return expected.join(sales.select(run_col, "country_code").distinct(), [run_col, "country_code"], "left_anti")
 
 
 def load_delays(audit: DataFrame, now_col, max_hours: float, by: Sequence[str] = ("ingestion_id",)) -> DataFrame:

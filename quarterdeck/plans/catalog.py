@@ -23,9 +23,9 @@ from quarterdeck.operators.rules import (
     apply_enhanced_quantity,
     apply_sales_business_rules,
     calculate_net_sales,
+    standardise_sales_columns,
 )
 from quarterdeck.sources import adapter as A
-from quarterdeck.sources.files import unified_sales
 from quarterdeck.sources.ingest import advance_watermark, incremental_extract
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,17 @@ def silver_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_deduped(spark, sf_dir).transform(apply_sales_business_rules)
 
 
+def unruled_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver lines on which the status rules were not applied, so the contract has failures:
+    amounts before status, none for untaxed lines, negative quantities of unpriced products."""
+    return silver_sales(spark, sf_dir).withColumns(
+        {
+            "net_sales": F.when(F.col("tax_amount") != 0, F.col("net_sales_before_status")),
+            "enhanced_quantity": F.when(F.col("is_priced_product"), F.col("enhanced_quantity")).otherwise(-F.col("quantity")),
+        }
+    )
+
+
 def event_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.event_sales_lines(spark, sf_dir).transform(apply_sales_business_rules)
 
@@ -247,35 +258,34 @@ def q_transactional(spark, sf_dir):
 
 
 def q_unified_bronze(spark, sf_dir):
-    """Both ingestion routes standardised and unioned by name (JSON rows lack the file name)."""
-    bronze = bronze_sales(spark, sf_dir)
-    db_route = bronze.filter(F.col("_source_ingestion_route") == A.ROUTE_DB)
-    json_route = bronze.filter(F.col("_source_ingestion_route") == A.ROUTE_JSON).drop("source_file_name")
-    unified = unified_sales(db_route, json_route)
-    return unified.select(
+    """Both ingestion routes under the sales contract, in one pass over the lines.
+
+    Files arrive route by route (``files.unified_sales``); the given tables hold both already.
+    """
+    return standardise_sales_columns(bronze_sales(spark, sf_dir)).select(
         *KEYS, "unit_id", "product_id", "gross_sales", "source_file_name", "_source_ingestion_route"
     )
 
 
 def q_dq_flags(spark, sf_dir):
-    flagged = quality.with_dq_flags(bronze_sales(spark, sf_dir), quality.BRONZE_SALES_RULES)
+    flagged = quality.with_dq_flags(A.faulty_sales_lines(spark, sf_dir), quality.BRONZE_SALES_RULES)
     return flagged.select(
         *KEYS, "unit_id", "product_id", F.array_join("_dq_failed_rules", ",").alias("dq_failed_rules")
     )
 
 
 def q_dq_metrics(spark, sf_dir):
-    return quality.dq_metrics(silver_sales(spark, sf_dir), quality.SILVER_BUSINESS_RULES)
+    return quality.dq_metrics(unruled_silver(spark, sf_dir), quality.SILVER_BUSINESS_RULES)
 
 
 def q_quarantine(spark, sf_dir):
-    _, bad = quality.quarantine_split(silver_sales(spark, sf_dir), quality.SILVER_BUSINESS_RULES)
+    _, bad = quality.quarantine_split(unruled_silver(spark, sf_dir), quality.SILVER_BUSINESS_RULES)
     return bad.select(*KEYS, "line_status", "net_sales", "enhanced_quantity",
                       F.array_join("_dq_failed_rules", ",").alias("dq_failed_rules"))
 
 
 def q_dq_alerts(spark, sf_dir):
-    metrics = quality.dq_metrics(silver_sales(spark, sf_dir), quality.SILVER_BUSINESS_RULES)
+    metrics = quality.dq_metrics(unruled_silver(spark, sf_dir), quality.SILVER_BUSINESS_RULES)
     return quality.dq_alerts(metrics, quality.notification_owners(spark))
 
 
@@ -284,7 +294,7 @@ def q_duplicate_keys(spark, sf_dir):
 
 
 def q_recon_bronze_silver(spark, sf_dir):
-    return recon.bronze_silver_dropped(bronze_sales(spark, sf_dir), silver_deduped(spark, sf_dir), KEYS)
+    return recon.bronze_silver_dropped(bronze_sales(spark, sf_dir), KEYS)
 
 
 def q_recon_gold_silver(spark, sf_dir):
@@ -294,8 +304,37 @@ def q_recon_gold_silver(spark, sf_dir):
 
 
 def q_missing_countries(spark, sf_dir):
-    """Countries of the master with no sales line in a scheduled run (= business date)."""
-    return recon.missing_countries(A.country_master(spark, sf_dir), silver_sales(spark, sf_dir))
+    """Countries of the master with no sales line in a run; runs are the days of the orders."""
+    day = F.col("o_orderdate").cast("date")
+    span = A.read_table(spark, sf_dir, "orders").agg(F.min(day), F.max(day)).first()
+    return recon.missing_countries(A.country_master(spark, sf_dir), silver_sales(spark, sf_dir), *span)
+
+
+def q_duplicate_silver_keys(spark, sf_dir):
+    """The one-row-per-key contract held against deduplicated Silver."""
+    return quality.duplicate_keys(silver_sales(spark, sf_dir), KEYS)
+
+
+def q_dq_landing(spark, sf_dir):
+    return quality.dq_metrics(A.faulty_sales_lines(spark, sf_dir), quality.LANDING_JSON_RULES)
+
+
+def q_dq_energy(spark, sf_dir):
+    return quality.dq_metrics(A.faulty_energy_readings(spark, sf_dir), quality.BRONZE_ENERGY_RULES)
+
+
+def q_event_discount_actions(spark, sf_dir):
+    """Commercial actions over the event lines, whose rates and counts reach all three."""
+    band = F.col("user_id") % 4
+    share = F.round(F.col("value").cast("decimal(18,2)") * band / 10, 2).cast("double")
+    bands = A.read_table(spark, sf_dir, "events").select(
+        F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("transaction_id"),
+        F.element_at(F.array(*[F.lit(x) for x in ("none", "loyalty", "staff", "promo")]), (band + 1).cast("int")).alias("discount_type"),
+        share.alias("discount_amount"),
+    )
+    lines = A.event_sales_lines(spark, sf_dir).drop("discount_amount").join(bands, "transaction_id")
+    lines = lines.withColumns({"discount_name": F.lit("events"), "product_category": F.lit("events")})
+    return products.commercial_action(products.discount_strategy(lines.transform(apply_sales_business_rules)))
 
 
 def q_folder_paths(spark, sf_dir):
@@ -396,6 +435,10 @@ QUERIES: dict[str, Query] = {
     "recon_bronze_silver": q_recon_bronze_silver,
     "recon_gold_silver": q_recon_gold_silver,
     "missing_countries": q_missing_countries,
+    "duplicate_silver_keys": q_duplicate_silver_keys,
+    "dq_landing": q_dq_landing,
+    "dq_energy": q_dq_energy,
+    "event_discount_actions": q_event_discount_actions,
     "folder_paths": q_folder_paths,
     "incremental_extract": q_incremental_extract,
     "watermark_advance": q_watermark_advance,

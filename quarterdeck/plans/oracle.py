@@ -1,23 +1,18 @@
 """Oracle SQL (DuckDB dialect) for every registered query, over the driver's tables.
 
-Written independently of the Spark plans; shared CTEs mirror the adapter's mapping.
-Conventions that keep both engines bit-identical:
-* ``sround(x, n)`` rounds half away from zero with IEEE arithmetic, as the library's
-  ``round_half_up`` does;
-* money sums are exact cent sums: ``CAST(SUM(CAST(ROUND(x*100) AS BIGINT)) AS DOUBLE)/100``.
+Written as plain decimal arithmetic: measures are summed and rounded as DECIMAL values, half away
+from zero; shared CTEs mirror the adapter's mapping.
 """
 
 from __future__ import annotations
 
 
 def sround(expr: str, n: int) -> str:
-    f = 10**n
-    return (f"(CASE WHEN ({expr}) < 0 THEN -floor(-({expr}) * {f} + 0.5) "
-            f"ELSE floor(({expr}) * {f} + 0.5) END / {f})")
+    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,8)), {n}) AS DOUBLE)"
 
 
 def xsum(expr: str) -> str:
-    return f"(CAST(SUM(CAST(ROUND(({expr}) * 100) AS BIGINT)) AS DOUBLE) / 100)"
+    return f"CAST(SUM(CAST({expr} AS DECIMAL(24,6))) AS DOUBLE)"
 
 
 GROSS = "CAST(l.l_extendedprice AS DECIMAL(18,2))"
@@ -103,9 +98,9 @@ def _rules(src: str, name: str) -> str:
 SILVER = _rules("dedup", "silver")
 
 EVENT_UNIT = """
-    'EVT_' || CAST((user_id % 10) % 5 AS VARCHAR) AS country_code,
-    'LOC' || lpad(CAST((user_id % 10) % 5 AS VARCHAR), 3, '0') AS location_id,
-    'E' || CAST(user_id % 10 AS VARCHAR) AS unit_id"""
+    'EVT_' || CAST((user_id // 15) % 5 AS VARCHAR) AS country_code,
+    'LOC' || lpad(CAST((user_id // 15) % 5 AS VARCHAR), 3, '0') AS location_id,
+    'E' || CAST(user_id // 15 AS VARCHAR) AS unit_id"""
 
 EVENT_LINES = f"""
 elines AS (
@@ -114,16 +109,16 @@ elines AS (
     'E' || CAST(event_id AS VARCHAR) || '-1' AS transaction_line_id,
     ts AS transaction_completed_ts,
     value AS gross_sales, 0.0 AS discount_amount, 0.0 AS tax_amount,
-    'completed' AS line_status, 1.0 AS quantity,
+    CASE WHEN event_type = 'error' THEN 'cancelled' ELSE 'completed' END AS line_status, 1.0 AS quantity,
     true AS is_priced_product, false AS is_kitchen_instruction
-  FROM events WHERE event_type = 'purchase'
+  FROM events WHERE event_type NOT IN ('view', 'click')
 )"""
 
 ESILVER = EVENT_LINES + "," + _rules("elines", "esilver")
 
 ENERGY = f"""
 readings AS (
-  SELECT 'E' || CAST(user_id % 10 AS VARCHAR) AS unit_id, ts AS reading_ts, value AS kwh_consumed,
+  SELECT 'E' || CAST(user_id // 15 AS VARCHAR) AS unit_id, ts AS reading_ts, value AS kwh_consumed,
     CAST(ROUND(CAST(value AS DECIMAL(18,2)) * CAST('0.20' AS DECIMAL(4,2)), 2) AS DOUBLE) AS estimated_running_cost
   FROM events WHERE event_type IN ('view', 'click')
 ),
@@ -272,12 +267,12 @@ daily_gross AS (
 budget AS (
   SELECT business_date, unit_id,
     CAST(ROUND(gross * CAST('1.05' AS DECIMAL(4,2)), 2) AS DOUBLE) AS daily_budget_net_sales
-  FROM daily_gross WHERE day(business_date) <= 20
+  FROM daily_gross
 ),
 forecast AS (
-  SELECT business_date, unit_id,
+  SELECT business_date + 7 AS business_date, unit_id,
     CAST(ROUND(gross * CAST('0.97' AS DECIMAL(4,2)), 2) AS DOUBLE) AS forecast_net_sales
-  FROM daily_gross WHERE day(business_date) >= 10
+  FROM daily_gross
 ),
 budget_forecast AS (
   SELECT coalesce(b.business_date, f.business_date) AS business_date,
@@ -287,6 +282,22 @@ budget_forecast AS (
 )"""
 
 KEYS = "business_date, transaction_id, transaction_line_id"
+FAULTY = """
+faulty AS (
+  SELECT * REPLACE (
+    CASE WHEN NOT (tax_amount = 0 AND discount_amount = 0) THEN transaction_id END AS transaction_id,
+    CASE WHEN source_sequence >= -2000 THEN business_date END AS business_date,
+    CASE WHEN is_priced_product THEN gross_sales ELSE -gross_sales END AS gross_sales)
+  FROM bronze
+)"""
+# The Silver contract held against lines whose status rules were not applied.
+UNRULED = """
+unruled AS (
+  SELECT * REPLACE (
+    CASE WHEN tax_amount <> 0 THEN net_sales_before_status END AS net_sales,
+    CASE WHEN is_priced_product THEN enhanced_quantity ELSE -quantity END AS enhanced_quantity)
+  FROM silver
+)"""
 SILVER_BASE = f"WITH {BRONZE},{RANKED},{SILVER}"
 SILVER_OUT = (
     f"{KEYS}, country_code, location_id, unit_id, product_id, is_combo, line_status, quantity, "
@@ -302,16 +313,16 @@ DEDUPE_OUT = (
 
 DQ_SILVER = """
 SELECT 'valid_net_sales' AS rule_name, COUNT(*) AS rows_checked,
-  COUNT(*) FILTER (WHERE NOT coalesce(net_sales IS NOT NULL, false)) AS rows_failed FROM silver
+  COUNT(*) FILTER (WHERE NOT coalesce(net_sales IS NOT NULL, false)) AS rows_failed FROM unruled
 UNION ALL
 SELECT 'valid_enhanced_quantity', COUNT(*),
-  COUNT(*) FILTER (WHERE NOT coalesce(enhanced_quantity >= 0, false)) FROM silver
+  COUNT(*) FILTER (WHERE NOT coalesce(enhanced_quantity >= 0, false)) FROM unruled
 UNION ALL
 SELECT 'cancelled_lines_net_to_zero', COUNT(*),
-  COUNT(*) FILTER (WHERE NOT coalesce(coalesce(lower(line_status), '') <> 'cancelled' OR net_sales = 0, false)) FROM silver
+  COUNT(*) FILTER (WHERE NOT coalesce(coalesce(lower(line_status), '') <> 'cancelled' OR net_sales = 0, false)) FROM unruled
 UNION ALL
 SELECT 'returned_lines_not_positive', COUNT(*),
-  COUNT(*) FILTER (WHERE NOT coalesce(coalesce(lower(line_status), '') <> 'returned' OR net_sales <= 0, false)) FROM silver
+  COUNT(*) FILTER (WHERE NOT coalesce(coalesce(lower(line_status), '') <> 'returned' OR net_sales <= 0, false)) FROM unruled
 """
 
 OWNERS = """
@@ -432,15 +443,15 @@ LEFT JOIN dim_product p ON s.product_id = p.product_id
 LEFT JOIN budget_forecast b ON s.business_date = b.business_date AND s.unit_id = b.unit_id""",
     "unified_bronze": f"""WITH {BRONZE}
 SELECT {KEYS}, unit_id, product_id, gross_sales, source_file_name, _source_ingestion_route FROM bronze""",
-    "dq_flags": f"""WITH {BRONZE}
-SELECT {KEYS}, unit_id, product_id, {_flags(BRONZE_FLAGS)} AS dq_failed_rules FROM bronze""",
-    "dq_metrics": f"""{SILVER_BASE}, m AS ({DQ_SILVER})
+    "dq_flags": f"""WITH {BRONZE},{FAULTY}
+SELECT {KEYS}, unit_id, product_id, {_flags(BRONZE_FLAGS)} AS dq_failed_rules FROM faulty""",
+    "dq_metrics": f"""{SILVER_BASE},{UNRULED}, m AS ({DQ_SILVER})
 SELECT rule_name, rows_checked, rows_failed, rows_checked - rows_failed AS rows_passed FROM m""",
-    "quarantine": f"""{SILVER_BASE}, flagged AS (
-  SELECT {KEYS}, line_status, net_sales, enhanced_quantity, {_flags(SILVER_FLAGS)} AS dq_failed_rules FROM silver
+    "quarantine": f"""{SILVER_BASE},{UNRULED}, flagged AS (
+  SELECT {KEYS}, line_status, net_sales, enhanced_quantity, {_flags(SILVER_FLAGS)} AS dq_failed_rules FROM unruled
 )
 SELECT * FROM flagged WHERE dq_failed_rules <> ''""",
-    "dq_alerts": f"""{SILVER_BASE}, m AS ({DQ_SILVER}), {OWNERS}
+    "dq_alerts": f"""{SILVER_BASE},{UNRULED}, m AS ({DQ_SILVER}), {OWNERS}
 SELECT m.rule_name, m.rows_checked, m.rows_failed, o.technical_owner, o.functional_owner
 FROM m LEFT JOIN owners o ON m.rule_name = o.rule_name WHERE m.rows_failed > 0""",
     "duplicate_keys": f"""WITH {BRONZE}
@@ -462,11 +473,46 @@ SELECT coalesce(g.country_code, s.country_code) AS country_code,
   abs({sround("coalesce(g.gold_net_sales, 0.0) - coalesce(s.silver_net_sales, 0.0)", 2)}) <= 0.005 AS is_reconciled
 FROM g FULL JOIN s ON g.country_code = s.country_code AND g.business_date = s.business_date""",
     "missing_countries": f"""{SILVER_BASE},
-runs AS (SELECT DISTINCT business_date FROM silver),
+span AS (SELECT min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi FROM orders),
+runs AS (SELECT CAST(unnest(range(lo, hi + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS business_date FROM span),
 countries AS (SELECT n_name AS country_code FROM nation),
 seen AS (SELECT DISTINCT business_date, country_code FROM silver)
 SELECT r.business_date, c.country_code FROM runs r, countries c
 WHERE NOT EXISTS (SELECT 1 FROM seen x WHERE x.business_date = r.business_date AND x.country_code = c.country_code)""",
+    "duplicate_silver_keys": f"""{SILVER_BASE}
+SELECT {KEYS}, COUNT(*) AS row_count FROM silver GROUP BY ALL HAVING COUNT(*) > 1""",
+    "dq_energy": f"""WITH {ENERGY},
+faulty AS (SELECT CASE WHEN unit_id <> 'E0' THEN unit_id END AS unit_id,
+    CASE WHEN kwh_consumed < 100 THEN estimated_running_cost ELSE -estimated_running_cost END AS cost FROM readings)
+SELECT 'unit_id_is_present' AS rule_name, COUNT(*) AS rows_checked, COUNT(*) FILTER (unit_id IS NULL) AS rows_failed,
+  COUNT(unit_id) AS rows_passed FROM faulty
+UNION ALL
+SELECT 'running_cost_is_non_negative', COUNT(*), COUNT(*) FILTER (NOT coalesce(cost >= 0, false)), COUNT(*) FILTER (coalesce(cost >= 0, false)) FROM faulty""",
+    "dq_landing": f"""WITH {BRONZE},{FAULTY}
+SELECT 'transaction_id_is_present' AS rule_name, COUNT(*) AS rows_checked, COUNT(*) FILTER (transaction_id IS NULL) AS rows_failed,
+  COUNT(transaction_id) AS rows_passed FROM faulty
+UNION ALL
+SELECT 'business_date_is_present', COUNT(*), COUNT(*) FILTER (business_date IS NULL), COUNT(business_date) FROM faulty""",
+    "event_discount_actions": f"""WITH {EVENT_LINES.replace("0.0 AS discount_amount", "round(CAST(value AS DECIMAL(18,2)) * (user_id % 4) / 10, 2)::DOUBLE AS discount_amount")},{_rules("elines", "silver")},
+strategy_a AS (
+  SELECT country_code, location_id, unit_id, {xsum("gross_sales")} AS gross_sales, {xsum("discount_amount")} AS discount_amount,
+    {xsum("net_sales")} AS net_sales, COUNT(DISTINCT transaction_id) AS transaction_count,
+    ['none', 'loyalty', 'staff', 'promo'][CAST(band + 1 AS INTEGER)] AS discount_type
+  FROM silver JOIN (SELECT event_id, user_id % 4 AS band FROM events) b ON transaction_id = 'E' || CAST(b.event_id AS VARCHAR)
+  GROUP BY ALL
+),
+strategy AS (
+  SELECT country_code, location_id, unit_id, discount_type, 'events' AS discount_name, 'events' AS product_category,
+    gross_sales, discount_amount, net_sales, transaction_count,
+    {sround("coalesce(discount_amount / NULLIF(gross_sales, 0), 0.0) * 100", 2)} AS discount_rate_percent,
+    {sround("coalesce(net_sales / NULLIF(transaction_count, 0), 0.0)", 2)} AS net_sales_per_transaction
+  FROM strategy_a
+)
+SELECT *,
+  CASE WHEN discount_rate_percent > 20 AND net_sales_per_transaction < 5 THEN 'review_discount_depth'
+       WHEN transaction_count > 100 AND net_sales_per_transaction >= 8 THEN 'candidate_for_promotion'
+       ELSE 'monitor' END AS commercial_action
+FROM strategy""",
     "folder_paths": """
 WITH f AS (
   SELECT p_partkey, p_brand, p_name,

@@ -54,7 +54,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must already be set to shared storage; every executor and the driver
-    see it. Only when it is unset (local tests) do we create one under the temp folder.
+    see it. Only a local session that does not set it (tests) gets one under the temp folder.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -70,6 +70,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if sc is not None:
             sc.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
+    if sc is None or not sc.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="quarterdeck-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     if sc is not None:

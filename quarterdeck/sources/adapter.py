@@ -29,12 +29,12 @@ TIME_OF_DAY_MULTIPLIER = 7919
 NEW_UNIT_REGION = "MIDDLE EAST"  # units onboarded through the JSON route
 ROUTE_JSON = "new_unit_json_files"
 ROUTE_DB = "pos_db_extract"
-EVENT_UNITS = 10  # events: unit = user_id mod 10
+USERS_PER_UNIT = 15  # events: unit = user_id div 15, so units grow with the users
+METER_EVENTS = ("view", "click")  # events that are meter readings; all others are sales lines
 ENERGY_UNIT_RATE = "0.20"  # currency per kWh
 BUDGET_FACTOR = "1.05"
 FORECAST_FACTOR = "0.97"
-BUDGET_LAST_DAY = 20  # budget rows exist for days 1-20 of each month
-FORECAST_FIRST_DAY = 10  # forecast rows exist for days 10-31
+FORECAST_DAYS_AHEAD = 7  # the forecast of a day comes from the figures of a week before
 CURRENCY_BY_REGION = {
     "AFRICA": "ZAR",
     "AMERICA": "USD",
@@ -51,6 +51,7 @@ OVERRIDE_BRAND = "Brand#2"
 OVERRIDE_ACTIVE_MAX_SIZE = 40
 OVERRIDE_PRICE_FACTOR = "0.90"
 RENAMED_SUFFIX = " (renamed)"
+FAULT_DAYS = 2000
 
 DRIVER_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -63,31 +64,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a fact scan that yields fewer input splits than the cluster has cores.
-
-    A file written as one big row group is read by one task, which would then run every
-    fused per-row step alone. Used only where heavy per-row work follows the scan (the
-    sales-line mapping); scans that feed aggregates are reduced map-side and are not spread.
-    On real data (many files / row groups) the scan already has at least as many splits as
-    cores and nothing is added; the check is planning-only.
-    """
-    try:
-        cores = spark_cores(df.sparkSession)
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (Spark Connect): leave the scan as is
-        return df
-    if splits < cores:
-        # hash on the first column: deterministic under task retries without the sort a
-        # round-robin repartition needs for that
-        return df.repartition(cores, df.columns[0])
-    return df
-
-
-def spark_cores(spark: SparkSession) -> int:
-    return int(spark.sparkContext.defaultParallelism)
-
-
 def _ts(c: str) -> Column:
     """Driver timestamps have no zone: read them as UTC wall-clock time."""
     return F.col(c).cast("timestamp")
@@ -121,7 +97,7 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze sales lines of both ingestion routes, typed, with the route tag."""
-    li = spread_small_scan(read_table(spark, sf_dir, "lineitem"))
+    li = read_table(spark, sf_dir, "lineitem")
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority"
     )
@@ -203,7 +179,7 @@ ADAPTER_TIEBREAK = ["product_id", "unit_id"]
 
 
 def _event_units(df: DataFrame) -> DataFrame:
-    u = F.col("user_id") % EVENT_UNITS
+    u = F.floor(F.col("user_id") / USERS_PER_UNIT)
     return df.withColumns(
         {
             "country_code": F.concat(F.lit("EVT_"), (u % 5).cast("string")),
@@ -214,8 +190,11 @@ def _event_units(df: DataFrame) -> DataFrame:
 
 
 def event_sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases as raw sales lines with real intraday timestamps (one line per event)."""
-    ev = read_table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
+    """Events as raw sales lines with real intraday timestamps (one line per event).
+
+    All events but the meter readings: a failed one is a cancelled line, the others completed.
+    """
+    ev = read_table(spark, sf_dir, "events").filter(~F.col("event_type").isin(*METER_EVENTS))
     ts = _ts("ts")
     return _event_units(ev).select(
         F.to_date(ts).alias("business_date"),
@@ -228,7 +207,7 @@ def event_sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("gross_sales"),
         F.lit(0.0).alias("discount_amount"),
         F.lit(0.0).alias("tax_amount"),
-        F.lit("completed").alias("line_status"),
+        F.when(F.col("event_type") == "error", "cancelled").otherwise("completed").alias("line_status"),
         F.lit(1.0).alias("quantity"),
         F.lit(True).alias("is_priced_product"),
         F.lit(False).alias("is_kitchen_instruction"),
@@ -237,7 +216,7 @@ def event_sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def energy_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Views and clicks as meter readings: kWh = value, cost = kWh × rate (exact decimal)."""
-    ev = read_table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "click"))
+    ev = read_table(spark, sf_dir, "events").filter(F.col("event_type").isin(*METER_EVENTS))
     return _event_units(ev).select(
         "unit_id",
         _ts("ts").alias("reading_ts"),
@@ -323,8 +302,7 @@ def country_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _daily_unit_gross_cents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shipped gross cents per (date, unit): the plan figures are scaled from it.
 
-    Three columns of lineitem only, reduced map-side by a partial aggregate (no join, no
-    spread: the scan feeds an aggregate, not per-row work).
+    Three columns of lineitem only, reduced map-side by a partial aggregate.
     """
     li = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").select("l_shipdate", "l_suppkey", "l_extendedprice")
     # group by the numeric key; the string unit id is built once per group, not per line
@@ -340,25 +318,43 @@ def _scaled(cents_col: str, factor: str) -> Column:
     return F.floor((F.col(cents_col) * basis + 50) / 100) / 100
 
 
-def _daily_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Budget and forecast from one aggregate. Each figure is gated by a condition on the
-    aggregated value, so the row filters below cannot be pushed under the aggregate: both
-    consumers keep the same aggregate subtree and its exchange is reused (one scan)."""
-    g = _daily_unit_gross_cents(spark, sf_dir)
-    day = F.dayofmonth("business_date")
-    return g.select(
-        "business_date",
-        "unit_id",
-        F.when(day <= BUDGET_LAST_DAY, _scaled("gross_c", BUDGET_FACTOR)).alias("daily_budget_net_sales"),
-        F.when(day >= FORECAST_FIRST_DAY, _scaled("gross_c", FORECAST_FACTOR)).alias("forecast_net_sales"),
-    )
-
-
 def daily_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _daily_plans(spark, sf_dir)
-    return p.filter(F.col("daily_budget_net_sales").isNotNull()).select("business_date", "unit_id", "daily_budget_net_sales")
+    """Budget: the day's shipped gross by a fixed factor."""
+    shipped = _daily_unit_gross_cents(spark, sf_dir)
+    return shipped.select("business_date", "unit_id", _scaled("gross_c", BUDGET_FACTOR).alias("daily_budget_net_sales"))
 
 
 def daily_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _daily_plans(spark, sf_dir)
-    return p.filter(F.col("forecast_net_sales").isNotNull()).select("business_date", "unit_id", "forecast_net_sales")
+    """Forecast: the shipped gross of a week before by a fixed factor, so either plan has
+    days that the other lacks."""
+    shipped = _daily_unit_gross_cents(spark, sf_dir)
+    ahead = F.date_add("business_date", FORECAST_DAYS_AHEAD).alias("business_date")
+    return shipped.select(ahead, "unit_id", _scaled("gross_c", FORECAST_FACTOR).alias("forecast_net_sales"))
+
+
+def faulty_sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales lines as a faulty extract would deliver them, for the landing and Bronze rules.
+
+    Untaxed lines without discount lost their transaction id, lines shipped more than 2,000
+    days before their order the business date, and unpriced products post negative amounts.
+    """
+    lines = sales_lines(spark, sf_dir)
+    untaxed = (F.col("tax_amount") == 0) & (F.col("discount_amount") == 0)
+    return lines.withColumns(
+        {
+            "transaction_id": F.when(~untaxed, F.col("transaction_id")),
+            "business_date": F.when(F.col("source_sequence") >= -FAULT_DAYS, F.col("business_date")),
+            "gross_sales": F.when(F.col("is_priced_product"), F.col("gross_sales")).otherwise(-F.col("gross_sales")),
+        }
+    )
+
+
+def faulty_energy_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings without a unit (users under one unit's count) and with credited cost."""
+    readings = energy_readings(spark, sf_dir)
+    return readings.withColumns(
+        {
+            "unit_id": F.when(F.col("unit_id") != "E0", F.col("unit_id")),
+            "estimated_running_cost": F.when(F.col("kwh_consumed") < 100, F.col("estimated_running_cost")).otherwise(-F.col("estimated_running_cost")),
+        }
+    )

@@ -22,8 +22,9 @@ def _reader(spark: SparkSession, streaming: bool, max_files: int | None):
 
 
 def read_sales_csv(spark: SparkSession, path: str, streaming: bool = False, max_files: int | None = None) -> DataFrame:
-    """POS extracts (CSV with header) landed by the database copy."""
-    df = _reader(spark, streaming, max_files).schema(SALES_RAW).option("header", True).csv(path)
+    """POS extracts (CSV with header) landed by the database copy; a header that is not the
+    contract's, in its order, fails the read instead of filling wrong columns."""
+    df = _reader(spark, streaming, max_files).schema(SALES_RAW).option("header", True).option("enforceSchema", False).csv(path)
     return with_ingestion_metadata(df, ROUTE_DB)
 
 
@@ -34,7 +35,7 @@ def read_new_unit_json(spark: SparkSession, path: str, streaming: bool = False,
 
 
 def read_energy_csv(spark: SparkSession, path: str, streaming: bool = False, max_files: int | None = None) -> DataFrame:
-    df = _reader(spark, streaming, max_files).schema(ENERGY_RAW).option("header", True).csv(path)
+    df = _reader(spark, streaming, max_files).schema(ENERGY_RAW).option("header", True).option("enforceSchema", False).csv(path)
     return with_ingestion_metadata(df)
 
 

@@ -15,10 +15,10 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from quarterdeck.functions.paths import build_target_path_py
+from quarterdeck.functions.paths import build_target_path
 from quarterdeck.schemas import INGESTION_CONTROL, MASTER_SCHEMAS, RUN_AUDIT
 
 WATERMARK_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -37,17 +37,22 @@ def incremental_extract(df: DataFrame, watermark_column: str | None, last_value:
     return df.filter(F.col(watermark_column) > F.lit(last_value).cast(dtype))
 
 
+def watermark_text(df: DataFrame, watermark_column: str) -> Column:
+    """The largest value of a watermark column as text, in one format for any zone and type."""
+    largest = F.max(watermark_column)
+    kind = df.schema[watermark_column].dataType.typeName()
+    return F.date_format(largest, WATERMARK_FORMAT) if kind in ("timestamp", "timestamp_ntz", "date") else largest.cast("string")
+
+
 def advance_watermark(extract: DataFrame, watermark_column: str, previous: str | None) -> DataFrame:
     """One row: previous / new watermark and the extract size. Empty extract keeps the old
     value."""
     return extract.agg(
         F.count(F.lit(1)).alias("rows_extracted"),
-        F.max(watermark_column).alias("__max"),
+        watermark_text(extract, watermark_column).alias("__max"),
     ).select(
         F.lit(previous).cast("string").alias("previous_watermark"),
-        F.coalesce(F.date_format("__max", WATERMARK_FORMAT), F.lit(previous).cast("string")).alias(
-            "new_watermark"
-        ),
+        F.coalesce("__max", F.lit(previous).cast("string")).alias("new_watermark"),
         "rows_extracted",
     )
 
@@ -90,7 +95,7 @@ def _extract_one(spark, row: Row, reader: SourceReader, landing_base: str, run_i
         measured = extract.observe(
             obs,
             F.count(F.lit(1)).alias("rows"),
-            *([F.max(wm_col).alias("max_wm")] if wm_col else []),
+            *([watermark_text(extract, wm_col).alias("max_wm")] if wm_col else []),
         )
         path = landing_path(landing_base, row["target_folder"], trigger.strftime("%Y-%m-%d"), run_id)
         measured.write.mode("overwrite").option("header", True).csv(path)
@@ -98,10 +103,10 @@ def _extract_one(spark, row: Row, reader: SourceReader, landing_base: str, run_i
         rows = int(stats.get("rows", 0))
         new_wm = previous
         if wm_col and rows > 0 and stats.get("max_wm") is not None:
-            new_wm = stats["max_wm"].strftime("%Y-%m-%d %H:%M:%S")
+            new_wm = stats["max_wm"]
         return (row["ingestion_id"], rows, rows, STATUS_OK, previous, new_wm, None)
     except Exception as exc:  # the audit row records the failure; other objects go on
-        return (row["ingestion_id"], None, None, STATUS_FAILED, previous, previous, str(exc)[:4000])
+        return (row["ingestion_id"], None, None, STATUS_FAILED, previous, previous, str(exc))
 
 
 def run_ingestion(
@@ -126,16 +131,16 @@ def run_ingestion(
         results = list(pool.map(lambda r: _extract_one(spark, r, reader, landing_base, run_id, trigger), rows))
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     audit_rows = [
-        (i + 1, ing, run_id, trigger, rr, rw, st, pw, nw, err, now)
-        for i, (ing, rr, rw, st, pw, nw, err) in enumerate(results)
+        (0, ing, run_id, trigger, rr, rw, st, pw, nw, err, now) for ing, rr, rw, st, pw, nw, err in results
     ]
-    audit = spark.createDataFrame(audit_rows, RUN_AUDIT)
+    # an id of run and object: no run repeats another's
+    audit = spark.createDataFrame(audit_rows, RUN_AUDIT).withColumn("audit_id", F.abs(F.xxhash64("pipeline_run_id", "ingestion_id")))
     new_wm = spark.createDataFrame(
         [(ing, nw) for ing, _, _, st, _, nw, _ in results if st == STATUS_OK],
         "ingestion_id long, __new_wm string",
     )
     updated = (
-        control.join(F.broadcast(new_wm), "ingestion_id", "left")
+        control.join(new_wm, "ingestion_id", "left")
         .withColumn("last_watermark_value", F.coalesce("__new_wm", "last_watermark_value"))
         .withColumn(
             "updated_at_utc",
@@ -165,7 +170,8 @@ def master_file_to_parquet(
     schema = MASTER_SCHEMAS.get(entity_key)
     reader = spark.read.option("header", True)
     df = reader.schema(schema).csv(source_path) if schema is not None else reader.csv(source_path)
-    target = f"{build_target_path_py(target_base, folder, entity)}/{entity_key}_{stamp}"
+    path = spark.range(1).select(build_target_path(F.lit(target_base), F.lit(folder), F.lit(entity)).alias("path")).first()["path"]
+    target = f"{path}/{entity_key}_{stamp}"
     df.write.mode("overwrite").parquet(target)
     return target
 
@@ -225,7 +231,7 @@ def run_master_ingestion(
             path = master_file_to_parquet(spark, src, target_base, folder, row["entity_name"], stamp)
             return (row["entity_name"], path, STATUS_OK, None)
         except Exception as exc:
-            return (row["entity_name"], None, STATUS_FAILED, str(exc)[:4000])
+            return (row["entity_name"], None, STATUS_FAILED, str(exc))
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         results = list(pool.map(copy, rows))

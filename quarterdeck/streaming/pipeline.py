@@ -28,11 +28,13 @@ from pyspark.sql.streaming import StreamingQuery
 from quarterdeck.operators import dims, products, quality
 from quarterdeck.operators.dedupe import latest_master_snapshot
 from quarterdeck.operators.rules import apply_sales_business_rules, standardise_sales_columns
-from quarterdeck.schemas import MASTER_KEYS
+from quarterdeck.schemas import MASTER_KEYS, MASTER_SCHEMAS
 from quarterdeck.sources import files
-from quarterdeck.streaming.upsert import Scd1Upsert, path_exists, read_partitions
+from quarterdeck.streaming.upsert import Scd1Upsert, any_match, path_exists, read_current, read_partitions
 
 PARTITION = "business_date"
+UNIFIED, ROUTE_FOLDER = "bronze_sales_line_items_unified", "bronze_route"
+BUSINESS = "silver_sales_line_items_business"
 
 
 @dataclass(frozen=True)
@@ -79,16 +81,18 @@ def _append(df: DataFrame, layout: LakeLayout, name: str, partition_by: list[str
 EXPECTATION_LOG: dict[str, dict[str, int]] = {}
 
 
-def _await(q: StreamingQuery) -> None:
+def _await(q: StreamingQuery) -> int:
+    """Waits for a triggered query; returns the rows it read and logs its expectations."""
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream {q.name or q.id} failed: {q.exception()}")
-    for progress in q.recentProgress:
+    seen = {str(p.batchId): p for p in q.recentProgress}
+    for progress in seen.values():
         for metric, values in (progress.observedMetrics or {}).items():
-            acc = EXPECTATION_LOG.setdefault(metric, {})
-            row = values.asDict() if hasattr(values, "asDict") else dict(values)
-            for k, v in row.items():
-                acc[k] = acc.get(k, 0) + int(v or 0)
+            total = EXPECTATION_LOG.setdefault(metric, {})
+            for k, v in values.asDict().items():
+                total[k] = total.get(k, 0) + int(v or 0)
+    return sum(int(p.numInputRows or 0) for p in seen.values())
 
 
 def _read_stream_table(spark: SparkSession, layout: LakeLayout, name: str) -> DataFrame:
@@ -103,7 +107,9 @@ def _read_stream_table(spark: SparkSession, layout: LakeLayout, name: str) -> Da
 # ------------------------------------------------------------------------ bronze hops
 
 
-def run_bronze(spark: SparkSession, layout: LakeLayout) -> None:
+def run_bronze(spark: SparkSession, layout: LakeLayout) -> bool:
+    """Lands everything new; tells whether new master files came."""
+    new_masters = False
     mf = layout.max_files_per_trigger
     landing = layout.landing.rstrip("/")
     if path_exists(spark, layout.new_unit_json):
@@ -123,19 +129,16 @@ def run_bronze(spark: SparkSession, layout: LakeLayout) -> None:
         for n in ("bronze_oracle_sales_line_items", "bronze_new_unit_sales_line_items")
         if path_exists(spark, layout.table(n))
     ]
-    if routes:
-        streams = [_read_stream_table(spark, layout, n).drop(quality.FAILED_COL) for n in routes]
-        unified = streams[0]
-        for s in streams[1:]:
-            unified = unified.unionByName(s, allowMissingColumns=True)
-        _await(_append(unified, layout, "bronze_sales_line_items_unified"))
+    # One stream and one folder per route: a route that starts later joins without touching the
+    # checkpoints of the others.
+    for name in routes:
+        rows = _read_stream_table(spark, layout, name).drop(quality.FAILED_COL)
+        _await(_append(rows, layout, f"{UNIFIED}/{ROUTE_FOLDER}={name}"))
     if path_exists(spark, layout.master):
         for entity in MASTER_KEYS:
-            try:
+            if any_match(spark, f"{layout.master.rstrip('/')}/*/{entity}/{entity}_*"):  # else not delivered yet
                 master = files.read_master_parquet(spark, layout.master, entity, streaming=True, max_files=mf)
-            except Exception:  # entity not delivered yet
-                continue
-            _await(_append(master, layout, f"bronze_master_files/{entity}"))
+                new_masters |= _await(_append(master, layout, f"bronze_master_files/{entity}")) > 0
     if path_exists(spark, f"{landing}/energy_meter_readings"):
         energy = files.read_energy_csv(spark, f"{landing}/energy_meter_readings", streaming=True, max_files=mf)
         energy = quality.with_dq_flags(
@@ -144,6 +147,7 @@ def run_bronze(spark: SparkSession, layout: LakeLayout) -> None:
         ).withColumn("reading_date", F.to_date(F.try_to_timestamp("quarter_hour_start_ts")))
         energy = quality.observe_expectations(energy, quality.BRONZE_ENERGY_RULES, "dq_bronze_energy_meter_readings")
         _await(_append(energy, layout, "bronze_energy_meter_readings", ["reading_date"]))
+    return new_masters
 
 
 # ------------------------------------------------------------------------ silver hops
@@ -163,9 +167,6 @@ class SilverSalesUpsert(Scd1Upsert):
         )
         self.layout = layout
 
-    def _with_partition(self, df: DataFrame) -> DataFrame:
-        return df if self.partition_expr is None else df.withColumn(self.partition_col, self.partition_expr)
-
     def __call__(self, batch: DataFrame, batch_id: int) -> list:
         spark = batch.sparkSession
         pc = self.partition_col
@@ -175,24 +176,36 @@ class SilverSalesUpsert(Scd1Upsert):
         deduped = read_partitions(spark, self.target, pc, touched)
         business = deduped.transform(apply_sales_business_rules)
         _overwrite_partitions(business, self.layout.table("silver_sales_line_items_business"), pc)
-        dims_ready = all(
-            path_exists(spark, self.layout.table(t))
-            for t in ("silver_dim_unit", "silver_dim_product", "silver_daily_budget_forecast")
-        )
-        if dims_ready:
-            analytics = products.transactional_from_silver(
-                read_partitions(spark, self.layout.table("silver_sales_line_items_business"), pc, touched),
-                spark.read.parquet(self.layout.table("silver_dim_unit")),
-                spark.read.parquet(self.layout.table("silver_dim_product")),
-                spark.read.parquet(self.layout.table("silver_daily_budget_forecast")),
-                with_versions=True,
-            )
-            _overwrite_partitions(
-                self._with_partition(analytics), self.layout.table("analytics_sales_transactional"), pc
-            )
+        write_analytics(self.layout, read_partitions(spark, self.layout.table(BUSINESS), pc, touched))
         return touched
 
 
+def write_analytics(layout: LakeLayout, business: DataFrame) -> None:
+    """The analytics rows of the given Silver lines, partition by partition; a dimension that was
+    not delivered yet leaves its columns null until it comes."""
+    spark = business.sparkSession
+    col, expr = layout.partitioning()
+
+    def dim(name: str, schema: str) -> DataFrame:
+        path = layout.table(name)
+        return spark.read.parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+    rows = products.transactional_from_silver(
+        business,
+        dim("silver_dim_unit", "country_code string, location_id string, unit_id string, unit_name string"),
+        dim("silver_dim_product", "product_id string, product_name string, product_category string"),
+        dim("silver_daily_budget_forecast", "business_date date, unit_id string, daily_budget_net_sales double, forecast_net_sales double"),
+        with_versions=True,
+    )
+    _overwrite_partitions(rows if expr is None else rows.withColumn(col, expr), layout.table("analytics_sales_transactional"), col)
+
+
+def refresh_analytics(spark: SparkSession, layout: LakeLayout) -> None:
+    """Recomputes the analytics table of all Silver lines, after new or changed dimensions."""
+    if path_exists(spark, layout.table(BUSINESS)):
+        write_analytics(layout, read_current(spark, layout.table(BUSINESS)))
+
+
 def _overwrite_partitions(df: DataFrame, path: str, partition_col: str = PARTITION) -> None:
     """Replace only the partitions present in ``df``; REBALANCE lets AQE size the files
     (small partitions coalesced, a hot date split over several writers)."""
@@ -206,11 +219,11 @@ def _overwrite_partitions(df: DataFrame, path: str, partition_col: str = PARTITI
 
 
 def run_silver_sales(spark: SparkSession, layout: LakeLayout, tiebreak=None) -> None:
-    if not path_exists(spark, layout.table("bronze_sales_line_items_unified")):
+    if not path_exists(spark, layout.table(UNIFIED)):
         return
-    src = _read_stream_table(spark, layout, "bronze_sales_line_items_unified")
+    src = _read_stream_table(spark, layout, UNIFIED)
     q = (
-        src.writeStream.foreachBatch(SilverSalesUpsert(layout, tiebreak))
+        src.drop(ROUTE_FOLDER).writeStream.foreachBatch(SilverSalesUpsert(layout, tiebreak))
         .option("checkpointLocation", layout.ckpt("silver_sales_line_items_deduped"))
         .trigger(availableNow=True)
         .start()
@@ -227,7 +240,11 @@ def run_silver_energy(spark: SparkSession, layout: LakeLayout) -> None:
     target = layout.table("silver_energy_15_minute_cost")
 
     def recompute(batch: DataFrame, batch_id: int) -> None:
-        touched = [r[0] for r in batch.select("reading_date").distinct().dropna().collect()]
+        # a reading without a readable time has no bucket: kept aside, never dropped silently
+        unread = batch.filter(F.col("reading_date").isNull())
+        if unread.limit(1).count():
+            unread.write.mode("overwrite").parquet(f"{target}_quarantine/batch_id={batch_id}")
+        touched = [r[0] for r in batch.filter(F.col("reading_date").isNotNull()).select("reading_date").distinct().collect()]
         if not touched:
             return
         readings = spark.read.parquet(bronze_path).filter(F.col("reading_date").isin(touched))
@@ -277,10 +294,12 @@ def run_dims(spark: SparkSession, layout: LakeLayout) -> None:
         excl = excl if excl is not None else spark.createDataFrame([], "product_id string, is_active boolean")
         files.write_overwrite_table(dims.dim_product(product, corr, excl), layout.table("silver_dim_product"))
     budget, forecast = get("dailybudget"), get("forecast")
-    if budget is not None and forecast is not None:
-        files.write_overwrite_table(
-            dims.daily_budget_forecast(budget, forecast), layout.table("silver_daily_budget_forecast")
-        )
+    if budget is not None or forecast is not None:
+        if budget is None:
+            budget = spark.createDataFrame([], MASTER_SCHEMAS["dailybudget"])
+        if forecast is None:
+            forecast = spark.createDataFrame([], MASTER_SCHEMAS["forecast"])
+        files.write_overwrite_table(dims.daily_budget_forecast(budget, forecast), layout.table("silver_daily_budget_forecast"))
 
 
 def run_gold(spark: SparkSession, layout: LakeLayout) -> None:
@@ -301,8 +320,13 @@ def run_gold(spark: SparkSession, layout: LakeLayout) -> None:
 def run_pipeline(spark: SparkSession, layout: LakeLayout, tiebreak=None) -> None:
     """One triggered run of the whole graph (idempotent: a rerun without new files changes
     nothing, a replayed micro-batch gives the same rows)."""
-    run_bronze(spark, layout)
+    EXPECTATION_LOG.clear()
+    # a triggered run ends; keep the progress of all its micro-batches until it is counted
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(2**31 - 1))
+    new_masters = run_bronze(spark, layout)
     run_dims(spark, layout)
+    if new_masters:  # lines of earlier runs get the new dimensions
+        refresh_analytics(spark, layout)
     run_silver_sales(spark, layout, tiebreak)
     run_silver_energy(spark, layout)
     run_gold(spark, layout)

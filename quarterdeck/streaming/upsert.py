@@ -7,19 +7,21 @@ partitions. For each micro-batch:
 1. rows with a null key part go to quarantine (``{target}_quarantine/batch_id=N``);
 2. the touched partitions of the batch are found (one aggregate; a set bounded by the
    calendar, not by the data);
-3. the stored rows of those dates (partition pruning) are unioned with the batch and
+3. the stored rows of those partitions (partition pruning) are unioned with the batch and
    reduced to the newest version per key (the same total order as batch dedupe);
-4. the result is written to a stage ``_staging/batch_id=N`` (a ``_SUCCESS`` marker makes
-   it complete) and then swapped in with dynamic partition overwrite.
+4. the result is written to a stage of its own, ``_staging/{uuid}``, swapped in with dynamic
+   partition overwrite, and the stage is deleted.
 
-A crash before the stage completes changes nothing; a crash during the swap is repaired on
-replay, which finds the complete stage of the same batch id and swaps again. Replaying a
-batch gives the same rows because the newest-version pick is a maximum under a total order;
+No decision rests on a batch id or a checkpoint: a stage that a crash left behind holds
+versions that may be missing from the table, so the next call reads every complete one as
+further input, with the partitions it touches, and deletes it after the swap. The pick of the
+newest version is a maximum under a total order, so replays and repairs give the same rows, and
 an older version that arrives later loses.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +50,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return [f"{path}/{x.getPath().getName()}" for x in fs.listStatus(p) if x.isDirectory()] if fs.exists(p) else []
+
+
+def any_match(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path pattern matches anything."""
+    fs, p = _fs(spark, pattern)
+    return bool(fs.globStatus(p))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def read_partitions(spark: SparkSession, target: str, partition_col: str, values: list) -> DataFrame | None:
     """Only the given partitions of a table, with their schemas merged.
 
@@ -94,16 +112,25 @@ class Scd1Upsert:
     def __call__(self, batch: DataFrame, batch_id: int) -> list:
         """Upsert one micro-batch; returns the partition values it touched."""
         spark = batch.sparkSession
-        stage = f"{self.staging}/batch_id={batch_id}"
-        if path_exists(spark, f"{stage}/_SUCCESS"):  # replay after a crash: the stage is complete
-            staged = spark.read.parquet(stage)
-            touched = [r[0] for r in staged.select(self.partition_col).distinct().collect()] if staged.columns else []
-        else:
-            touched = self._stage(spark, batch, stage, batch_id)
-        self._swap(spark, stage)
+        left = self._left_stages(spark)
+        stage = f"{self.staging}/{uuid.uuid4().hex}"
+        touched = self._stage(spark, batch, stage, batch_id, left)
+        if touched:
+            self._swap(spark, stage)
+        for done in (*left, stage):
+            delete_path(spark, done)
         return touched
 
-    def _stage(self, spark: SparkSession, batch: DataFrame, stage: str, batch_id: int = 0) -> list:
+    def _left_stages(self, spark: SparkSession) -> list[str]:
+        """Complete stages of calls that did not finish (incomplete ones are deleted)."""
+        found = list_folders(spark, self.staging)
+        complete = [p for p in found if path_exists(spark, f"{p}/_SUCCESS")]
+        for path in found:
+            if path not in complete:
+                delete_path(spark, path)
+        return complete
+
+    def _stage(self, spark: SparkSession, batch: DataFrame, stage: str, batch_id: int = 0, left: Sequence[str] = ()) -> list:
         rows = _typed(batch if self.prepare is None else self.prepare(batch))
         if self.partition_expr is not None:
             rows = rows.withColumn(self.partition_col, self.partition_expr)
@@ -112,23 +139,20 @@ class Scd1Upsert:
             null_key = null_key | F.col(k).isNull()
         rows = rows.persist()  # the batch is read by the check, the quarantine and the merge
         try:
-            stats = rows.agg(
-                F.count_if(null_key).alias("null_keys"),
-                F.collect_set(F.when(~null_key, F.col(self.partition_col))).alias("touched"),
-            ).first()
-            if stats["null_keys"]:
+            if rows.filter(null_key).limit(1).count():
                 # one folder per batch id, overwritten on replay: quarantined rows never double
                 rows.filter(null_key).write.mode("overwrite").parquet(f"{self.quarantine}/batch_id={batch_id}")
-            good = rows.filter(~null_key)
-            touched = list(stats["touched"])
+            merged = rows.filter(~null_key)
+            for path in left:
+                merged = merged.unionByName(spark.read.parquet(path), allowMissingColumns=True)
+            # partition values: a set bounded by the calendar
+            touched = [r[0] for r in merged.select(self.partition_col).distinct().collect()]
             if not touched:
-                good.limit(0).write.mode("overwrite").parquet(stage)
                 return []
-            merged = good
             stored = read_partitions(spark, self.target, self.partition_col, touched)
             if stored is not None:
                 # by name, so a column added by a later extract is null on older stored rows
-                merged = good.unionByName(stored, allowMissingColumns=True)
+                merged = merged.unionByName(stored, allowMissingColumns=True)
             newest = latest_per_key(merged, self.keys, self.order, self.tiebreak)
             newest.write.mode("overwrite").parquet(stage)
             return touched

@@ -52,30 +52,3 @@ def test_distinct_count_splits_hot_groups(spark):
 def test_top_k_is_take_ordered(spark):
     text = _formatted(QUERIES["top_discounts"](spark, SMOKE_DIR))
     assert "TakeOrderedAndProject" in text
-
-
-def test_spread_only_when_the_scan_has_fewer_splits_than_cores(spark):
-    from quarterdeck.sources.adapter import spark_cores, spread_small_scan
-
-    cores = spark_cores(spark)
-    wide = spark.range(0, 1000, numPartitions=cores * 2)
-    assert spread_small_scan(wide) is wide  # real multi-split data: untouched, no shuffle
-    narrow = spark.range(0, 1000, numPartitions=1)
-    spread = spread_small_scan(narrow)
-    assert spread.rdd.getNumPartitions() == cores and spread.count() == 1000
-
-
-def test_join_small_broadcasts_only_under_the_proven_bound(spark):
-    from quarterdeck.operators.joins import join_small
-
-    big = spark.range(0, 5000).withColumnRenamed("id", "k")
-    small = spark.range(0, 50).withColumnRenamed("id", "k")
-    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # isolate the explicit decision
-    try:
-        under = _formatted(join_small(big, small, "k", "left", max_rows=100))
-        over = _formatted(join_small(big, small, "k", "left", max_rows=10))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
-    assert "BroadcastHashJoin" in under
-    assert "BroadcastHashJoin" not in over and "SortMergeJoin" in over

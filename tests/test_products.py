@@ -154,13 +154,14 @@ def test_reconciliations(spark):
     countries = spark.createDataFrame([("GB",), ("FR",), ("ES",)], "country_code string")
     sales = spark.createDataFrame([(D, "GB", 10.0), (D, "FR", 5.0), (dt.date(2026, 1, 2), "GB", 1.0)],
                                   "business_date date, country_code string, net_sales double")
-    missing = sorted((r.business_date.day, r.country_code) for r in recon.missing_countries(countries, sales).collect())
-    assert missing == [(1, "ES"), (2, "ES"), (2, "FR")]
+    missing = sorted((r.business_date.day, r.country_code) for r in recon.missing_countries(countries, sales, D, dt.date(2026, 1, 3)).collect())
+    # on the third day every country was silent
+    assert missing == [(1, "ES"), (2, "ES"), (2, "FR"), (3, "ES"), (3, "FR"), (3, "GB")]
     gold = spark.createDataFrame([(D, "GB", 10.0), (D, "FR", 4.0)], "business_date date, country_code string, net_sales double")
     r3 = {r.country_code: r for r in recon.gold_silver_net_sales(gold, sales.filter(F.col("business_date") == D)).collect()}
     assert r3["GB"].is_reconciled and not r3["FR"].is_reconciled and r3["FR"].net_sales_difference == -1.0
     bronze = spark.createDataFrame([(D, "k1"), (D, "k1"), (D, "k2")], "business_date date, k string")
-    r2 = recon.bronze_silver_dropped(bronze, bronze.dropDuplicates(["k"]), ["k"]).first()
+    r2 = recon.bronze_silver_dropped(bronze, ["k"]).first()
     assert (r2.bronze_rows, r2.silver_rows, r2.dropped_rows) == (3, 2, 1)
 
 

@@ -9,9 +9,7 @@ import pytest
 
 from quarterdeck.functions.paths import (
     build_target_path,
-    build_target_path_py,
     normalise_folder_name,
-    normalise_folder_name_py,
 )
 from quarterdeck.operators.rules import (
     add_quarter_hour_bucket,
@@ -93,15 +91,12 @@ def test_folder_name_normalisation(spark):
     df = spark.createDataFrame([(k,) for k in cases], "name string")
     got = {r.name: r.n for r in df.select("name", normalise_folder_name("name").alias("n")).collect()}
     assert got == cases
-    assert {k: normalise_folder_name_py(k) for k in cases} == cases
 
 
 def test_folder_name_null_raises(spark):
     df = spark.createDataFrame([(None,)], "name string")
     with pytest.raises(Exception, match="must not be None"):
         df.select(normalise_folder_name("name")).collect()
-    with pytest.raises(ValueError):
-        normalise_folder_name_py(None)
 
 
 def test_target_path(spark):
@@ -109,4 +104,3 @@ def test_target_path(spark):
     df = spark.createDataFrame([(base, "Product Hierarchy Corrections", "Product Corrections")], "b string, f string, e string")
     path = df.select(build_target_path("b", "f", "e").alias("p")).first().p
     assert path.endswith("/masters/producthierarchycorrections/productcorrections")
-    assert path == build_target_path_py(base, "Product Hierarchy Corrections", "Product Corrections")

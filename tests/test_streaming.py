@@ -178,7 +178,7 @@ def test_generated_delivery_through_pipeline(spark, tmp_dir):
     assert not kitchen
     assert spark.read.parquet(layout.table("gold_unit_quarter_hour_sales")).count() > 0
     dims = spark.read.parquet(layout.table("silver_dim_product"))
-    assert dims.filter("product_id = 'P004'").first().product_category == "Meal Deal"
+    assert dims.filter("product_id = 'A400'").first().product_category == "Meal Deal"
     inv = S.gen_inventory(spark, S.gen_units(spark, 6), days=2)
     assert inv.count() == 2 * 12 * 7
 
