@@ -262,9 +262,10 @@ def q_unified_bronze(spark, sf_dir):
 
     Files arrive route by route (``files.unified_sales``); the given tables hold both already.
     """
-    return standardise_sales_columns(bronze_sales(spark, sf_dir)).select(
-        *KEYS, "unit_id", "product_id", "gross_sales", "source_file_name", "_source_ingestion_route"
-    )
+    lines = bronze_sales(spark, sf_dir)
+    contract = standardise_sales_columns(lines).columns
+    kept = [c for c in lines.columns if c in contract or c == "source_file_name"]
+    return lines.select(*kept).select(*KEYS, "unit_id", "product_id", "gross_sales", "source_file_name", "_source_ingestion_route")
 
 
 def q_dq_flags(spark, sf_dir):

@@ -493,7 +493,7 @@ SELECT 'transaction_id_is_present' AS rule_name, COUNT(*) AS rows_checked, COUNT
   COUNT(transaction_id) AS rows_passed FROM faulty
 UNION ALL
 SELECT 'business_date_is_present', COUNT(*), COUNT(*) FILTER (business_date IS NULL), COUNT(business_date) FROM faulty""",
-    "event_discount_actions": f"""WITH {EVENT_LINES.replace("0.0 AS discount_amount", "round(CAST(value AS DECIMAL(18,2)) * (user_id % 4) / 10, 2)::DOUBLE AS discount_amount")},{_rules("elines", "silver")},
+    "event_discount_actions": f"""WITH {EVENT_LINES.replace("0.0 AS discount_amount", "CAST(ROUND(CAST(value AS DECIMAL(18,2)) * CAST(user_id % 4 AS DECIMAL(2,0)) * CAST('0.1' AS DECIMAL(2,1)), 2) AS DOUBLE) AS discount_amount")},{_rules("elines", "silver")},
 strategy_a AS (
   SELECT country_code, location_id, unit_id, {xsum("gross_sales")} AS gross_sales, {xsum("discount_amount")} AS discount_amount,
     {xsum("net_sales")} AS net_sales, COUNT(DISTINCT transaction_id) AS transaction_count,
