@@ -1,8 +1,8 @@
-"""Benchmark the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
+"""Benchmark every registered query of the analytics engine at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is fully executed through the ``noop`` sink (the whole plan runs, nothing is
 collected to the driver). One untimed warm-up pass primes the JVM; then every query runs
-$BENCH_REPEATS times and its median is reported. Prints one JSON line.
+$BENCH_REPEATS times and its median is reported; all are in the total. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -18,36 +18,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from quarterdeck.plans.catalog import QUERIES  # noqa: E402
 from quarterdeck.session import build_session  # noqa: E402
 
-HEADLINE = [
-    "atv",
-    "silver_business",
-    "dedupe_reposted",
-    "discount_strategy",
-    "discount_actions",
-    "top_discounts",
-    "break_even_15min",
-    "break_even_idle",
-    "energy_15min",
-    "combo_variance",
-    "combo_override",
-    "product_controls",
-    "dim_unit",
-    "dim_product",
-    "budget_forecast",
-    "budget_variance",
-    "transactional",
-    "unified_bronze",
-    "dq_metrics",
-    "quarantine",
-    "duplicate_keys",
-    "recon_bronze_silver",
-    "recon_gold_silver",
-    "missing_countries",
-    "latest_master_snapshot",
-]
-# Streaming replay (land Bronze as files, three micro-batches through the staged upsert):
-# mostly file I/O by design, reported on its own line item, not in the analytics total.
-STREAMING = ["scd1_stream"]
+HEADLINE = list(QUERIES)
+# The streaming replay lands Bronze as files and runs three micro-batches: one run, not three.
+ONCE = {"scd1_stream"}
 
 
 def run_once(spark, name: str, sf_dir: str) -> float:
@@ -59,15 +32,14 @@ def run_once(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
-    names = [n for n in (sys.argv[1:] or HEADLINE) if n in QUERIES and n not in STREAMING]
-    streams = [n for n in (sys.argv[1:] or STREAMING) if n in STREAMING]
+    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    names = [n for n in (sys.argv[1:] or HEADLINE) if n in QUERIES]
     spark = build_session(f"local[{cpus}]", app_name="quarterdeck-bench", shuffle_partitions=int(cpus))
     run_once(spark, "atv", sf_dir)  # warm-up
     times = {}
     for name in names:
-        times[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(repeats)), 3)
-    stream_times = {name: round(run_once(spark, name, sf_dir), 3) for name in streams}
+        runs = 1 if name in ONCE else repeats
+        times[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(runs)), 3)
     spark.stop()
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(
@@ -77,7 +49,6 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
-                "streaming": stream_times,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
             }
         )

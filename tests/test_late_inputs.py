@@ -116,3 +116,20 @@ def test_agreed_arithmetic(spark):
     row = dims.energy_15_minute_cost(readings, "at").first()
     assert (row.kwh_consumed, row.estimated_running_cost) == (100.4, 28.1)
     assert spark.range(10).select(exact_sum(F.lit(0.1))).first()[0] == 1.0
+
+
+def test_ingest_job_writes_audit_and_advances_the_control_table(spark, tmp_dir):
+    from quarterdeck.__main__ import run_ingest_job
+
+    spark.range(5).select((F.col("id") + 1).alias("version")).write.parquet(f"{tmp_dir}/src/pos/lines")
+    values = {"ingestion_id": 1, "is_active": True, "load_pattern": "incremental", "watermark_column": "version", "target_folder": "lines", "source_schema": "pos", "source_table": "lines"}
+    other = {**values, "ingestion_id": 2, "source_table": "missing"}
+    rows = [tuple(v.get(f) for f in INGESTION_CONTROL.fieldNames()) for v in (values, other)]
+    spark.createDataFrame(rows, INGESTION_CONTROL).write.parquet(f"{tmp_dir}/control")
+    for _ in range(2):
+        run_ingest_job(spark, f"{tmp_dir}/control", f"{tmp_dir}/src", f"{tmp_dir}/landing", f"{tmp_dir}/audit")
+    audit = spark.read.parquet(f"{tmp_dir}/audit").collect()
+    assert len({r.audit_id for r in audit}) == 4
+    assert sorted((r.ingestion_id, r.status, r.rows_written) for r in audit if r.ingestion_id == 1) == [(1, "Succeeded", 0), (1, "Succeeded", 5)]
+    assert {r.status for r in audit if r.ingestion_id == 2} == {"Failed"} and all(len(r.error_message) > 10 for r in audit if r.ingestion_id == 2)
+    assert [r.last_watermark_value for r in spark.read.parquet(f"{tmp_dir}/control").orderBy("ingestion_id").collect()] == ["5", None]
