@@ -33,7 +33,7 @@ from quarterdeck.llm.suffix_sort import common_prefixes, suffix_order
 
 LENGTH = 200
 GRAM = 32
-BLOCK_SEGMENTS = 2048  # about half a megabyte to sort; anchors with more segments are split
+BLOCK_SEGMENTS = 2048  # about half a megabyte to sort at once; anchors with more segments are split
 _MAP_BITS = 24
 _PLACE_BITS = 24
 _PIECE = 1 << 20
@@ -173,7 +173,14 @@ def repeated_windows(raws: list[bytes], length: int) -> list[np.ndarray]:
 
 def _sort_block(length: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        found = repeated_windows(list(rows["raw"]), length)
+        # A block's anchors are sorted in runs of about BLOCK_SEGMENTS: the keys of a run fit a task.
+        rows = rows.sort_values("anchor", kind="stable", ignore_index=True)
+        ends = np.append(np.flatnonzero(np.diff(rows["anchor"].to_numpy())) + 1, len(rows))
+        found, begin = [], 0
+        for end, after in zip(ends, np.append(ends[1:], np.iinfo(np.int64).max), strict=True):
+            if after - begin > BLOCK_SEGMENTS:
+                found += repeated_windows(list(rows["raw"][begin:end]), length)
+                begin = end
         return pd.DataFrame({"anchor": rows["anchor"], "segment": rows["segment"], "flags": [np.packbits(f).tobytes() for f in found]})
 
     return run
@@ -263,7 +270,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     blocks = max(1, -(-fetched.count() // BLOCK_SEGMENTS))
     calm = fetched.join(hot, "anchor", "left_anti").withColumn("block", F.pmod(F.xxhash64("anchor"), F.lit(blocks)))
     sorted_flags = calm.groupBy("block").applyInPandas(_sort_block(length), "anchor long, segment long, flags binary")
-    each = fetched.join(hot, "anchor").mapInArrow(_window_rows(length), "anchor long, segment long, at int, window long")
+    each = staged(fetched.join(hot, "anchor").mapInArrow(_window_rows(length), "anchor long, segment long, at int, window long"), "repeat-windows")
     again = each.groupBy("anchor", "window").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "window")
     pack = F.pandas_udf(_flags, "binary")
     hot_flags = each.join(again, ["anchor", "window"]).groupBy("anchor", "segment").agg(pack("at").alias("flags"))
