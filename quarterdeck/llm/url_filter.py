@@ -42,6 +42,12 @@ def _bucket(at: Column) -> Column:
     return F.floor(F.unix_timestamp(at) / BUCKET_SECONDS).cast("long")
 
 
+def _lower_host(pattern: Column) -> Column:
+    """A pattern with its host in lower case; a path keeps its case, as in URLs."""
+    host = F.substring_index(pattern, "/", 1)
+    return F.concat(F.lower(host), F.substr(pattern, F.length(host) + 1))
+
+
 def validity_intervals(entries: DataFrame) -> DataFrame:
     """(list_name, pattern, valid_from, valid_to) of the active stretches of each pattern.
 
@@ -51,7 +57,7 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
     with very many entries is split.
     """
     known = entries.where("pattern IS NOT NULL AND listed_at IS NOT NULL").select(
-        F.coalesce("list_name", F.lit("")).alias("list_name"), F.lower("pattern").alias("pattern"),
+        F.coalesce("list_name", F.lit("")).alias("list_name"), _lower_host(F.col("pattern")).alias("pattern"),
         F.col("listed_at").cast("timestamp").alias("valid_from"), F.coalesce("active", F.lit(False)).alias("active"),
     )
     known = known.groupBy("list_name", "pattern", "valid_from").agg(F.max("active").alias("active")).withColumn("_at", _bucket(F.col("valid_from")))

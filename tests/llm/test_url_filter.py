@@ -35,6 +35,25 @@ def test_domains_paths_and_odd_urls(spark):
     assert [i for i, v in got.items() if v[0]] == [0, 1, 4, 6, 7]
 
 
+def test_paths_keep_their_case(spark):
+    entries = [("p", "Site.ORG/Ads/New", T0, True), ("q", "site.org/low", T0, True), ("d", "Other.NET", T0, True)]
+    urls = ["http://SITE.org/Ads/New/x", "http://site.org/ads/new/x", "http://site.org/Low", "http://site.org/low", "http://www.OTHER.net/Any"]
+    got = run(spark, [(i, u, days(1)) for i, u in enumerate(urls)], entries)
+    assert [i for i, v in got.items() if v[0]] == [0, 3, 4]
+
+
+def test_oracle_on_pages_with_capitals_in_paths(spark, tmp_path):
+    import duckdb
+
+    rows = [(i, f"http://Host{i % 7}.example/{'Ads' if i % 2 else 'ads'}{i % 5}/X") for i in range(300)]
+    spark.createDataFrame(rows, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = QUERIES["op7_temporal_url_filter"](spark, str(tmp_path)).withColumn("fetched_at", F.col("fetched_at").cast("string")).collect()
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    want = con.sql(ORACLE["op7_temporal_url_filter"]).fetchall()
+    assert sorted((r.page_id, r.host, r.fetched_at, r.blocked, r.lists, r.n_hits) for r in got) == sorted((p, h, str(t), b, x, n) for p, h, t, b, x, n in want)
+
+
 def test_nulls_repeats_and_empty_tables(spark):
     entries = [(None, "x.com", T0, True), ("l", None, T0, True), ("l", "x.com", None, True), ("l", "x.com", T0, None)]
     c = spark.createDataFrame([(1, "http://x.com/", days(2))] * 3 + [(None, None, None)], "page_id long, url string, fetched_at timestamp")
