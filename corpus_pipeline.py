@@ -21,8 +21,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-equal 3-word shingle sets stays."""
-    return jaccard_join.deduplicated(docs)
+    """One document of each group of near-equal 5-word shingle sets (Jaccard >= 0.8) stays."""
+    return jaccard_join.deduplicated(docs, width=5, percent=80)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

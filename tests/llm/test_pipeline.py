@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import corpus_pipeline
 import __spark_entry__
 from quarterdeck.llm import decontamination, jaccard_join, mixing, quality
@@ -47,3 +49,43 @@ def test_one_of_each_group_stays(make_docs):
     kept = jaccard_join.deduplicated(make_docs(rows).selectExpr("*", "1 AS `_key`", "2 AS component_id")).collect()
     assert sorted((r.doc_id, r.text) for r in kept if r.text) == [(3, text + " more"), (7, "other words entirely")]
     assert sorted(r.doc_id for r in kept if not r.text) == [8, 8, 9]
+
+
+def _five_word_first(rows):
+    """The smallest id of each component of texts whose 5-word shingle sets have a Jaccard of 0.8, by brute force."""
+    sets = [{tuple(t.lower().split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if 100 * len(x & y) >= 80 * len(x | y):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[find(i)] = min(least.get(find(i), d), d)
+    return sorted(least.values())
+
+
+def test_near_duplicate_stage_holds_five_words_and_four_fifths(spark, make_docs):
+    rnd = random.Random(3)
+    base = [f"v{rnd.randrange(900)}" for _ in range(450)]
+    scattered = [f"x{i}" if i % 50 == 25 else w for i, w in enumerate(base)]
+    rows = [base, scattered, base[:-50] + [f"y{i}" for i in range(40)], base + [f"z{i}" for i in range(90)], base + [f"u{i}" for i in range(140)]]
+    for size in [5, 6, 7, 8, 9, 10, 12, 14, 17, 20, 30, 60, 120]:
+        for _ in range(12):
+            text = [f"w{rnd.randrange(5000)}" for _ in range(size)]
+            rows.append(text)
+            for _ in range(3):
+                edits = rnd.randrange(1, 2 + size // 30)
+                rows.append([f"e{rnd.randrange(9000)}" if i in {rnd.randrange(size) for _ in range(edits)} else w for i, w in enumerate(text)])
+            rows += [text[:-1], text[1:], [*text, "tail"]]
+    rows = [(i, " ".join(r)) for i, r in enumerate(rows)]
+    kept = corpus_pipeline.near_duplicate_stage(spark, make_docs(rows), SF)
+    got = sorted(r.doc_id for r in kept.collect())
+    assert not {1, 2, 3} & set(got) and {0, 4} <= set(got)
+    assert got == _five_word_first(rows)
