@@ -72,3 +72,11 @@ def test_words_nulls_empty_tables_and_clashing_columns(spark, make_docs):
     assert sorted((str(r.doc_id), r.item_id) for r in got) == [("3", 0), ("3", 0), ("4", 0), ("None", 0)]
     assert decontaminated(docs, texts).count() == 2
     assert find_leaks(docs, texts.where("1 = 0")).count() == 0 and find_leaks(docs.where("1 = 0"), texts).count() == 0
+
+
+def test_each_copy_is_judged_alone(spark, make_docs):
+    second = CHANGED.replace("Peter", "Oscar").replace("57", "23").replace("Anna", "Rita")
+    stray = "PROSE then Joe ground 5 kg of barley and then he sold 7 kg of nothing "
+    docs = make_docs([(1, PROSE + CHANGED + " " + PROSE + second), (2, CHANGED + " " + second), (3, PROSE + CHANGED + " " + PROSE * 3 + stray), (4, PROSE * 2 + stray)])
+    got = rows(spark, docs, [ITEM])
+    assert {d: (r.kind, r.coverage) for (d, _), r in got.items()} == dict.fromkeys([1, 2, 3], ("reparameterised", 1.0))
