@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quarterdeck.llm.base import packed, staged
 
-WINDOW = 8  # index windows of items of 12 words or more
+WINDOW = 4  # index windows of items of 12 words or more
 SHORT_WINDOW = 3  # of shorter ones; under three words they are not looked for
 LONG_ITEM = 12
 COVERAGE = 0.5  # share of an item's words that agree along an alignment
@@ -89,7 +89,8 @@ def _item_windows(items: DataFrame) -> DataFrame:
         at = own.select("item_id", "codes", F.posexplode(_windows("codes", width)).alias("item_at", "hash"))
         literal = F.size(F.filter(F.slice("codes", F.col("item_at") + 1, width), lambda c: ~c.isin(_NUMBER, _NAME, _UNIT)))
         parts.append(at.where(literal >= LITERALS * width).select("item_id", "item_at", "hash"))
-    return parts[0].unionByName(parts[1]).distinct()
+        parts.append(own.select("item_id", F.posexplode(_windows("plain", width)).alias("item_at", "hash")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]).distinct()
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -128,8 +129,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def _seen(codes: DataFrame, width: int) -> DataFrame:
     """(doc_key, at, hash) of the windows of the documents, as templates and word by word."""
     # Exploded one by one: an array column here would be written into an inferred filter, once for each word.
-    each = [codes.select("doc_key", F.posexplode(_windows(c, width)).alias("at", "hash")) for c in ("codes",)]
-    return each[0]
+    each = [codes.select("doc_key", F.posexplode(_windows(c, width)).alias("at", "hash")) for c in ("codes", "plain")]
+    return each[0].unionByName(each[1])
 
 
 def _aligned(both: DataFrame) -> DataFrame:

@@ -80,3 +80,22 @@ def test_each_copy_is_judged_alone(spark, make_docs):
     docs = make_docs([(1, PROSE + CHANGED + " " + PROSE + second), (2, CHANGED + " " + second), (3, PROSE + CHANGED + " " + PROSE * 3 + stray), (4, PROSE * 2 + stray)])
     got = rows(spark, docs, [ITEM])
     assert {d: (r.kind, r.coverage) for (d, _), r in got.items()} == dict.fromkeys([1, 2, 3], ("reparameterised", 1.0))
+
+
+def test_few_changed_words_and_other_case(spark, make_docs):
+    items = [" ".join(f"w{n}q{i}" for i in range(n)) for n in (12, 15, 22)]
+    items.append(" ".join(f"v{i}x" for i in range(60)))
+    docs, want = [], set()
+    for item, text in enumerate(items):
+        words = text.split()
+        edits = [(k, None) for k in range(len(words))] + [(k, words[k]) for k in range(len(words))] if len(words) < 60 else [(7, None)]
+        for k, kept in edits:
+            copy = words[:k] + ["other"] + ([kept] if kept else []) + words[k + 1:]
+            if len(words) == 60:
+                copy = [f"o{i}" if i in (11, 23, 35, 47) else w for i, w in enumerate(words)]
+            want.add((len(docs), item))
+            docs.append((len(docs), f"{PROSE} {' '.join(copy)} {PROSE}"))
+    for copy in (ITEM.upper(), ITEM.lower(), ITEM.title()):
+        want.add((len(docs), 4))
+        docs.append((len(docs), PROSE + copy + " " + PROSE))
+    assert set(rows(spark, make_docs(docs), [*items, ITEM])) == want
