@@ -199,7 +199,8 @@ def _judged(aligned: DataFrame) -> DataFrame:
     long = consistent & (F.col("found") >= COVERAGE * F.col("words")) & (template | (F.col("equal") >= COVERAGE * F.col("words")))
     long = long | (F.col("runs") >= COVERAGE * (F.col("words") - RUN + 1))
     short = consistent & (F.col("found") >= COVERAGE * F.col("words"))
-    return counted.where(F.when(F.col("words") >= LONG_ITEM, long).otherwise(short))
+    whole = F.col("equal") >= VERBATIM * F.col("words")
+    return counted.where(F.when(F.col("words") >= LONG_ITEM, long | whole).otherwise(short | whole))
 
 
 def _best(judged: DataFrame) -> DataFrame:

@@ -99,3 +99,11 @@ def test_few_changed_words_and_other_case(spark, make_docs):
         want.add((len(docs), 4))
         docs.append((len(docs), PROSE + copy + " " + PROSE))
     assert set(rows(spark, make_docs(docs), [*items, ITEM])) == want
+
+
+def test_items_of_names_numbers_and_capitals(spark, make_docs):
+    items = ["WHICH GAS DO PLANTS ABSORB FROM THE AIR WHEN THEY GROW IN THE LIGHT", "John Smith and Mary Brown met Ann Lee near Paris in May 1999", "12 + 7 - 3 = 16"]
+    docs = [(i, f"{PROSE} {t} {PROSE}") for i, t in enumerate(items)]
+    docs += [(10, "SOME OTHER LINE IN CAPITALS THAT GOES ON FOR AS LONG AS ANY OF THE REST"), (11, "13 + 8 - 2 = 19"), (12, "Bob Cox Tom Fox Joe Low Ann Lee Jim Roe Sue Poe 1 2 3 4")]
+    got = rows(spark, make_docs(docs), items)
+    assert {k: (r.kind, r.coverage) for k, r in got.items()} == {(i, i): ("verbatim", 1.0) for i in range(3)}
