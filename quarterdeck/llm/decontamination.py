@@ -198,7 +198,7 @@ def _judged(aligned: DataFrame) -> DataFrame:
     template = (F.col("same") >= COVERAGE * F.col("literals")) & (F.col("same") >= LEAST_LITERALS)
     long = consistent & (F.col("found") >= COVERAGE * F.col("words")) & (template | (F.col("equal") >= COVERAGE * F.col("words")))
     long = long | (F.col("runs") >= COVERAGE * (F.col("words") - RUN + 1))
-    short = consistent & (F.col("found") >= COVERAGE * F.col("words"))
+    short = consistent & (F.col("unfilled") == 0) & (F.col("same") >= SHORT_COVERAGE * F.col("literals")) & (F.col("same") >= SHORT_LEAST_LITERALS)
     whole = F.col("equal") >= VERBATIM * F.col("words")
     return counted.where(F.when(F.col("words") >= LONG_ITEM, long | whole).otherwise(short | whole))
 

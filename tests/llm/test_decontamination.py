@@ -107,3 +107,11 @@ def test_items_of_names_numbers_and_capitals(spark, make_docs):
     docs += [(10, "SOME OTHER LINE IN CAPITALS THAT GOES ON FOR AS LONG AS ANY OF THE REST"), (11, "13 + 8 - 2 = 19"), (12, "Bob Cox Tom Fox Joe Low Ann Lee Jim Roe Sue Poe 1 2 3 4")]
     got = rows(spark, make_docs(docs), items)
     assert {k: (r.kind, r.coverage) for k, r in got.items()} == {(i, i): ("verbatim", 1.0) for i in range(3)}
+
+
+def test_short_items_need_their_whole_template(spark, make_docs):
+    items = ["What is the capital of France", "What is 37 times 48"]
+    texts = ["Berlin became the capital of Germany again after the reunification of the country", "this engine is 5 times faster than the old one"]
+    texts += ["he asked: What is the capital of Spain", "so What is 51 times 12 then", "WHAT IS THE CAPITAL OF FRANCE"]
+    got = rows(spark, make_docs(texts), items)
+    assert {k: r.kind for k, r in got.items()} == {(2, 0): "reparameterised", (3, 1): "reparameterised", (4, 0): "verbatim"}
