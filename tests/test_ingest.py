@@ -18,7 +18,7 @@ from quarterdeck.sources.ingest import (
     source_counts_from_audit,
 )
 
-from conftest import SMOKE_DIR
+from __spark_entry__ import SMOKE_DIR
 
 NOW = dt.datetime(2026, 1, 1)
 

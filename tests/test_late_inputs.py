@@ -19,7 +19,7 @@ from quarterdeck.streaming.pipeline import LakeLayout, run_pipeline
 from quarterdeck.streaming.upsert import Scd1Upsert, read_current
 from test_streaming import _land, _rows, _sorted
 
-from conftest import SMOKE_DIR
+from __spark_entry__ import SMOKE_DIR
 
 
 def test_fresh_checkpoint_over_an_existing_table(spark, tmp_dir):

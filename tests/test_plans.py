@@ -6,7 +6,7 @@ import pytest
 
 from quarterdeck.plans.catalog import QUERIES
 
-from conftest import SMOKE_DIR
+from __spark_entry__ import SMOKE_DIR
 
 
 def _formatted(df) -> str:

@@ -10,7 +10,7 @@ import pytest
 
 import __spark_entry__ as E
 
-from conftest import SMOKE_DIR
+from __spark_entry__ import SMOKE_DIR
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()

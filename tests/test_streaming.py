@@ -14,7 +14,7 @@ from quarterdeck.sources.ingest import master_file_to_parquet
 from quarterdeck.streaming.pipeline import LakeLayout, run_pipeline
 from quarterdeck.streaming.upsert import Scd1Upsert, read_current
 
-from conftest import SMOKE_DIR
+from __spark_entry__ import SMOKE_DIR
 
 SCHEMA = ("business_date date, transaction_id string, transaction_line_id string, source_sequence long, "
           "source_update_ts timestamp, extraction_ts timestamp, discount_amount double")

@@ -7,7 +7,7 @@ from quarterdeck.operators import products
 from quarterdeck.plans import catalog as C
 from quarterdeck.plans.views import register_views
 
-from conftest import SMOKE_DIR
+from __spark_entry__ import SMOKE_DIR
 
 
 def _same(a, b, cols):
