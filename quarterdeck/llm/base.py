@@ -123,20 +123,32 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((total[end] - total[start]) * up[start] + (end - start).astype(np.uint64))
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each word in ``data``, and per text the index of its first word."""
-    inside = ~_SEPARATOR[data]
+def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each maximal run of ``inside`` bytes, and per text the index of its first run."""
     begin, stop = inside.copy(), inside.copy()
     begin[1:] &= ~inside[:-1]
     stop[:-1] &= ~inside[1:]
     cut = offsets[1:-1]
-    cut = cut[(cut > 0) & (cut < data.size)]
+    cut = cut[(cut > 0) & (cut < inside.size)]
     begin[cut] = inside[cut]
     stop[cut - 1] = inside[cut - 1]
     start, end = np.flatnonzero(begin), np.flatnonzero(stop) + 1
     return start, end, np.searchsorted(start, offsets)
 
 
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each word in ``data``, and per text the index of its first word."""
+    return runs(~_SEPARATOR[data], offsets)
+
+
+def run_strings(data: np.ndarray, inside: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.DictionaryArray:
+    """The runs of :func:`runs` as dictionary-encoded strings; equal codes are equal strings."""
+    ends = np.zeros(start.size + 1, np.int64)
+    np.cumsum(end - start, out=ends[1:])
+    raw = pa.py_buffer(np.ascontiguousarray(data[inside]))
+    return pa.Array.from_buffers(pa.large_string(), start.size, [None, pa.py_buffer(ends), raw]).dictionary_encode()
+
+
 def lower(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 

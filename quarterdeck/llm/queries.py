@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterdeck.llm import url_filter
+from quarterdeck.llm import source_audit, url_filter
 from quarterdeck.llm.base import read
 from quarterdeck.llm.decontamination import find_leaks
 from quarterdeck.llm.jaccard_join import shingle_groups
@@ -71,6 +71,11 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_groups(read(spark, sf_dir, "documents"))
 
 
+def op12_perfect_hash_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share differences between the sources of each language, and their leading terms."""
+    return source_audit.audit_sources(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_decontamination": op1_template_decontamination,
     "op2_cube_mixing": op2_cube_mixing,
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_automaton": op8_secret_automaton,
     "op9_bounded_ring_sharding": op9_bounded_ring_sharding,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op12_perfect_hash_audit": op12_perfect_hash_audit,
 }
 
-ORACLE: dict[str, str] = {"op7_temporal_url_filter": url_filter.ORACLE}
+ORACLE: dict[str, str] = {"op7_temporal_url_filter": url_filter.ORACLE, "op12_perfect_hash_audit": source_audit.ORACLE}
