@@ -16,6 +16,7 @@ from quarterdeck.llm.quality import quality_scores
 from quarterdeck.llm.repeats import repeat_report
 from quarterdeck.llm.secret_scan import secret_report
 from quarterdeck.llm.sharding import shard_documents
+from quarterdeck.llm.spelling import group_spellings
 from quarterdeck.llm.weighted_sampling import compare_neighbours
 
 
@@ -71,6 +72,11 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_groups(read(spark, sf_dir, "documents"))
 
 
+def op11_prefix_suffix_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frequent words of all documents and the forms that they are single edits of."""
+    return group_spellings(read(spark, sf_dir, "documents"))
+
+
 def op12_perfect_hash_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share differences between the sources of each language, and their leading terms."""
     return source_audit.audit_sources(read(spark, sf_dir, "documents"))
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_automaton": op8_secret_automaton,
     "op9_bounded_ring_sharding": op9_bounded_ring_sharding,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_prefix_suffix_tiling": op11_prefix_suffix_tiling,
     "op12_perfect_hash_audit": op12_perfect_hash_audit,
 }
 
