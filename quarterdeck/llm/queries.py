@@ -12,6 +12,7 @@ from quarterdeck.llm.decontamination import find_leaks
 from quarterdeck.llm.jaccard_join import shingle_groups
 from quarterdeck.llm.language_id import language_report
 from quarterdeck.llm.mixing import mix_sources
+from quarterdeck.llm.personal_data import personal_data_report
 from quarterdeck.llm.quality import quality_scores
 from quarterdeck.llm.repeats import repeat_report
 from quarterdeck.llm.secret_scan import secret_report
@@ -82,6 +83,11 @@ def op12_perfect_hash_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit_sources(read(spark, sf_dir, "documents"))
 
 
+def op13_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents, plain or disguised."""
+    return personal_data_report(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_decontamination": op1_template_decontamination,
     "op2_cube_mixing": op2_cube_mixing,
@@ -95,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_prefix_suffix_tiling": op11_prefix_suffix_tiling,
     "op12_perfect_hash_audit": op12_perfect_hash_audit,
+    "op13_deobfuscated_pii": op13_deobfuscated_pii,
 }
 
 ORACLE: dict[str, str] = {"op7_temporal_url_filter": url_filter.ORACLE, "op12_perfect_hash_audit": source_audit.ORACLE}
