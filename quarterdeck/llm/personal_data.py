@@ -13,7 +13,8 @@ from __future__ import annotations
 import re
 import unicodedata
 from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -76,15 +77,15 @@ class Rewritten:
         self._begins, self._ends = [e[0] for e in edits], [e[1] for e in edits]
 
     @classmethod
-    def by(cls, pattern: re.Pattern, stands_for: Callable[[re.Match], str], source: str) -> Rewritten:
+    def of(cls, source: str, changes: Iterable[tuple[int, int, str]]) -> Rewritten:
+        """``source`` with each (begin, end, new text) in its place; changes stand in order, apart."""
         parts, edits, done, size = [], [], 0, 0
-        for match in pattern.finditer(source):
-            new = stands_for(match)
-            kept = source[done: match.start()]
-            begin = size + len(kept)
-            size, done = begin + len(new), match.end()
+        for begin, end, new in changes:
+            kept = source[done:begin]
+            size += len(kept)
             parts += [kept, new]
-            edits.append((begin, size, match.start(), match.end()))
+            edits.append((size, size + len(new), begin, end))
+            size, done = size + len(new), end
         return cls("".join([*parts, source[done:]]), edits)
 
     def back(self, span: Span) -> Span:
@@ -108,43 +109,91 @@ def plain_characters(text: str) -> Rewritten:
     """Look-alikes, compatibility forms and digits of any script as ASCII; no invisible characters."""
     if text.isascii() or not _ODD.search(text):
         return Rewritten(text, [])
-    return Rewritten.by(_GONE, lambda m: "", text.translate(_PLAIN))
+    plain = text.translate(_PLAIN)
+    return Rewritten.of(plain, [(*m.span(), "") for m in _GONE.finditer(plain)])
 
 
-def _any(words) -> str:
+def _any(words: Iterable[str]) -> str:
     return "|".join(sorted(map(re.escape, words), key=len, reverse=True))
 
 
-_BRACKETED = r"\x20*[\[({{<]\x20*(?:{0})\x20*[\])}}>]\x20*"
-_AT_SIGN = rf"{_BRACKETED.format(_any(AT_WORDS) + '|@')}|\x20*(?:&#64;|&commat;)\x20*"
-_DOT_SIGN = rf"{_BRACKETED.format(_any(DOT_WORDS) + '|[.]')}|\x20*(?:&#46;|&period;)\x20*"
-_DOT_WORD = rf"\x20+(?:{_any(DOT_WORDS)})\x20+"
-_DIGIT = rf"(?<![^\W_])(?:{_any(SPELLED)})(?![^\W_])"
-# A bare "at" reads as @ only before a label whose dot is disguised too; a bare sign word only inside an address.
-_DISGUISE = re.compile(
-    rf"(?P<at>(?<=[a-z0-9])(?:{_AT_SIGN}|\x20+(?:{_any(AT_WORDS)})\x20+(?=[a-z0-9.-]+(?:{_DOT_SIGN}|{_DOT_WORD})[a-z0-9]))(?=[a-z0-9]))"
-    rf"|(?P<dot>(?<=[^\W_])(?:{_DOT_SIGN}|{_DOT_WORD})(?=[^\W_]))"
-    rf"|(?P<plus>(?<![^\W_])plus[\x20-]?(?=[0-9]|{_DIGIT}))"
-    rf"|(?P<digits>{_DIGIT}(?:[\x20-]{_DIGIT})*)"
-    rf"|(?P<sign>(?<=[a-z0-9])\x20+(?:{_any(SIGN_WORDS)})\x20+(?=[a-z0-9.-]+(?:{_AT_SIGN}|@)))"
-    rf"|(?P<shape>(?<=[0-9])[ol|](?=[\x20-]?[0-9]))",
-    re.IGNORECASE,
-)
-_SPELLED = re.compile(_DIGIT, re.IGNORECASE)
-
-
-def _stands_for(match: re.Match) -> str:
-    kind, text = match.lastgroup, match.group()
-    if kind == "digits":
-        return "".join(SPELLED[w.lower()] for w in _SPELLED.findall(text))
-    if kind == "shape":
-        return "0" if text in "oO" else "1"
-    return {"at": "@", "dot": ".", "plus": "+"}.get(kind) or SIGN_WORDS[text.strip().lower()]
+_WORDS = {**dict.fromkeys(AT_WORDS, "@"), **dict.fromkeys(DOT_WORDS, "."), **SIGN_WORDS, "plus": "+", **SPELLED}
+_WORD_BYTES = {w.encode(): w for w in _WORDS}
+# ASCII letters in lower case, bytes of other characters as they are, all else a space.
+_FOLD = bytes(c | 32 if chr(c).isalpha() else c if c >= 0x80 else 32 for c in range(0x80)) + bytes(range(0x80, 0x100))
+_BRACKET = rf"[\[({{<]\x20*(?:{_any([*AT_WORDS, *DOT_WORDS, '@', '.'])})\x20*[\])}}>]|&(?:#64|commat|#46|period);"
+_ENTITIES = {"&#64;": "@", "&commat;": "@", "&#46;": ".", "&period;": "."}
+_ODD_SIGNS = re.compile(rf"{_BRACKET}|[0-9][ol|][\x20-]?[0-9]")
+# A bare "at" reads as @ only before a label whose dot is disguised too, a bare sign only inside an address.
+_DISGUISED_DOT = rf"(?:\x20+(?:{_any(DOT_WORDS)})\x20+|\x20*[\[({{<]\x20*(?:{_any([*DOT_WORDS, '.'])})\x20*[\])}}>]\x20*|&#46;|&period;)"
+_AFTER_AT = re.compile(rf"[a-z0-9.-]++{_DISGUISED_DOT}[a-z0-9]")
+_AFTER_SIGN = re.compile(rf"[a-z0-9.-]++(?:\x20*[\[({{<]\x20*(?:{_any([*AT_WORDS, '@'])})|&#64;|&commat;|@)")
+_AFTER_PLUS = re.compile(rf"[0-9]|(?:{_any(SPELLED)})(?![^\W_])")
+
+
+@lru_cache(maxsize=4096)
+def _disguises(words: frozenset[str]) -> re.Pattern:
+    """Brackets, entities, look-alike digits and the given words, each at its first character."""
+    bare = rf"|(?:{_any(words)})(?![^\W_])" if words else ""
+    return re.compile(rf"{_BRACKET}|[ol|](?<=[0-9].)(?=[\x20-]?[0-9]){bare}")
+
+
+def _lowered(text: str) -> str:
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
 def undisguised(text: str) -> Rewritten:
     """Spelled digits and disguised signs as the characters they stand for."""
-    return Rewritten.by(_DISGUISE, _stands_for, text)
+    words = frozenset(_WORD_BYTES[w] for w in _WORD_BYTES.keys() & set(text.encode("utf-8", "replace").translate(_FOLD).split()))
+    low = _lowered(text)
+    if not words and not _ODD_SIGNS.search(low):
+        return Rewritten(text, [])
+    changes: list[tuple[int, int, str]] = []
+    chain = False  # whether the last change is a row of spelled digits
+    for match in _disguises(words).finditer(low):
+        begin, end = match.span()
+        done = changes[-1][1] if changes else 0
+        core = match.group()
+        if begin < done:
+            continue
+        if core in SPELLED:
+            if begin and low[begin - 1].isalnum():
+                continue
+            if chain and begin == done + 1 and low[done] in " -":
+                first, _, digits = changes.pop()
+                changes.append((first, end, digits + SPELLED[core]))
+            else:
+                changes.append((begin, end, SPELLED[core]))
+            chain = True
+            continue
+        if core in ("o", "l", "|"):
+            changes.append((begin, end, "0" if core == "o" else "1"))
+            chain = False
+            continue
+        if core == "plus":
+            after = end + (end < len(low) and low[end] in " -")
+            if not (begin and low[begin - 1].isalnum()) and _AFTER_PLUS.match(low, after):
+                changes.append((begin, after, "+"))
+                chain = False
+            continue
+        word = core.strip("[](){}<> ")
+        sign = _ENTITIES.get(core) or (word if word in "@." else _WORDS[word])
+        bare = core == word and core not in _ENTITIES
+        left, right = begin, end
+        while left > done and low[left - 1] == " ":
+            left -= 1
+        while right < len(low) and low[right] == " ":
+            right += 1
+        if bare and (left == begin or right == end):
+            continue
+        if not (left and low[left - 1].isalnum() and right < len(low) and low[right].isalnum()):
+            continue
+        if bare and (sign == "@" and not _AFTER_AT.match(low, right) or sign in "-_" and not _AFTER_SIGN.match(low, right)):
+            continue
+        changes.append((left, right, sign))
+        chain = False
+    return Rewritten.of(text, changes)
 
 
 # ---- detectors ---------------------------------------------------------------------------------
