@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarterdeck.session import scratch_path
+from quarterdeck.streaming.upsert import delete_path
 
 # The word separators of the operator contracts (space, tab..carriage return).
 SEPARATORS = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
@@ -19,6 +21,10 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 BLOCK_BYTES = 1 << 20
 
 
+# The folder of each staged table that is still in use.
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -31,7 +37,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "llm", name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FOLDERS[out] = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes staged tables; call it when everything that reads them is itself staged."""
+    for table in tables:
+        path = _FOLDERS.pop(table, None)
+        if path:
+            delete_path(table.sparkSession, path)
 
 
 def packed(df: DataFrame, **keys: Column) -> DataFrame:

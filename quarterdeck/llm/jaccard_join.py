@@ -7,18 +7,21 @@ A document's set holds its distinct 3-word shingles (64-bit hashes). The join ru
    sets of that level can differ. Linked sets agree wholly at one position at least, so the
    index list of a (level, position, content) token holds every pair that may link, and a list
    with one set is skipped as a block. No frequent shingle makes a long list: a token stands for
-   all shingles of its position.
-2. *One verified answer per list.* Every set is checked exactly against the smallest set of each
-   of its lists, its leader. Sets are reduced to distinct ones before; copies never meet.
-3. *Answers derived from a similar set.* A list whose sets are all joined to its leader needs no
-   further check. In the others each set is held as its difference from the leader (shingles
-   added, shingles missing), and the overlap of two sets follows from the leader's size and these
+   all shingles of its position. Tokens travel once, packed and sorted by block of documents; a
+   token that several sets of a block hold goes on as one entry, so a hot list reaches its task as
+   a few entries for each block, and the rest of its sets only pass by.
+2. *One verified answer per set.* Every set is checked exactly against the least set, the leader,
+   of one of its lists, and then against its other leaders as far as these are not connected to it
+   by then. Sets are reduced to distinct ones before; copies never meet.
+3. *Answers derived from a similar set.* A list whose sets are all connected needs no further
+   check. In the others each set is held as its difference from one set of the list (shingles
+   added, shingles missing), and the overlap of two sets follows from that set's size and these
    two short differences. Sets are ordered by size so that a block is skipped as soon as its
    size or its difference rules a link out, and sets already connected are skipped.
 4. Links feed connected components; copies take their set's component.
 
-Large lists are cut into blocks of a bounded number of shingles, and each pair of blocks is a
-group of its own, so no list is held whole by one task.
+Large lists are cut into blocks of a bounded number of sets and shingles, and each pair of blocks
+is a group of its own, so no list is held whole by one task.
 """
 
 from __future__ import annotations
@@ -32,23 +35,34 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.base import lower, mix, packed, span_hashes, staged, text_blocks, words
+from quarterdeck.llm.base import lower, mix, packed, release, span_hashes, staged, text_blocks, words
 from quarterdeck.llm.components import connected_components
+from quarterdeck.llm.repeats import bitmap, may_hold
 
 SHINGLE = 3
 THRESHOLD_PERCENT = 90
-BLOCK_SHINGLES = 1 << 18
+BLOCK_SHINGLES, BLOCK_SETS = 1 << 18, 1 << 11
+BUFFER_TOKENS = 1 << 20  # of a block of documents, packed at once
+BUCKET_TOKENS = 1 << 21  # that a task holds at once
+_REST = 5  # bytes of a token beside its bucket: equal ones are checked anyway
 
-_SET_SCHEMA = "doc_id long, n_shingles long, set_key long, tokens array<long>"
+_SET_SCHEMA = "doc_id long, row_key long, n_shingles long, set_key long, n_tokens long"
+_TOKEN_SCHEMA = "bucket int, passing int, keys binary, owner binary, rest binary"
 
 
 def level_bounds(percent: int, largest: int) -> list[int]:
     """Smallest set size of each level; linked sets lie in the same or in neighbouring levels."""
     first = max(1, math.ceil(percent / (100 - percent))) if percent < 100 else largest + 1
+
+    def after(bound: int) -> int:
+        for _ in range(2):  # a level is twice as wide as links reach
+            bound = max(bound + 1, math.ceil(bound * 100 / percent))
+        return bound
+
     bounds = [first]
     while bounds[-1] <= largest:
-        bounds.append(max(bounds[-1] + 1, math.ceil(bounds[-1] * 100 / percent)))
-    return [*bounds, max(bounds[-1] + 1, math.ceil(bounds[-1] * 100 / percent))]
+        bounds.append(after(bounds[-1]))
+    return [*bounds, after(bounds[-1])]
 
 
 def most_apart(percent: int, size: int) -> int:
@@ -74,130 +88,231 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[
             yield np.zeros(0, np.uint64)
 
 
-def set_tokens(shingles: np.ndarray, percent: int, bounds: list[int]) -> np.ndarray:
-    """The index tokens of a set: one per position of its own and of the next level."""
-    n = shingles.size
+def set_levels(n: int, percent: int, bounds: list[int]) -> list[tuple[int, int]]:
+    """(level, positions) of a set's tokens: its own level, and the next one if its links reach it."""
     if n < bounds[0]:
-        return np.zeros(0, np.uint64)
+        return []
     own = int(np.searchsorted(bounds, n, side="right")) - 1
-    content = np.zeros(n + 1, np.uint64)
-    np.cumsum(mix(shingles + np.uint64(0x632BE59BD9B4E019)), out=content[1:])
-    found = []
-    for level in (own, own + 1):
-        parts = most_apart(percent, bounds[level + 1] - 1) + 1
+    levels = (own, own + 1) if 100 * n >= percent * bounds[own + 1] else (own,)
+    return [(level, most_apart(percent, bounds[level + 1] - 1) + 1) for level in levels]
+
+
+def set_tokens(shingles: np.ndarray, percent: int, bounds: list[int]) -> np.ndarray:
+    """The index tokens of a set: one per position of its levels."""
+    found = [np.zeros(0, np.uint64)]
+    if shingles.size >= bounds[0]:
+        content = np.zeros(shingles.size + 1, np.uint64)
+        np.cumsum(mix(shingles + np.uint64(0x632BE59BD9B4E019)), out=content[1:])
+    for level, parts in set_levels(shingles.size, percent, bounds):
         edges = np.arange(parts, dtype=np.float64) * (2.0**64 / parts)
-        cut = np.append(np.searchsorted(shingles, edges.astype(np.uint64)), n)
+        cut = np.append(np.searchsorted(shingles, edges.astype(np.uint64)), shingles.size)
         place = np.arange(parts, dtype=np.uint64) + np.uint64(level << 40)
         found.append(mix(mix(place) ^ (content[cut[1:]] - content[cut[:-1]])))
     return np.concatenate(found)
 
 
+def _set_key(shingles: np.ndarray) -> np.uint64:
+    return mix(mix(shingles).sum(dtype=np.uint64, keepdims=True) + np.uint64(shingles.size))[0]
+
+
+class _Bounds:
+    """Level bounds that grow with the largest set met."""
+
+    def __init__(self, percent: int) -> None:
+        self.percent, self.bounds = percent, level_bounds(percent, 1 << 20)
+
+    def to(self, size: int) -> list[int]:
+        while size >= self.bounds[-2]:
+            self.bounds = level_bounds(self.percent, 2 * size)
+        return self.bounds
+
+
 def _sets(width: int, percent: int):
+    """(doc_id, row_key, text) → the size and key of each document's set and the number of its tokens."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bounds = level_bounds(percent, 1 << 20)
+        bounds = _Bounds(percent)
         for batch in batches:
-            for row, stop, data, offsets in text_blocks(batch.column(1)):
-                sizes, keys, tokens, ends = [], [], [], [0]
-                for shingles in shingle_sets(data, offsets, width):
-                    while shingles.size >= bounds[-2]:
-                        bounds = level_bounds(percent, 2 * shingles.size)
-                    sizes.append(shingles.size)
-                    keys.append(mix(mix(shingles).sum(dtype=np.uint64, keepdims=True) + np.uint64(shingles.size))[0])
-                    tokens.append(set_tokens(shingles, percent, bounds))
-                    ends.append(ends[-1] + tokens[-1].size)
+            for row, stop, data, offsets in text_blocks(batch.column(2)):
+                sets = list(shingle_sets(data, offsets, width))
+                sizes = [s.size for s in sets]
+                tokens = [sum(parts for _, parts in set_levels(n, percent, bounds.to(n))) for n in sizes]
+                keys = np.array([_set_key(s) for s in sets], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(row, stop - row),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(np.array(keys, np.uint64).view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(tokens).view(np.int64))),
-                    ],
-                    names=["doc_id", "n_shingles", "set_key", "tokens"],
+                    [batch.column(0).slice(row, stop - row), batch.column(1).slice(row, stop - row), pa.array(sizes, pa.int64()), pa.array(keys), pa.array(tokens, pa.int64())],
+                    names=["doc_id", "row_key", "n_shingles", "set_key", "n_tokens"],
                 )
 
     return run
 
 
-def _payload(width: int):
-    """(set_key, doc text) → the set itself, as bytes of sorted 64-bit hashes."""
+def _planes(values: np.ndarray, count: int) -> bytes:
+    """The low ``count`` bytes of each value, highest bytes of all values first: sorted ones compress."""
+    raw = values.astype(">u8").view(np.uint8).reshape(-1, 8)
+    return np.ascontiguousarray(raw[:, 8 - count:].T).tobytes()
+
+
+def _from_planes(raw: bytes, count: int) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8).reshape(count, -1)
+    whole = np.zeros((planes.shape[1], 8), np.uint8)
+    whole[:, 8 - count:] = planes.T
+    return whole.view(">u8").ravel().astype(np.uint64)
+
+
+def pack_tokens(tokens: np.ndarray, keys: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """One row per bucket and kind: (token, key) entries, sorted by token.
+
+    A token of three or more sets is one entry, of its least set; the others pass by it.
+    """
+    bucket = ((tokens >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)
+    rest = tokens & np.uint64((1 << 8 * _REST) - 1)
+    order = np.lexsort((keys, rest, bucket))
+    bucket, rest, keys = bucket[order].astype(np.int64), rest[order], keys[order]
+    first = np.ones(keys.size, bool)
+    first[1:] = (bucket[1:] != bucket[:-1]) | (rest[1:] != rest[:-1])
+    run = np.cumsum(first) - 1
+    passing = ~first & (np.bincount(run) >= 3)[run]
+    rows = []
+    for kind in (0, 1):
+        own = passing == bool(kind)
+        b, r, k = bucket[own], rest[own], keys[own]
+        ends = np.append(np.flatnonzero(b[1:] != b[:-1]) + 1, b.size) if b.size else []
+        begin = 0
+        for end in ends:
+            known, owner = np.unique(k[begin:end], return_inverse=True)
+            rows.append((int(b[begin]), kind, known.tobytes(), _planes(owner, 4), _planes(r[begin:end], _REST)))
+            begin = end
+    columns = list(zip(*rows, strict=True)) or [()] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "passing", "keys", "owner", "rest"])
+
+
+def _index(width: int, percent: int, buckets: int):
+    """(text) → packed tokens of the distinct sets of each block of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds, seen, held, owners, size = _Bounds(percent), set(), [], [], 0
         for batch in batches:
-            for row, stop, data, offsets in text_blocks(batch.column(1)):
-                held = [s.tobytes() for s in shingle_sets(data, offsets, width)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, stop - row), pa.array(held, pa.binary())], names=["set_key", "shingles"])
+            for _, _, data, offsets in text_blocks(batch.column(0)):
+                for shingles in shingle_sets(data, offsets, width):
+                    key = int(_set_key(shingles))
+                    if not shingles.size or key in seen:
+                        continue
+                    tokens = set_tokens(shingles, percent, bounds.to(shingles.size))
+                    seen.add(key)
+                    held.append(tokens)
+                    owners.append(np.full(tokens.size, key, np.uint64))
+                    size += tokens.size
+                    if size >= BUFFER_TOKENS:
+                        yield pack_tokens(np.concatenate(held), np.concatenate(owners).view(np.int64), buckets)
+                        seen, held, owners, size = set(), [], [], 0
+        if size:
+            yield pack_tokens(np.concatenate(held), np.concatenate(owners).view(np.int64), buckets)
 
     return run
 
 
+def _leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed tokens, sorted by bucket, passing ones last → (member, leader) of lists of two sets or more."""
+
+    def pairs(member: np.ndarray, leader: np.ndarray) -> pa.RecordBatch:
+        other = member != leader
+        both = np.unique(np.stack([member[other], leader[other]], axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["member", "leader"])
+
+    current, held, known = None, [], None
+
+    def settle() -> tuple[np.ndarray, np.ndarray, pa.RecordBatch]:
+        rest, keys = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((keys, rest))
+        rest, keys = rest[order], keys[order]
+        first = np.concatenate(([True], rest[1:] != rest[:-1]))
+        return rest[first], keys[first], pairs(keys, keys[first][np.cumsum(first) - 1])
+
+    for batch in batches:
+        for bucket, passing, keys, owner, rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if bucket != current:
+                if held:
+                    yield settle()[2]
+                current, held, known = bucket, [], None
+            entry = _from_planes(rest, _REST), np.frombuffer(keys, np.int64)[_from_planes(owner, 4).astype(np.int64)]
+            if not passing:
+                held.append(entry)
+                continue
+            if known is None:
+                *known, found = settle()
+                held = []
+                yield found
+            yield pairs(entry[1], known[1][np.searchsorted(known[0], entry[0])])
+    if held:
+        yield settle()[2]
+
+
 def linked(common: np.ndarray, one: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
     return 100 * common >= percent * (one + other - common)
 
 
-def _against_leader(percent: int):
-    """Checks each set of a list against the list's leader."""
+def _check(width: int, percent: int):
+    """(member, leader, text, leader_text) → which pairs link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, large = [], []
-            for one, other in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(one.as_buffer(), np.uint64), np.frombuffer(other.as_buffer(), np.uint64)
+            keep: list[bool] = []
+            blocks = (text_blocks(batch.column(i), 1) for i in (2, 3))  # one text at a time
+            for (_, _, *one), (_, _, *other) in zip(*blocks, strict=True):
+                x, y = (next(shingle_sets(*side, width)) for side in (one, other))
                 common = np.intersect1d(x, y, assume_unique=True).size
                 keep.append(bool(linked(common, x.size, y.size, percent)))
-                large.append(max(x.size, y.size))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(keep, pa.bool_()), pa.array(large, pa.int64())],
-                names=["member", "leader", "links", "most"],
-            )
+            chosen = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(chosen), batch.column(1).filter(chosen)], names=["a", "b"])
 
     return run
 
 
-def within_list(leader: np.ndarray, sets: list[np.ndarray], component: np.ndarray, block: np.ndarray, pair: tuple[int, int], percent: int) -> list[tuple[int, int]]:
+def within_list(pivot: np.ndarray, sets: list[np.ndarray], component: np.ndarray, block: np.ndarray, pair: tuple[int, int], percent: int) -> list[tuple[int, int]]:
     """Links of the sets of a list that connect what is not connected yet.
 
-    Sets are scanned by size. The overlap of two sets is |leader| - |missing of either| + |added
-    by both|, from their differences to the leader; a shorter set whose size is below the bound
-    ends the scan of a block.
+    Sets are scanned by size. |x ^ y| = |dx| + |dy| - 2 |dx & dy| for the differences dx, dy of two
+    sets to a third, the pivot; sets whose size is below the bound end the scan of a block.
     """
-    order = sorted(range(len(sets)), key=lambda i: sets[i].size)
-    place = [np.isin(leader, s, assume_unique=True, invert=True) for s in sets]
-    missing = [np.flatnonzero(p) for p in place]
-    added = [np.setdiff1d(s, leader, assume_unique=True) for s in sets]
     sizes = np.array([s.size for s in sets])
+    order = np.argsort(sizes, kind="stable")
+    place = [np.isin(pivot, s, assume_unique=True, invert=True) for s in sets]
+    missing = [np.flatnonzero(p) for p in place]
+    added = [np.setdiff1d(s, pivot, assume_unique=True) for s in sets]
+    apart = np.array([m.size + a.size for m, a in zip(missing, added, strict=True)])
     root = component.copy()
     # Inverted lists over the differences: token -> sets that lack it (or have it besides).
     lists: dict[tuple[bool, int], list[int]] = {}
-    links = []
+    links: list[tuple[int, int]] = []
     lowest = 0
     for at, i in enumerate(order):
         while sizes[order[lowest]] * 100 < percent * sizes[i]:
             lowest += 1  # too small for this and for every later set
-        shared: dict[int, int] = {}
+        shared = np.zeros(sizes.size, np.int64)
         for token in [(False, int(t)) for t in missing[i]] + [(True, int(t)) for t in added[i]]:
             held = lists.setdefault(token, [])
-            for j in held:
-                shared[j] = shared.get(j, 0) + 1
+            shared[held] += 1
             held.append(i)
-        apart_i = missing[i].size + added[i].size
-        for j in order[lowest:at]:
-            if root[i] == root[j] or pair not in ((block[i], block[j]), (block[j], block[i])):
-                continue
-            # |x ^ y| = |dx| + |dy| - 2 |dx & dy| for the differences dx, dy to the leader
-            apart = apart_i + missing[j].size + added[j].size - 2 * shared.get(j, 0)
-            common = (sizes[i] + sizes[j] - apart) // 2
-            if 100 * common >= percent * (sizes[i] + sizes[j] - common):
-                links.append((i, j))
+        before = order[lowest:at]
+        mates = np.where(block[i] == pair[0], pair[1], pair[0])
+        before = before[(block[before] == mates) & (root[before] != root[i])]
+        differ = apart[i] + apart[before] - 2 * shared[before]
+        common = (sizes[i] + sizes[before] - differ) // 2
+        for j in before[linked(common, sizes[i], sizes[before], percent)]:
+            if root[i] != root[j]:
+                links.append((int(i), int(j)))
                 root[root == root[j]] = root[i]
     return links
 
 
-def _within(percent: int):
+def _within(width: int, percent: int):
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
         keys = rows["member"].to_numpy()
-        sets = [np.frombuffer(x, np.uint64) for x in rows["shingles"]]
-        head = np.frombuffer(rows["leader_shingles"].iloc[0], np.uint64)
-        found = within_list(head, sets, rows["component"].to_numpy(), rows["block"].to_numpy(), (int(key[1]), int(key[2])), percent)
+        sets = []
+        for _, _, data, offsets in text_blocks(pa.array(rows["text"], pa.string())):
+            sets += shingle_sets(data, offsets, width)
+        pivot = min(sets, key=len)
+        found = within_list(pivot, sets, rows["component"].to_numpy(), rows["block"].to_numpy(), (int(key[1]), int(key[2])), percent)
         return pd.DataFrame({"a": [keys[i] for i, _ in found], "b": [keys[j] for _, j in found]}, dtype="int64")
 
     return run
@@ -208,42 +323,62 @@ def shingle_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", wid
 
     ``component_id`` is the smallest document id reachable by links (two sets link when 100 x
     intersection >= ``percent`` x union), itself included. Null, empty and separator-only texts
-    have no set, link with nothing and are their own component. A document without an id takes the
-    component of an equal set that has one, else null. Repeated rows stay and share a component. Other columns
-    of ``docs`` are ignored. Sets are keyed by 64-bit hashes.
+    have no set, link with nothing and are their own component. Rows are told apart by id and text:
+    an id may repeat with other texts. A document without an id links like any other and takes the
+    smallest id of its component, null if there is none. Repeated rows stay and share a component.
+    Texts are read whole; an empty table gives no rows; other columns of ``docs`` are ignored. Sets
+    are keyed by 64-bit hashes.
     """
+    spark = docs.sparkSession
     narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    narrow = narrow.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text")
     sets = staged(narrow.mapInArrow(_sets(width, percent), _SET_SCHEMA), "jaccard-sets")
     held = sets.where("n_shingles > 0")
-    owner = staged(held.groupBy("set_key").agg(F.min("doc_id").alias("owner")), "jaccard-owners")
+    owner = held.groupBy("set_key").agg(F.min("doc_id").alias("owner"), F.min("row_key").alias("row_key"), F.max("n_shingles").alias("n"))
+    owner = staged(owner, "jaccard-owners")
 
-    # Distinct sets only: the row of the owner stands for every copy.
-    alone = held.join(owner, (held["doc_id"] == owner["owner"]) & (held["set_key"] == owner["set_key"]), "left_semi")
-    entries = alone.select("set_key", F.explode("tokens").alias("token"))
-    lists = entries.groupBy("token").agg(F.min("set_key").alias("leader"), F.max("set_key").alias("last")).where("leader < last")
-    member = F.col("set_key").alias("member")
-    checks = staged(entries.join(lists.select("token", "leader"), "token").where("set_key <> leader").select(member, "leader").distinct(), "jaccard-checks")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = sets.agg(F.sum("n_tokens")).first()[0] or 0
+    buckets = min(1 << 24, max(2 * tasks, -(-total // BUCKET_TOKENS)))
+    tokens = narrow.select("text").mapInArrow(_index(width, percent, buckets), _TOKEN_SCHEMA)
+    tokens = tokens.repartition(tasks, "bucket").sortWithinPartitions("bucket", "passing")
+    checks = staged(tokens.mapInArrow(_leaders, "member long, leader long").distinct(), "jaccard-checks")
 
-    # The sets that take part in a check, rebuilt from the text of their owners.
+    # The texts of the sets that take part in a check.
     needed = checks.select("member").union(checks.select("leader")).distinct().withColumnRenamed("member", "set_key")
-    needed = needed.join(owner, "set_key")
-    texts = narrow.join(needed, F.col("doc_id") == F.col("owner")).dropDuplicates(["set_key"]).select("set_key", "text")
-    payload = staged(texts.mapInArrow(_payload(width), "set_key long, shingles binary"), "jaccard-payload")
-
-    as_member = payload.select(F.col("set_key").alias("member"), "shingles")
-    as_leader = payload.select(F.col("set_key").alias("leader"), F.col("shingles").alias("leader_shingles"))
-    both = checks.join(as_member, "member").join(as_leader, "leader").select("member", "leader", "shingles", "leader_shingles")
-    answers = staged(both.mapInArrow(_against_leader(percent), "member long, leader long, links boolean, most long"), "jaccard-answers")
-    links = answers.where("links").select(F.col("member").alias("a"), F.col("leader").alias("b"))
-
+    needed = staged(needed.join(owner, "set_key").select("set_key", "row_key"), "jaccard-needed")
+    near = narrow.where(may_hold(bitmap(needed, "row_key"), "row_key")).select("row_key", "text")
+    texts = staged(near.join(needed, "row_key").dropDuplicates(["row_key"]).select("set_key", "text"), "jaccard-texts")
+    as_member = texts.select(F.col("set_key").alias("member"), "text")
+    as_leader = texts.select(F.col("set_key").alias("leader"), F.col("text").alias("leader_text"))
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        both = pairs.join(as_member, "member").join(as_leader, "leader").select("member", "leader", "text", "leader_text")
+        return staged(both.mapInArrow(_check(width, percent), "a long, b long"), name)
+
+    def named(pairs: DataFrame, reached: DataFrame) -> DataFrame:
+        """(member, leader, component, other): the components of both sets."""
+        one = reached.select(F.col("node").alias("member"), "component")
+        two = reached.select(F.col("node").alias("leader"), F.col("component").alias("other"))
+        joined = pairs.join(one, "member", "left").join(two, "leader", "left")
+        return joined.select("member", "leader", F.coalesce("component", "member").alias("component"), F.coalesce("other", "leader").alias("other"))
+
+    def further(reached: DataFrame, links: DataFrame) -> DataFrame:
+        """The components after more links between (names of) components."""
+        known = reached.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        return staged(connected_components(known.unionByName(links)), "jaccard-reached")
+
+    first = checks.groupBy("member").agg(F.min("leader").alias("leader"))
+    links = verified(first, "jaccard-first")
     reached = staged(connected_components(links), "jaccard-reached")
-    open_lists = _open(answers, reached)
-    further = _blocks(open_lists).join(as_member, "member").join(as_leader, "leader")
-    more = further.groupBy("leader", "one", "other").applyInPandas(_within(percent), "a long, b long")
-    more = staged(more, "jaccard-more")
-    # One more pass over the components, their names being set keys already.
-    named = reached.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    reached = staged(connected_components(named.unionByName(more)), "jaccard-components")
+    rest = named(checks.join(first, ["member", "leader"], "left_anti"), reached).where("component <> other").select("member", "leader")
+    links = verified(rest, "jaccard-rest")
+    reached = further(reached, links)
+
+    more = _blocks(_open(named(checks, reached), owner)).join(as_member, "member")
+    more = staged(more.groupBy("leader", "one", "other").applyInPandas(_within(width, percent), "a long, b long"), "jaccard-more")
+    reached = further(reached, more)
+    release(texts, checks, needed)
 
     least = owner.join(reached, owner["set_key"] == reached["node"], "left")
     least = least.select("set_key", "owner", F.coalesce("component", "set_key").alias("component"))
@@ -272,21 +407,21 @@ def deduplicated(docs: DataFrame, width: int = SHINGLE, percent: int = THRESHOLD
     return one.dropDuplicates(["key", "nth"]).select("row.*")
 
 
-def _open(answers: DataFrame, reached: DataFrame) -> DataFrame:
-    """(leader, member, component) of the lists whose sets are not all connected yet."""
-    own = answers.groupBy("leader").agg(F.max("most").alias("most")).withColumn("member", F.col("leader"))
-    pairs = answers.select("leader", "member", "most").unionByName(own)
-    named = pairs.join(reached, F.col("member") == F.col("node"), "left").select("leader", "member", "most", F.coalesce("component", "member").alias("component"))
-    spread = named.groupBy("leader").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"), F.sum("most").alias("shingles")
+def _open(named: DataFrame, owner: DataFrame) -> DataFrame:
+    """(leader, member, component, size, shingles) of the lists whose sets are not all connected."""
+    own = named.select("leader", F.col("leader").alias("member"), F.col("other").alias("component")).distinct()
+    pairs = named.select("leader", "member", "component").unionByName(own)
+    pairs = pairs.join(owner.select(F.col("set_key").alias("member"), "n"), "member")
+    spread = pairs.groupBy("leader").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"), F.sum("n").alias("shingles")
     )
     # A list of a leader and one more set was settled by its check.
-    return named.drop("most").join(spread.where("lo <> hi AND size > 2").select("leader", "shingles"), "leader")
+    return pairs.drop("n").join(spread.where("lo <> hi AND size > 2").select("leader", "size", "shingles"), "leader")
 
 
 def _blocks(lists: DataFrame) -> DataFrame:
     """Each list's sets dealt into blocks, and each set sent to every pair of blocks it is in."""
-    many: Column = F.greatest(F.lit(1), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    many: Column = F.greatest(F.lit(1), F.ceil(F.col("shingles") / BLOCK_SHINGLES), F.ceil(F.col("size") / BLOCK_SETS)).cast("int")
     dealt = lists.withColumn("many", many).withColumn("block", F.pmod(F.xxhash64("member"), F.col("many")).cast("int"))
     return dealt.withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("many") - 1))).select(
         "leader", "member", "component", "block", F.least("block", "mate").alias("one"), F.greatest("block", "mate").alias("other")

@@ -5,9 +5,11 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from quarterdeck.llm.jaccard_join import level_bounds, most_apart, shingle_groups, within_list
+from quarterdeck.llm import jaccard_join
+from quarterdeck.llm.jaccard_join import _leaders, level_bounds, most_apart, pack_tokens, shingle_groups, within_list
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -105,6 +107,45 @@ def test_null_ids_repeats_empty_and_clashing_columns(spark, make_docs):
     assert shingle_groups(make_docs([]).where("1 = 0")).count() == 0
 
 
+def test_repeated_and_null_ids_with_different_texts(make_docs):
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, one), (1, two), (2, one + " tail"), (3, two + " tail"), (None, one + " more"), (None, two + " end end"), (None, "c " * 30), (9, "c " * 31 + "d")]
+    apart = [(None, " ".join(f"q{i}" for i in range(50))), (None, " ".join(f"q{i}" for i in range(51)))]
+    want = sorted([(1, 1), (1, 1), (2, 1), (3, 1), (None, 1), (None, 1), (None, None), (9, 9), (None, None), (None, None)], key=str)
+    for seed in range(3):
+        mixed = rows + apart
+        random.Random(seed).shuffle(mixed)
+        got = shingle_groups(make_docs(mixed).repartition(1 + 3 * seed))
+        assert sorted(((r.doc_id, r.component_id) for r in got.collect()), key=str) == want
+
+
+def test_packed_tokens_give_every_list(spark):
+    rnd = random.Random(6)
+    blocks = [[(rnd.randrange(1 << 64) if rnd.random() < 0.3 else (rnd.randrange(12) * 0x9E3779B97F4A7C15) % (1 << 64), rnd.randrange(40)) for _ in range(200)] for _ in range(5)]
+    holders = defaultdict(set)
+    for token, key in (x for b in blocks for x in b):
+        holders[token].add(key)
+    want = {(k, min(h)) for h in holders.values() for k in h if k != min(h)}
+    for buckets in (1, 7):
+        packed = pa.Table.from_batches([pack_tokens(np.array([t for t, _ in b], np.uint64), np.array([k for _, k in b], np.int64), buckets) for b in blocks])
+        ordered = packed.sort_by([("bucket", "ascending"), ("passing", "ascending")])
+        found = pa.Table.from_batches(list(_leaders(iter(ordered.to_batches(max_chunksize=3)))))
+        assert set(zip(found["member"].to_pylist(), found["leader"].to_pylist(), strict=True)) == want
+
+
+def test_near_copies_over_many_blocks(make_docs, monkeypatch):
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(160):
+        text = list(base)
+        for _ in range(rnd.randrange(4)):
+            text[rnd.randrange(150)] = f"x{rnd.randrange(50)}"
+        rows.append((i, " ".join(text)))
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 7)
+    assert run(make_docs(rows).repartition(6)) == brute(rows)
+
+
 @pytest.mark.parametrize("size", [300_000])
 def test_very_long_text(make_docs, size):
     text = " ".join(str(i) for i in range(size))

@@ -21,7 +21,7 @@ def test_stages_hold_against_their_operators(spark):
     model = quality.fit(start, read(spark, SF, "labels"))
     wanted = {r.doc_id for r in quality.scored(start, model).collect() if r.score >= 0.3}
     assert {r.doc_id for r in good.collect()} == wanted
-    first = {r.component_id for r in jaccard_join.shingle_groups(good).collect()}
+    first = {r.component_id for r in jaccard_join.shingle_groups(good, width=5, percent=80).collect()}
     assert sorted(r.doc_id for r in alone.collect()) == sorted(first)
     leaks = {r.doc_id for r in decontamination.find_leaks(alone, read(spark, SF, "benchmark")).collect()}
     assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in alone.collect()} - leaks
