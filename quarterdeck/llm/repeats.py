@@ -13,9 +13,11 @@ with one anchor are one short segment around it. So
 4. the verdicts return to the texts that have them.
 
 An anchor with more segments than a block holds (a passage between ever different neighbours) is
-split into its windows, whose hashes are counted instead. Texts go by a 64-bit hash of their
-content, so copies are read once. Fixed-size bitmaps keep texts and segments that cannot take
-part out of the shuffles; they only ever let too much through.
+dealt over several blocks, each sorted as any other. What its blocks still have to tell each other
+is which windows they hold: one row for each different window of a block, so what is common to all
+segments travels once per block. Texts go by a 64-bit hash of their content, so copies are read
+once. Fixed-size bitmaps keep texts and segments that cannot take part out of the shuffles; they
+only ever let too much through.
 """
 
 from __future__ import annotations
@@ -28,12 +30,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.base import _BYTE, mix, span_hashes, staged, text_blocks
+from quarterdeck.llm.base import _BYTE, mix, release, span_hashes, staged, text_blocks
 from quarterdeck.llm.suffix_sort import common_prefixes, suffix_order
 
 LENGTH = 200
 GRAM = 32
-BLOCK_SEGMENTS = 2048  # about half a megabyte to sort at once; anchors with more segments are split
+BLOCK_SEGMENTS = 2048  # about half a megabyte to sort at once; anchors with more segments take several blocks
+BROADCAST_ANCHORS = 100_000  # dealt anchors sent along at most; beyond, a join by shuffle
 _MAP_BITS = 24
 _PLACE_BITS = 24
 _PIECE = 1 << 20
@@ -171,8 +174,11 @@ def repeated_windows(raws: list[bytes], length: int) -> list[np.ndarray]:
     return [found[b: b + s - length + 1] for b, s in zip(begin, size, strict=True)]
 
 
+_SORTED = "anchor long, segment long, flags binary, held array<struct<window:long,at:int,alone:boolean>>"
+
+
 def _sort_block(length: int):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         # A block's anchors are sorted in runs of about BLOCK_SEGMENTS: the keys of a run fit a task.
         rows = rows.sort_values("anchor", kind="stable", ignore_index=True)
         ends = np.append(np.flatnonzero(np.diff(rows["anchor"].to_numpy())) + 1, len(rows))
@@ -181,24 +187,29 @@ def _sort_block(length: int):
             if after - begin > BLOCK_SEGMENTS:
                 found += repeated_windows(list(rows["raw"][begin:end]), length)
                 begin = end
-        return pd.DataFrame({"anchor": rows["anchor"], "segment": rows["segment"], "flags": [np.packbits(f).tobytes() for f in found]})
+        held = held_windows(rows["anchor"].to_numpy(), list(rows["raw"]), length) if key[0] else [None] * len(rows)
+        return pd.DataFrame({"anchor": rows["anchor"], "segment": rows["segment"], "flags": [np.packbits(f).tobytes() for f in found], "held": held})
 
     return run
 
 
-def _window_rows(length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, raw in enumerate(batch.column(2)):
-                data = np.frombuffer(raw.as_buffer(), np.uint8)
-                at = np.arange(data.size - length + 1)
-                same = pa.array(np.full(at.size, i))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(same), batch.column(1).take(same), pa.array(at.astype(np.int32)), pa.array(span_hashes(data, at, at + length).view(np.int64))],
-                    names=["anchor", "segment", "at", "window"],
-                )
+def held_windows(anchors: np.ndarray, raws: list[bytes], length: int) -> list[list[dict]]:
+    """For each segment the windows that it stands for: hash, place, and whether no other one has it.
 
-    return run
+    Each different window of an anchor is listed once, by the first segment that holds it.
+    """
+    size = np.array([len(r) for r in raws])
+    begin, many = np.cumsum(size) - size, size - length + 1
+    row = np.repeat(np.arange(size.size), many)
+    at = np.arange(row.size) - np.repeat(np.cumsum(many) - many, many)
+    window = span_hashes(np.frombuffer(b"".join(raws), np.uint8), begin[row] + at, begin[row] + at + length)
+    order = np.lexsort((np.arange(row.size), window, anchors[row]))
+    new = np.concatenate(([True], (window[order][1:] != window[order][:-1]) | (anchors[row][order][1:] != anchors[row][order][:-1])))
+    count = np.diff(np.append(np.flatnonzero(new), row.size))
+    out: list[list[dict]] = [[] for _ in raws]
+    for i, n in zip(order[new], count, strict=True):
+        out[row[i]].append({"window": int(window[i].view(np.int64)), "at": int(at[i]), "alone": bool(n == 1)})
+    return out
 
 
 def _flags(places: pd.Series) -> bytes:
@@ -265,17 +276,24 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     fetched = holders.join(wanted, "content").dropDuplicates(["content"]).select("text", "wanted")
     fetched = staged(fetched.mapInArrow(_cut_out(length), "anchor long, segment long, raw binary"), "repeat-bytes")
 
-    weight = fetched.groupBy("anchor").agg(F.count("*").alias("m"))
-    hot = staged(weight.where(F.col("m") > BLOCK_SEGMENTS).select("anchor"), "repeat-hot")
+    weight = fetched.groupBy("anchor").agg(F.ceil(F.count("*") / BLOCK_SEGMENTS).cast("int").alias("many"))
+    hot = staged(weight.where("many > 1"), "repeat-hot")
+    along = F.broadcast(hot) if hot.count() <= BROADCAST_ANCHORS else hot
     blocks = max(1, -(-fetched.count() // BLOCK_SEGMENTS))
-    calm = fetched.join(hot, "anchor", "left_anti").withColumn("block", F.pmod(F.xxhash64("anchor"), F.lit(blocks)))
-    sorted_flags = calm.groupBy("block").applyInPandas(_sort_block(length), "anchor long, segment long, flags binary")
-    each = staged(fetched.join(hot, "anchor").mapInArrow(_window_rows(length), "anchor long, segment long, at int, window long"), "repeat-windows")
-    again = each.groupBy("anchor", "window").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "window")
+    # Dealt anchors have blocks of their own (``own`` is not 0), all others share blocks.
+    dealt = fetched.join(along, "anchor", "left").withColumns({
+        "own": F.when(F.col("many").isNotNull(), F.coalesce(F.nullif("anchor", F.lit(0)), F.lit(1))).otherwise(F.lit(0)),
+        "block": F.when(F.col("many").isNotNull(), F.pmod(F.xxhash64("segment"), "many")).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(blocks))),
+    })
+    in_block = staged(dealt.groupBy("own", "block").applyInPandas(_sort_block(length), _SORTED), "repeat-sorted")
+    # A window that is alone in its block of a dealt anchor is repeated if another block holds it.
+    windows = in_block.where("held IS NOT NULL").select("anchor", "segment", F.explode("held").alias("one")).select("anchor", "segment", "one.*")
+    single = F.collect_list(F.when(F.col("alone"), F.struct("segment", "at"))).alias("single")  # one per block at most
+    met = windows.groupBy("anchor", "window").agg(F.count("*").alias("n"), single).where("n > 1")
     pack = F.pandas_udf(_flags, "binary")
-    hot_flags = each.join(again, ["anchor", "window"]).groupBy("anchor", "segment").agg(pack("at").alias("flags"))
+    across = met.select("anchor", F.explode("single").alias("one")).groupBy("anchor", "one.segment").agg(pack("one.at").alias("flags"))
     once = several.where("n = 1").select("anchor", "segment")
-    flags = staged(sorted_flags.unionByName(hot_flags), "repeat-flags").join(once, ["anchor", "segment"])
+    flags = staged(in_block.select("anchor", "segment", "flags").unionByName(across), "repeat-flags").join(once, ["anchor", "segment"])
 
     # A segment that occurs twice goes whole; of the others the windows that were found again.
     single = found.where("mixed").join(once, ["anchor", "segment"], "left_semi").join(flags, ["anchor", "segment"])
@@ -284,6 +302,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     parts = plain.withColumn("flags", F.lit(None).cast("binary")).select("content", part.alias("part"))
     parts = parts.unionByName(single.select("content", part.alias("part")))
     verdicts = staged(parts.groupBy("content").agg(F.collect_set("part").alias("parts")), "repeat-verdicts")
+    release(listed, shared, found, several, wanted, fetched, hot, in_block)
 
     known = bitmap(verdicts, "content")
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
