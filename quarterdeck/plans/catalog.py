@@ -23,9 +23,9 @@ from quarterdeck.operators.rules import (
     apply_enhanced_quantity,
     apply_sales_business_rules,
     calculate_net_sales,
-    standardise_sales_columns,
 )
 from quarterdeck.sources import adapter as A
+from quarterdeck.sources.files import unified_sales
 from quarterdeck.sources.ingest import advance_watermark, incremental_extract
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,7 +52,7 @@ def silver_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_deduped(spark, sf_dir).transform(apply_sales_business_rules)
+    return A.current_sales_lines(spark, sf_dir).transform(apply_sales_business_rules)
 
 
 def unruled_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,14 +258,9 @@ def q_transactional(spark, sf_dir):
 
 
 def q_unified_bronze(spark, sf_dir):
-    """Both ingestion routes under the sales contract, in one pass over the lines.
-
-    Files arrive route by route (``files.unified_sales``); the given tables hold both already.
-    """
-    lines = bronze_sales(spark, sf_dir)
-    contract = standardise_sales_columns(lines).columns
-    kept = [c for c in lines.columns if c in contract or c == "source_file_name"]
-    return lines.select(*kept).select(*KEYS, "unit_id", "product_id", "gross_sales", "source_file_name", "_source_ingestion_route")
+    """Both ingestion routes, whose columns differ, in one table by name."""
+    unified = unified_sales(A.pos_extract_lines(spark, sf_dir), A.new_unit_lines(spark, sf_dir))
+    return unified.select(*KEYS, "unit_id", "product_id", "gross_sales", "source_file_name", "_source_ingestion_route")
 
 
 def q_dq_flags(spark, sf_dir):

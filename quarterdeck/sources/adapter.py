@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarterdeck.operators.dedupe import latest_per_key
 from quarterdeck.session import ensure_utc
 
 # Fixed values of the mapping (kept identical in the oracle SQL).
@@ -95,20 +96,50 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze sales lines of both ingestion routes, typed, with the route tag."""
-    li = read_table(spark, sf_dir, "lineitem")
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem ⋈ orders, the two columns that make the version order beside the given ones.
+
+    Lines are dealt by their order key before anything else: the join needs that shuffle at size,
+    deduplication reuses it, and the mapping then runs in as many tasks, however few files hold
+    the table.
+    """
+    li = read_table(spark, sf_dir, "lineitem").repartition("l_orderkey")
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority"
     )
+    days = F.datediff(F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date")).cast("long")
+    return li.join(orders, li.l_orderkey == orders.o_orderkey).withColumns(
+        {"source_sequence": days, "source_update_ts": _ts("l_shipdate")}
+    )
+
+
+def sales_lines(spark: SparkSession, sf_dir: str, regions: Column | None = None) -> DataFrame:
+    """Bronze sales lines of both ingestion routes (or of some regions), typed, with the route tag."""
+    return mapped_lines(spark, sf_dir, order_lines(spark, sf_dir), regions)
+
+
+def current_sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current version of each sales line.
+
+    A line's business key is its order and line number, so versions are compared on these native
+    keys, in the partitioning of the join, and only the survivors are mapped. Ties fall to the
+    larger product and unit id, as text.
+    """
+    lines = order_lines(spark, sf_dir).withColumns({"__product": F.col("l_partkey").cast("string"), "__unit": F.col("l_suppkey").cast("string")})
+    newest = latest_per_key(lines, ["l_orderkey", "l_linenumber"], ["source_sequence", "source_update_ts"], tiebreak=["__product", "__unit"])
+    return mapped_lines(spark, sf_dir, newest.drop("__product", "__unit"))
+
+
+def mapped_lines(spark: SparkSession, sf_dir: str, lines: DataFrame, regions: Column | None = None) -> DataFrame:
+    """Order lines as sales lines under the sales contract."""
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     geo = _geo(spark, sf_dir)
+    geo = geo if regions is None else geo.where(regions)
 
     joined = (
-        li.join(orders, li.l_orderkey == orders.o_orderkey)
-        .join(part, li.l_partkey == part.p_partkey)
-        .join(supplier, li.l_suppkey == supplier.s_suppkey)
+        lines.join(part, lines.l_partkey == part.p_partkey)
+        .join(supplier, lines.l_suppkey == supplier.s_suppkey)
         .join(F.broadcast(geo), F.col("s_nationkey") == geo.n_nationkey)
     )
 
@@ -126,7 +157,6 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ) % F.lit(TRADING_DAY_LENGTH_SECONDS)
     # zone-free arithmetic on the driver's TIMESTAMP_NTZ values, one cast to UTC at the end
     completed = F.col("o_orderdate") + F.make_dt_interval(secs=time_of_day)
-    ship_ts = _ts("l_shipdate")
     is_json = F.col("r_name") == NEW_UNIT_REGION
     d = F.col("l_discount")
 
@@ -163,9 +193,9 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("line_status"),
         (F.col("p_size") > 3).alias("is_priced_product"),
         ((F.col("p_type") == "ECONOMY") & (F.col("p_size") <= 10)).alias("is_kitchen_instruction"),
-        F.datediff(ship_date, order_date).cast("long").alias("source_sequence"),
-        ship_ts.alias("source_update_ts"),
-        (ship_ts + F.expr("INTERVAL 2 HOURS")).alias("extraction_ts"),
+        "source_sequence",
+        "source_update_ts",
+        (F.col("source_update_ts") + F.expr("INTERVAL 2 HOURS")).alias("extraction_ts"),
         F.when(is_json, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("pos_extract_"), F.translate(ship_date.cast("string"), "-", ""), F.lit(".csv")))
         .alias("source_file_name"),
@@ -173,6 +203,16 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pos_extract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the database route, as its extract files hold them (with their file name)."""
+    return sales_lines(spark, sf_dir, F.col("r_name") != NEW_UNIT_REGION)
+
+
+def new_unit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the JSON route, whose files carry no extract file name."""
+    return sales_lines(spark, sf_dir, F.col("r_name") == NEW_UNIT_REGION).drop("source_file_name")
+
+
 # Total version order on the adapter's lines: two lines of one key can share a ship date,
 # then product and unit decide (no ties remain on the driver data).
 ADAPTER_TIEBREAK = ["product_id", "unit_id"]
