@@ -3,11 +3,12 @@
 A document's set holds its distinct 3-word shingles (64-bit hashes). The join runs in four steps.
 
 1. *Index lists by position.* Sets of similar size share a level; a level cuts the hash range
-   into ``H + 1`` positions, where ``H`` is the largest number of shingles by which two linked
-   sets of that level can differ. Linked sets agree wholly at one position at least, so the
-   index list of a (level, position, content) token holds every pair that may link, and a list
-   with one set is skipped as a block. No frequent shingle makes a long list: a token stands for
-   all shingles of its position. Tokens travel once, packed and sorted by block of documents; a
+   into ``P`` positions, more than ``H``, the largest number of shingles by which two linked sets
+   of that level can differ. Linked sets agree wholly at ``P - H`` positions at least, so the
+   index lists of (level, position, content) tokens hold every pair that may link, and a list
+   with one set is skipped as a block. A set with fewer than ``P - H`` empty positions has a
+   shingle in common at one of them, so its empty positions, alike for many sets, have no tokens.
+   No frequent shingle makes a long list: a token stands for all shingles of its position. Tokens travel once, packed and sorted by block of documents; a
    token that several sets of a block hold goes on as one entry, so a hot list reaches its task as
    a few entries for each block, and the rest of its sets only pass by.
 2. *One verified answer per set.* Every set is checked exactly against the least set, the leader,
@@ -55,9 +56,7 @@ def level_bounds(percent: int, largest: int) -> list[int]:
     first = max(1, math.ceil(percent / (100 - percent))) if percent < 100 else largest + 1
 
     def after(bound: int) -> int:
-        for _ in range(2):  # a level is twice as wide as links reach
-            bound = max(bound + 1, math.ceil(bound * 100 / percent))
-        return bound
+        return max(bound + 1, math.ceil(bound * 100 / percent))
 
     bounds = [first]
     while bounds[-1] <= largest:
@@ -88,26 +87,29 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[
             yield np.zeros(0, np.uint64)
 
 
-def set_levels(n: int, percent: int, bounds: list[int]) -> list[tuple[int, int]]:
-    """(level, positions) of a set's tokens: its own level, and the next one if its links reach it."""
+def set_levels(n: int, percent: int, bounds: list[int]) -> list[tuple[int, int, int]]:
+    """(level, H, positions) of a set: its own level, and the next one if its links reach it."""
     if n < bounds[0]:
         return []
     own = int(np.searchsorted(bounds, n, side="right")) - 1
     levels = (own, own + 1) if 100 * n >= percent * bounds[own + 1] else (own,)
-    return [(level, most_apart(percent, bounds[level + 1] - 1) + 1) for level in levels]
+    apart = [most_apart(percent, bounds[level + 1] - 1) for level in levels]
+    return [(level, h, h + 3 + h // 8) for level, h in zip(levels, apart, strict=True)]
 
 
 def set_tokens(shingles: np.ndarray, percent: int, bounds: list[int]) -> np.ndarray:
-    """The index tokens of a set: one per position of its levels."""
+    """The index tokens of a set: one per position of its levels, but for the empty ones."""
     found = [np.zeros(0, np.uint64)]
     if shingles.size >= bounds[0]:
         content = np.zeros(shingles.size + 1, np.uint64)
         np.cumsum(mix(shingles + np.uint64(0x632BE59BD9B4E019)), out=content[1:])
-    for level, parts in set_levels(shingles.size, percent, bounds):
+    for level, apart, parts in set_levels(shingles.size, percent, bounds):
         edges = np.arange(parts, dtype=np.float64) * (2.0**64 / parts)
         cut = np.append(np.searchsorted(shingles, edges.astype(np.uint64)), shingles.size)
         place = np.arange(parts, dtype=np.uint64) + np.uint64(level << 40)
-        found.append(mix(mix(place) ^ (content[cut[1:]] - content[cut[:-1]])))
+        tokens = mix(mix(place) ^ (content[cut[1:]] - content[cut[:-1]]))
+        empty = cut[1:] == cut[:-1]
+        found.append(tokens[~empty] if empty.sum() < parts - apart else tokens)
     return np.concatenate(found)
 
 
@@ -136,7 +138,7 @@ def _sets(width: int, percent: int):
             for row, stop, data, offsets in text_blocks(batch.column(2)):
                 sets = list(shingle_sets(data, offsets, width))
                 sizes = [s.size for s in sets]
-                tokens = [sum(parts for _, parts in set_levels(n, percent, bounds.to(n))) for n in sizes]
+                tokens = [sum(parts for _, _, parts in set_levels(n, percent, bounds.to(n))) for n in sizes]
                 keys = np.array([_set_key(s) for s in sets], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, stop - row), batch.column(1).slice(row, stop - row), pa.array(sizes, pa.int64()), pa.array(keys), pa.array(tokens, pa.int64())],

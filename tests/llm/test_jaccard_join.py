@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 
 from quarterdeck.llm import jaccard_join
-from quarterdeck.llm.jaccard_join import _leaders, level_bounds, most_apart, pack_tokens, shingle_groups, within_list
+from quarterdeck.llm.jaccard_join import _leaders, level_bounds, most_apart, pack_tokens, set_tokens, shingle_groups, within_list
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -151,3 +151,20 @@ def test_very_long_text(make_docs, size):
     text = " ".join(str(i) for i in range(size))
     got = run(make_docs([(1, text), (2, text + " tail"), (3, "short text here")]))
     assert got == [(1, size - 2, 1), (2, size - 1, 1), (3, 1, 3)]
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_linked_sets_share_a_token(percent):
+    rnd = np.random.default_rng(percent)
+    bounds = level_bounds(percent, 5000)
+    shared = 0
+    for _ in range(3000):
+        n = int(rnd.integers(1, 60)) if rnd.random() < 0.8 else int(rnd.integers(60, 900))
+        one = np.unique(rnd.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        gone, new = (int(x) for x in rnd.integers(0, 2 + n * (100 - percent) // 100, 2))
+        other = np.unique(np.concatenate([rnd.permutation(one)[gone:], rnd.integers(0, 1 << 63, new, dtype=np.uint64)]))
+        common = np.intersect1d(one, other).size
+        if common and not np.array_equal(one, other) and 100 * common >= percent * (one.size + other.size - common):
+            assert np.intersect1d(set_tokens(one, percent, bounds), set_tokens(other, percent, bounds)).size
+            shared += 1
+    assert shared > 300
