@@ -1,6 +1,7 @@
 """Column -> Column building blocks (all JVM-side built-ins, no Python UDFs)."""
 
 from quarterdeck.functions.money import (
+    exact_avg,
     exact_sum,
     ratio_or_null,
     ratio_or_zero,

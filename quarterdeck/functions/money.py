@@ -49,3 +49,8 @@ def exact_sum(c: str | Column, scale: int = 6) -> Column:
     nothing is rounded before the total; partial sums merge exactly whatever the partitioning.
     """
     return F.sum(_col(c).cast(f"decimal(24,{scale})")).cast("double")
+
+
+def exact_avg(c: str | Column, scale: int = 12) -> Column:
+    """Mean that does not depend on row order: an exact sum over the count, null without values."""
+    return exact_sum(c, scale) / F.nullif(F.count(_col(c)), F.lit(0))

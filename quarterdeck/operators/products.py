@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.money import (
+    exact_avg,
     exact_sum,
     ratio_or_null,
     ratio_or_zero,
@@ -52,7 +53,7 @@ def bucket_sales(sales: DataFrame, by_business_date: bool = True) -> DataFrame:
     require_columns(sales, keys + ["net_sales", "enhanced_quantity", "transaction_id"])
     return sales.groupBy(*keys).agg(
         exact_sum("net_sales").alias("net_sales"),
-        F.sum("enhanced_quantity").alias("enhanced_quantity"),
+        exact_sum("enhanced_quantity").alias("enhanced_quantity"),
         F.count_distinct("transaction_id").alias("transaction_count"),
     )
 
@@ -194,9 +195,9 @@ def combo_price_variance(sales: DataFrame) -> DataFrame:
     agg = (
         priced.groupBy("product_id", "product_name")
         .agg(
-            F.avg(F.when(combo, F.col("unit_net_price"))).alias("combo_avg"),
-            F.avg(F.when(alone, F.col("unit_net_price"))).alias("standalone_avg"),
-            F.sum(F.when(combo, F.col("enhanced_quantity"))).alias("combo_units"),
+            exact_avg(F.when(combo, F.col("unit_net_price"))).alias("combo_avg"),
+            exact_avg(F.when(alone, F.col("unit_net_price"))).alias("standalone_avg"),
+            exact_sum(F.when(combo, F.col("enhanced_quantity"))).alias("combo_units"),
             F.max(combo).alias("has_combo"),
         )
         .filter("has_combo")
@@ -268,7 +269,7 @@ def average_transaction_value(sales: DataFrame) -> DataFrame:
         .agg(
             F.count_distinct("transaction_id").alias("transaction_count"),
             exact_sum("net_sales").alias("net_sales"),
-            F.sum("enhanced_quantity").alias("enhanced_quantity"),
+            exact_sum("enhanced_quantity").alias("enhanced_quantity"),
         )
         .withColumn("average_transaction_value", ratio_or_null("net_sales", "transaction_count"))
         .withColumn("net_sales_per_enhanced_item", ratio_or_null("net_sales", "enhanced_quantity"))
@@ -305,9 +306,13 @@ def transactional_from_silver(
     dim_product: DataFrame,
     budget_forecast: DataFrame,
     with_versions: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Denormalised line-level table: sales ⟕ unit ⟕ product ⟕ budget/forecast.
 
+    ``sales`` may be a stream: the joins are then stream-static left joins. ``keep`` names columns
+    of ``sales`` that follow the contract's.
+
     Dimension names win over the names carried on the sales line. Each side is one row per
     join key (dims are deduplicated upstream), so the left joins never multiply lines.
     """
@@ -326,7 +331,7 @@ def transactional_from_silver(
         cols += ["source_sequence", "source_update_ts", "extraction_ts"]
     else:
         cols += ["daily_budget_net_sales", "forecast_net_sales"]
-    return joined.select(*cols)
+    return joined.select(*cols, *keep)
 
 
 def budget_variance(sales: DataFrame, budget_forecast: DataFrame) -> DataFrame:
@@ -354,7 +359,3 @@ def budget_variance(sales: DataFrame, budget_forecast: DataFrame) -> DataFrame:
             "budget_attainment_percent"
         ),
     )
-
-
-def select_existing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*[c for c in cols if c in df.columns])

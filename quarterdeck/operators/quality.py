@@ -10,11 +10,15 @@ flagged rows. A predicate that evaluates to NULL counts as failed.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarterdeck.operators.rules import require_columns
+from quarterdeck.sources.control import active_control_rows, key_columns
+
 # The expectations of each table, name → predicate.
 LANDING_JSON_RULES = {
     "transaction_id_is_present": "transaction_id IS NOT NULL",
@@ -115,3 +119,38 @@ def dq_alerts(metrics: DataFrame, owners: DataFrame) -> DataFrame:
         .join(F.broadcast(owners), "rule_name", "left")
         .select("rule_name", "rows_checked", "rows_failed", "technical_owner", "functional_owner")
     )
+
+
+def key_checks(control: DataFrame, read: Callable[[str], DataFrame]) -> DataFrame:
+    """The one-row-per-key contract of every active entity of a control table.
+
+    The control table says per entity its source object and its key columns as a comma list; any
+    number of entities takes the same check. Rows with a null in a key column are counted apart and
+    belong to no key. A key's rows are summed map-side first, so one very frequent key is no group
+    of its own. The control rows are configuration; they are read to build the plan.
+    """
+    out = []
+    for row in key_columns(active_control_rows(control)).orderBy("target_entity").collect():
+        keys = list(row["primary_key_array"])
+        entity = read(row["source_table"])
+        require_columns(entity, keys)
+        per_key = entity.groupBy(*keys).agg(F.count("*").alias("__rows"))
+        whole = F.lit(True)
+        for key in keys:
+            whole = whole & F.col(key).isNotNull()
+        total = lambda value: F.coalesce(F.sum(value), F.lit(0)).cast("long")
+        again = whole & (F.col("__rows") > 1)
+        out.append(
+            per_key.agg(
+                F.lit(row["target_entity"]).alias("target_entity"),
+                F.lit(",".join(keys)).alias("key_columns"),
+                total(F.col("__rows")).alias("rows_checked"),
+                total(whole.cast("int")).alias("distinct_keys"),
+                total(again.cast("int")).alias("duplicate_keys"),
+                total(F.when(again, F.col("__rows") - 1)).alias("surplus_rows"),
+                total(F.when(~whole, F.col("__rows"))).alias("null_key_rows"),
+            )
+        )
+    if not out:
+        raise ValueError("the control table has no active entity")
+    return reduce(DataFrame.unionByName, out)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.money import exact_sum, round_half_up
@@ -58,10 +58,27 @@ def missing_countries(countries: DataFrame, sales: DataFrame, first_run, last_ru
     return expected.join(sales.select(run_col, "country_code").distinct(), [run_col, "country_code"], "left_anti")
 
 
-def load_delays(audit: DataFrame, now_col, max_hours: float, by: Sequence[str] = ("ingestion_id",)) -> DataFrame:
-    """R5: entities whose last successful load is older than ``max_hours``."""
-    last = audit.filter(F.col("status") == "Succeeded").groupBy(*by).agg(
-        F.max("trigger_time_utc").alias("last_success_utc")
+def load_delays(control: DataFrame, audit: DataFrame, now: Column, max_hours: float, entity: str = "ingestion_id") -> DataFrame:
+    """R5: every active entity of the control table with its last successful load and whether that
+    is older than ``max_hours``.
+
+    An entity that never loaded, or whose runs all failed, is delayed as well, with a null lag. The
+    status and error of the newest run tell why (of runs at one time, a failed one counts).
+    """
+    active = control.where(F.coalesce("is_active", F.lit(False))).select(entity).distinct()
+    done = F.when(F.col("status") == "Succeeded", F.col("trigger_time_utc"))
+    newest = F.max_by("status", F.struct("trigger_time_utc", (F.col("status") != "Succeeded").alias("failed"), "status"))
+    runs = audit.groupBy(entity).agg(
+        F.max(done).alias("last_success_utc"),
+        newest.alias("last_status"),
+        F.count_if(F.col("status") != "Succeeded").alias("failed_runs"),
+    )
+    lag = (F.unix_seconds(now) - F.unix_seconds("last_success_utc")) / 3600.0
+    return active.join(runs, entity, "left").select(
+        entity,
+        "last_success_utc",
+        F.coalesce("last_status", F.lit("Never run")).alias("last_status"),
+        F.coalesce("failed_runs", F.lit(0)).cast("long").alias("failed_runs"),
+        lag.alias("hours_since_success"),
+        F.coalesce(lag > F.lit(max_hours), F.lit(True)).alias("is_delayed"),
     )
-    lag_h = (F.unix_seconds(now_col) - F.unix_seconds(F.col("last_success_utc"))) / 3600.0
-    return last.withColumn("hours_since_success", lag_h).withColumn("is_delayed", lag_h > F.lit(max_hours))

@@ -7,6 +7,7 @@ exactly as a job over real Bronze/Silver tables would compose file sources with
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +25,19 @@ from quarterdeck.operators.rules import (
     apply_sales_business_rules,
     calculate_net_sales,
 )
+from quarterdeck.schemas import INGESTION_CONTROL
+from quarterdeck.session import scratch_path
 from quarterdeck.sources import adapter as A
-from quarterdeck.sources.files import unified_sales
-from quarterdeck.sources.ingest import advance_watermark, incremental_extract
+from quarterdeck.sources import schema_registry, tables
+from quarterdeck.sources.files import read_json_lines, split_corrupt, unified_sales, write_json_lines
+from quarterdeck.sources.ingest import (
+    advance_watermark,
+    incremental_extract,
+    land_by_day,
+    read_landing,
+    run_ingestion,
+    source_counts_from_audit,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +49,11 @@ EXTRACT_LAST_WATERMARK = "1999-06-30 00:00:00"
 # Two loads of the product master file, older then newer.
 SNAPSHOT_STAMPS = ("20260101020000", "20260102020000")
 BREAK_EVEN_MULTIPLIER = 1.25
+# The watermark of the run that is reconciled, the delay report's clock and limit,
+# and the landed day that is read back.
+ORDERS_LAST_WATERMARK = "1999-12-31 00:00:00"
+SLA_NOW, SLA_HOURS = "2001-08-02 00:00:00", 24.0 * 90
+LANDING_DAY, LANDING_RUN = "2024-01-15", "run1"
 
 
 # ---------------------------------------------------------------- building blocks
@@ -369,6 +385,114 @@ def q_latest_master_snapshot(spark, sf_dir):
     return snap.select("product_id", "product_name", "standard_unit_price", "_file_stamp")
 
 
+def q_analytics_stream(spark, sf_dir):
+    """Line-level analytics from a stream of sales lines, joined to the dimensions in the stream."""
+    from quarterdeck.streaming.replay import replay_lines_to_analytics
+
+    dimensions = silver_dim_unit(spark, sf_dir), silver_dim_product(spark, sf_dir), silver_budget_forecast(spark, sf_dir)
+    return replay_lines_to_analytics(spark, bronze_sales(spark, sf_dir), dimensions, tiebreak=A.ADAPTER_TIEBREAK)
+
+
+def q_energy_stream(spark, sf_dir):
+    """Energy by quarter hour from the stateful streaming aggregate, readings in time order."""
+    from quarterdeck.streaming.energy import replay_readings
+
+    return replay_readings(spark, A.energy_readings(spark, sf_dir), scratch_path(spark, "energy_replay"))[0]
+
+
+def _control_frame(spark, rows: list[dict]):
+    """A control table of the given rows; what a row does not say is empty."""
+    names = INGESTION_CONTROL.fieldNames()
+    return spark.createDataFrame([tuple({"is_active": True, **row}.get(n) for n in names) for row in rows], INGESTION_CONTROL)
+
+
+def q_recon_source_landing(spark, sf_dir):
+    """Rows that the source reported against rows in the landing area, per entity, of a run over
+    orders (since a watermark), customers and suppliers."""
+    rows = [
+        {"ingestion_id": i, "source_table": table, "target_entity": table, "target_folder": table, "load_pattern": "full"}
+        for i, table in enumerate(("orders", "customer", "supplier"), 1)
+    ]
+    rows[0] |= {"load_pattern": "incremental", "watermark_column": "o_orderdate", "last_watermark_value": ORDERS_LAST_WATERMARK}
+    control = _control_frame(spark, rows)
+    read = lambda s, row: A.read_table(s, sf_dir, row["source_table"])
+    base = scratch_path(spark, "landing")
+    audit, updated = run_ingestion(spark, control, read, base)
+    landed = [
+        read_landing(spark, base, row["target_folder"], A.read_table(spark, sf_dir, row["source_table"]).schema).select(F.lit(row["target_entity"]).alias("target_entity"))
+        for row in rows
+    ]
+    counts = recon.source_bronze_counts(source_counts_from_audit(audit, control), reduce(DataFrame.unionByName, landed), ["target_entity"])
+    marks = updated.select("target_entity", F.col("last_watermark_value").alias("new_watermark"))
+    return counts.join(marks, "target_entity").select("target_entity", "source_rows", "bronze_rows", "row_difference", "new_watermark")
+
+
+def q_load_delays(spark, sf_dir):
+    """Customers as source entities, their orders as load runs: who is late against the SLA, those
+    that never loaded or only failed included."""
+    customer, orders = A.read_table(spark, sf_dir, "customer"), A.read_table(spark, sf_dir, "orders")
+    control = customer.select(F.col("c_custkey").alias("ingestion_id"), (F.col("c_acctbal") >= 0).alias("is_active"))
+    audit = orders.select(
+        F.col("o_custkey").alias("ingestion_id"),
+        F.col("o_orderdate").cast("timestamp").alias("trigger_time_utc"),
+        F.when(F.col("o_orderstatus") == "P", "Failed").otherwise("Succeeded").alias("status"),
+    )
+    return recon.load_delays(control, audit, F.lit(SLA_NOW).cast("timestamp"), SLA_HOURS)
+
+
+def q_schema_drift(spark, sf_dir):
+    """Drift of a supplier delivery against the schema that customers were stored with.
+
+    Both lose the table's prefix; the nation of suppliers in debt comes as text with a mark.
+    """
+    customer, supplier = A.read_table(spark, sf_dir, "customer"), A.read_table(spark, sf_dir, "supplier")
+    first = customer.toDF(*[c.removeprefix("c_") for c in customer.columns])
+    nation = F.when(F.col("acctbal") < 0, F.concat(F.lit("N"), F.col("nationkey").cast("string"))).otherwise(F.col("nationkey").cast("string"))
+    later = supplier.toDF(*[c.removeprefix("s_") for c in supplier.columns]).withColumn("nationkey", nation)
+    registry = scratch_path(spark, "schema_registry")
+    schema_registry.read_tracked(spark, registry, "partners", first)
+    _, stored = schema_registry.stored_schema(spark, registry, "partners")
+    return schema_registry.drift_report(later, stored)
+
+
+def q_key_checks(spark, sf_dir):
+    """The key contract of orders, line items, parts and customers, from their control rows."""
+    keys = {"orders": "o_orderkey", "lineitem": "l_orderkey, l_linenumber", "part": "p_partkey", "customer": "c_nationkey, c_mktsegment"}
+    control = _control_frame(spark, [{"ingestion_id": i, "source_table": t, "target_entity": t, "primary_key_columns": k} for i, (t, k) in enumerate(keys.items())])
+    return quality.key_checks(control, lambda table: A.read_table(spark, sf_dir, table))
+
+
+def q_landing_day(spark, sf_dir):
+    """Events landed by day and one day read back, from that day's folders alone."""
+    events = A.read_table(spark, sf_dir, "events")
+    base = scratch_path(spark, "landing")
+    land_by_day(events, base, "events", F.col("ts"), LANDING_RUN)
+    return read_landing(spark, base, "events", events.schema, extract_date=LANDING_DAY, run_id=LANDING_RUN)
+
+
+def q_json_lines(spark, sf_dir):
+    """The lines of the new units through JSON-lines files and back, typed."""
+    lines = A.new_unit_lines(spark, sf_dir)
+    path = scratch_path(spark, "json_lines")
+    write_json_lines(lines, path)
+    parsed, _ = split_corrupt(read_json_lines(spark, path, lines.schema))
+    return parsed.select(
+        *KEYS, "unit_id", "product_id", "transaction_completed_ts", "is_combo", "quantity", "gross_sales",
+        "discount_amount", "tax_amount", "discount_name", "source_sequence", "extraction_ts",
+    )
+
+
+def q_table_registry(spark, sf_dir):
+    """The dimension tables as written and declared: properties from the catalog, rows from the data."""
+    root, database = scratch_path(spark, "registered"), "quarterdeck_registry"
+    frames = {"silver_dim_unit": silver_dim_unit, "silver_dim_product": silver_dim_product, "silver_daily_budget_forecast": silver_budget_forecast}
+    counts = []
+    for name, build in frames.items():
+        tables.declare_table(spark, database, name, tables.write_table(build(spark, sf_dir), root, name))
+        counts.append(spark.table(f"{database}.{name}").agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count")))
+    return tables.declared_tables(spark, database).join(reduce(DataFrame.unionByName, counts), "table_name")
+
+
 def q_scd1_stream(spark, sf_dir):
     from quarterdeck.streaming.replay import replay_sales_as_stream
 
@@ -440,6 +564,15 @@ QUERIES: dict[str, Query] = {
     "watermark_advance": q_watermark_advance,
     "latest_master_snapshot": q_latest_master_snapshot,
     "scd1_stream": q_scd1_stream,
+    "analytics_stream": q_analytics_stream,
+    "energy_stream": q_energy_stream,
+    "recon_source_landing": q_recon_source_landing,
+    "load_delays": q_load_delays,
+    "schema_drift": q_schema_drift,
+    "key_checks": q_key_checks,
+    "landing_day": q_landing_day,
+    "json_lines": q_json_lines,
+    "table_registry": q_table_registry,
     "vw_atv": _view("vw_enhanced_quantity_atv", ("silver_sales_line_items_business",)),
     "vw_discount_strategy": _view("vw_discount_strategy", ("gold_discount_strategy",)),
     "vw_break_even": _view("vw_unit_sales_15_min_break_even", ("gold_unit_quarter_hour_sales",)),

@@ -536,6 +536,69 @@ SELECT 'P' || CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name,
   """ + sround("p_retailprice + 1.0", 2) + """ AS standard_unit_price, '20260102020000' AS _file_stamp
 FROM part""",
     "scd1_stream": f"WITH {BRONZE},{RANKED}\nSELECT {DEDUPE_OUT} FROM dedup",
+    "analytics_stream": f"""{SILVER_BASE},{DIM_UNIT},{DIM_PRODUCT},{BUDGET}
+SELECT s.business_date, s.country_code, s.location_id, s.unit_id, u.unit_name, s.transaction_id,
+  s.transaction_line_id, s.transaction_completed_ts, s.quarter_hour_start_ts, s.product_id,
+  p.product_name, p.product_category, s.gross_sales, s.discount_amount, s.tax_amount, s.net_sales,
+  s.enhanced_quantity, s.discount_type, s.discount_name, s.line_status, b.daily_budget_net_sales,
+  b.forecast_net_sales, s.source_sequence, s.source_update_ts, s.extraction_ts
+FROM silver s
+LEFT JOIN dim_unit u ON s.country_code = u.country_code AND s.location_id = u.location_id AND s.unit_id = u.unit_id
+LEFT JOIN dim_product p ON s.product_id = p.product_id
+LEFT JOIN budget_forecast b ON s.business_date = b.business_date AND s.unit_id = b.unit_id""",
+    "energy_stream": f"WITH {ENERGY}\nSELECT * FROM energy",
+    "recon_source_landing": """
+SELECT 'orders' AS target_entity, COUNT(*) AS source_rows, COUNT(*) AS bronze_rows, CAST(0 AS BIGINT) AS row_difference,
+  coalesce(strftime(MAX(o_orderdate), '%Y-%m-%d %H:%M:%S'), '1999-12-31 00:00:00') AS new_watermark
+FROM orders WHERE o_orderdate > TIMESTAMP '1999-12-31 00:00:00'
+UNION ALL SELECT 'customer', COUNT(*), COUNT(*), 0, NULL FROM customer
+UNION ALL SELECT 'supplier', COUNT(*), COUNT(*), 0, NULL FROM supplier""",
+    "load_delays": """
+WITH runs AS (
+  SELECT o_custkey, o_orderdate, CASE WHEN o_orderstatus = 'P' THEN 'Failed' ELSE 'Succeeded' END AS status FROM orders
+),
+known AS (
+  SELECT o_custkey, MAX(o_orderdate) FILTER (status = 'Succeeded') AS last_success_utc,
+    arg_max(status, (o_orderdate, status = 'Failed')) AS last_status,
+    COUNT(*) FILTER (status = 'Failed') AS failed_runs
+  FROM runs GROUP BY o_custkey
+),
+lagged AS (
+  SELECT c.c_custkey AS ingestion_id, k.last_success_utc, coalesce(k.last_status, 'Never run') AS last_status,
+    coalesce(k.failed_runs, 0) AS failed_runs,
+    date_diff('second', k.last_success_utc, TIMESTAMP '2001-08-02 00:00:00') / 3600.0 AS hours_since_success
+  FROM customer c LEFT JOIN known k ON k.o_custkey = c.c_custkey WHERE c.c_acctbal >= 0
+)
+SELECT *, coalesce(hours_since_success > 2160, true) AS is_delayed FROM lagged""",
+    "schema_drift": """
+SELECT 'custkey' AS column_name, 'missing' AS change, 'bigint' AS stored_type, NULL AS found_type, (SELECT COUNT(*) FROM supplier) AS rows_affected
+UNION ALL SELECT 'mktsegment', 'missing', 'string', NULL, (SELECT COUNT(*) FROM supplier)
+UNION ALL SELECT 'nationkey', 'retyped', 'int', 'string', (SELECT COUNT(*) FROM supplier WHERE s_acctbal < 0)
+UNION ALL SELECT 'suppkey', 'added', NULL, 'bigint', (SELECT COUNT(s_suppkey) FROM supplier)""",
+    "key_checks": " UNION ALL ".join(
+        f"""
+SELECT '{table}' AS target_entity, '{",".join(keys)}' AS key_columns, CAST(SUM(n) AS BIGINT) AS rows_checked,
+  COUNT(*) FILTER ({" AND ".join(f"{k} IS NOT NULL" for k in keys)}) AS distinct_keys,
+  COUNT(*) FILTER ({" AND ".join(f"{k} IS NOT NULL" for k in keys)} AND n > 1) AS duplicate_keys,
+  CAST(coalesce(SUM(n - 1) FILTER ({" AND ".join(f"{k} IS NOT NULL" for k in keys)} AND n > 1), 0) AS BIGINT) AS surplus_rows,
+  CAST(coalesce(SUM(n) FILTER ({" OR ".join(f"{k} IS NULL" for k in keys)}), 0) AS BIGINT) AS null_key_rows
+FROM (SELECT {", ".join(keys)}, COUNT(*) AS n FROM {table} GROUP BY ALL)"""
+        for table, keys in (
+            ("orders", ["o_orderkey"]), ("lineitem", ["l_orderkey", "l_linenumber"]),
+            ("part", ["p_partkey"]), ("customer", ["c_nationkey", "c_mktsegment"]),
+        )
+    ),
+    "landing_day": """
+SELECT *, CAST(ts AS DATE) AS extract_date, 'run1' AS run_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'""",
+    "json_lines": f"""WITH {BRONZE}
+SELECT {KEYS}, unit_id, product_id, transaction_completed_ts, is_combo, quantity, gross_sales, discount_amount, tax_amount,
+  discount_name, source_sequence, extraction_ts
+FROM bronze WHERE _source_ingestion_route = 'new_unit_json_files'""",
+    "table_registry": f"""WITH {DIM_UNIT},{DIM_PRODUCT},{BUDGET}
+SELECT 'silver_dim_unit' AS table_name, 'silver' AS layer, 'overwrite' AS write_mode, NULL AS merge_pattern, NULL AS source_pattern,
+  'Trading units under their business names' AS comment, (SELECT COUNT(*) FROM dim_unit) AS row_count
+UNION ALL SELECT 'silver_dim_product', 'silver', 'overwrite', NULL, NULL, 'Products in their corrected category', (SELECT COUNT(*) FROM dim_product)
+UNION ALL SELECT 'silver_daily_budget_forecast', 'silver', 'overwrite', NULL, NULL, 'Budget and forecast by date and unit', (SELECT COUNT(*) FROM budget_forecast)""",
 }
 
 # The SQL views answer the same questions as their DataFrame builders.

@@ -179,21 +179,50 @@ MASTER_CONTROL = T.StructType(
     ]
 )
 
-# One registry of table names, layers and write modes (replaces per-table decorator tags).
+# One registry of table names, layers, write modes and comments: writers take their mode from it
+# (``sources/tables.py``, ``streaming/pipeline.py``), the catalog gets all of it as properties.
 TABLES: dict[str, dict[str, str]] = {
-    "landing_new_unit_sales_json": {"layer": "landing", "mode": "append", "source_pattern": "json_files"},
-    "bronze_oracle_sales_line_items": {"layer": "bronze", "mode": "append", "source_pattern": "csv_extract"},
-    "bronze_new_unit_sales_line_items": {"layer": "bronze", "mode": "append", "source_pattern": "json_files"},
-    "bronze_sales_line_items_unified": {"layer": "bronze", "mode": "append"},
-    "bronze_energy_meter_readings": {"layer": "bronze", "mode": "append"},
-    "bronze_master_files": {"layer": "bronze", "mode": "append", "source_pattern": "master_parquet"},
-    "silver_sales_line_items_deduped": {"layer": "silver", "mode": "upsert", "merge_pattern": "scd1"},
-    "silver_sales_line_items_business": {"layer": "silver", "mode": "upsert"},
-    "silver_dim_unit": {"layer": "silver", "mode": "overwrite"},
-    "silver_dim_product": {"layer": "silver", "mode": "overwrite"},
-    "silver_daily_budget_forecast": {"layer": "silver", "mode": "overwrite"},
-    "silver_energy_15_minute_cost": {"layer": "silver", "mode": "recompute_touched_dates"},
-    "gold_unit_quarter_hour_sales": {"layer": "gold", "mode": "overwrite"},
-    "gold_discount_strategy": {"layer": "gold", "mode": "overwrite"},
-    "analytics_sales_transactional": {"layer": "analytics", "mode": "upsert", "merge_pattern": "scd1"},
+    "landing_new_unit_sales_json": {
+        "layer": "landing", "mode": "append", "source_pattern": "json_files",
+        "comment": "JSON-lines sales files of newly onboarded units, as delivered, with failed rules",
+    },
+    "bronze_oracle_sales_line_items": {
+        "layer": "bronze", "mode": "append", "source_pattern": "csv_extract",
+        "comment": "Sales lines extracted from the point-of-sale database, with failed rules",
+    },
+    "bronze_new_unit_sales_line_items": {
+        "layer": "bronze", "mode": "append", "source_pattern": "json_files",
+        "comment": "Sales lines of newly onboarded units under the sales contract",
+    },
+    "bronze_sales_line_items_unified": {
+        "layer": "bronze", "mode": "append", "comment": "Sales lines of both routes, united by name",
+    },
+    "bronze_energy_meter_readings": {
+        "layer": "bronze", "mode": "append", "source_pattern": "csv_extract", "comment": "Energy readings by reading date",
+    },
+    "bronze_master_files": {
+        "layer": "bronze", "mode": "append", "source_pattern": "master_parquet",
+        "comment": "Every load of the business-owned master files, one folder per entity",
+    },
+    "silver_sales_line_items_deduped": {
+        "layer": "silver", "mode": "upsert", "merge_pattern": "scd1", "comment": "Current version of each sales line",
+    },
+    "silver_sales_line_items_business": {
+        "layer": "silver", "mode": "upsert", "merge_pattern": "scd1", "comment": "Current sales lines after the business rules",
+    },
+    "silver_sales_line_items_changes": {
+        "layer": "silver", "mode": "append", "comment": "Change feed: the lines of each batch in their current version",
+    },
+    "silver_dim_unit": {"layer": "silver", "mode": "overwrite", "comment": "Trading units under their business names"},
+    "silver_dim_product": {"layer": "silver", "mode": "overwrite", "comment": "Products in their corrected category"},
+    "silver_daily_budget_forecast": {"layer": "silver", "mode": "overwrite", "comment": "Budget and forecast by date and unit"},
+    "silver_energy_15_minute_cost": {
+        "layer": "silver", "mode": "recompute_touched_dates", "comment": "Energy use and cost by unit and quarter hour",
+    },
+    "gold_unit_quarter_hour_sales": {"layer": "gold", "mode": "overwrite", "comment": "Break-even of units by quarter hour"},
+    "gold_discount_strategy": {"layer": "gold", "mode": "overwrite", "comment": "Discounts by unit, type and category"},
+    "analytics_sales_transactional": {
+        "layer": "analytics", "mode": "upsert", "merge_pattern": "scd1",
+        "comment": "Sales lines with unit, product, budget and forecast, one row per line",
+    },
 }

@@ -8,11 +8,16 @@ micro-batch.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quarterdeck.operators.rules import standardise_sales_columns, with_ingestion_metadata
 from quarterdeck.schemas import ENERGY_RAW, MASTER_SCHEMAS, SALES_JSON, SALES_RAW
 from quarterdeck.sources.adapter import ROUTE_DB, ROUTE_JSON
 
+# Times in JSON lines, with microseconds.
+JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 
 def _reader(spark: SparkSession, streaming: bool, max_files: int | None):
     r = spark.readStream if streaming else spark.read
@@ -42,8 +47,6 @@ def read_energy_csv(spark: SparkSession, path: str, streaming: bool = False, max
 def read_master_parquet(
     spark: SparkSession, base: str, entity: str, streaming: bool = False, max_files: int | None = None
 ) -> DataFrame:
-    from pyspark.sql import functions as F
-
     path = f"{base.rstrip('/')}/*/{entity}/{entity}_*"
     df = _reader(spark, streaming, max_files).schema(MASTER_SCHEMAS[entity]).parquet(path)
     return with_ingestion_metadata(df).withColumns(
@@ -60,12 +63,21 @@ def unified_sales(db_rows: DataFrame, json_rows: DataFrame) -> DataFrame:
     return db_rows.unionByName(standardise_sales_columns(json_rows), allowMissingColumns=True)
 
 
+CORRUPT = "_corrupt_record"
+
+
 def write_json_lines(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+    """One JSON object per row and line; null fields are left out, times keep their microseconds."""
+    df.write.mode("overwrite").options(**JSON_TIMES).json(path)
+
+
+def read_json_lines(spark: SparkSession, path: str, schema: StructType, streaming: bool = False, max_files: int | None = None) -> DataFrame:
+    """JSON lines under a typed schema; a line that does not parse stands in ``_corrupt_record``."""
+    typed = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    return _reader(spark, streaming, max_files).schema(typed).options(columnNameOfCorruptRecord=CORRUPT, mode="PERMISSIVE", **JSON_TIMES).json(path)
 
 
-def write_overwrite_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+def split_corrupt(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(parsed rows under the schema, texts of the lines that did not parse)."""
+    corrupt = F.col(CORRUPT).isNotNull()
+    return lines.where(~corrupt).drop(CORRUPT), lines.where(corrupt).select(CORRUPT)

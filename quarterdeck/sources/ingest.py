@@ -3,9 +3,10 @@
 A control row names a source object, its load pattern (``full`` / ``incremental``), the
 watermark column and last value, and the landing folder. For every active row of a run
 group an extract job runs (up to 8 at a time, each its own Spark job from a driver thread,
-the control table itself being a handful of rows); its rows are counted with an
-``Observation`` while they are written, and one audit row is appended whatever the outcome.
-The watermark advances only after a successful write, and never on an empty extract.
+the control table itself being a handful of rows). Rows read are counted with an
+``Observation`` on the source side, rows written by reading the landed files back, and one audit
+row is appended whatever the outcome. A load whose counts differ has status ``Incomplete``.
+The watermark advances only after a complete load, and never on an empty extract.
 """
 
 from __future__ import annotations
@@ -17,14 +18,23 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from quarterdeck.functions.paths import build_target_path
 from quarterdeck.schemas import INGESTION_CONTROL, MASTER_SCHEMAS, RUN_AUDIT
+from quarterdeck.sources.control import active_control_rows
 
 WATERMARK_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DEFAULT_PARALLELISM = 8
+# CSV landing files: a header, times with their microseconds, quoted values over line ends.
+CSV_FORMAT = {
+    "header": "true",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 STATUS_OK = "Succeeded"
 STATUS_FAILED = "Failed"
+STATUS_INCOMPLETE = "Incomplete"  # landed rows differ from the rows read
 
 
 def incremental_extract(df: DataFrame, watermark_column: str | None, last_value: str | None) -> DataFrame:
@@ -57,35 +67,38 @@ def advance_watermark(extract: DataFrame, watermark_column: str, previous: str |
     )
 
 
-def active_control_rows(control: DataFrame, run_group: str | None = None) -> DataFrame:
-    active = control.filter(F.coalesce(F.col("is_active"), F.lit(False)))
-    return active if run_group is None else active.filter(F.col("run_group") == run_group)
-
-
-def key_columns(control: DataFrame) -> DataFrame:
-    """Primary-key list of each object as an array of trimmed column names."""
-    return control.withColumn(
-        "primary_key_array", F.transform(F.split("primary_key_columns", ","), lambda c: F.trim(c))
-    )
-
-
 def landing_path(base: str, folder: str, extract_date: str, run_id: str) -> str:
     return f"{base.rstrip('/')}/{folder}/extract_date={extract_date}/run_id={run_id}"
 
 
-def read_landing(spark: SparkSession, base: str, folder: str, schema, extract_date: str | None = None) -> DataFrame:
+def land_by_day(df: DataFrame, base: str, folder: str, day: Column, run_id: str) -> str:
+    """Lands one run's rows of an object in Hive-style folders by extract date; returns the object's folder."""
+    path = f"{base.rstrip('/')}/{folder}"
+    rows = df.withColumns({"extract_date": day.cast("date"), "run_id": F.lit(run_id)})
+    rows.write.mode("append").options(**CSV_FORMAT).partitionBy("extract_date", "run_id").csv(path)
+    return path
+
+
+def read_landing(
+    spark: SparkSession, base: str, folder: str, schema, extract_date: str | None = None, run_id: str | None = None
+) -> DataFrame:
     """Landing CSV of one object; Hive-style ``extract_date`` / ``run_id`` folders are
-    discovered as columns, so a date filter prunes folders before any file is opened."""
-    df = spark.read.schema(schema).option("header", True).option("basePath", f"{base.rstrip('/')}/{folder}")
-    df = df.csv(f"{base.rstrip('/')}/{folder}")
+    discovered as columns, so a filter on them prunes folders before any file is opened."""
+    typed = StructType([*schema.fields, StructField("extract_date", DateType()), StructField("run_id", StringType())])
+    df = spark.read.schema(typed).options(**CSV_FORMAT, multiLine=True).csv(f"{base.rstrip('/')}/{folder}")
     if extract_date is not None:
-        df = df.filter(F.col("extract_date") == extract_date)
-    return df
+        df = df.filter(F.col("extract_date") == F.lit(extract_date).cast("date"))
+    return df if run_id is None else df.filter(F.col("run_id") == run_id)
 
 
 SourceReader = Callable[[SparkSession, Row], DataFrame]
 
 
+def read_landed_load(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The rows of one load folder as they were landed (quoted values may hold line ends)."""
+    return spark.read.schema(schema).options(**CSV_FORMAT, multiLine=True).csv(path)
+
+
 def _extract_one(spark, row: Row, reader: SourceReader, landing_base: str, run_id: str, trigger: dt.datetime):
     obs = Observation(f"extract_{row['ingestion_id']}_{uuid.uuid4().hex[:8]}")
     previous = row["last_watermark_value"]
@@ -98,13 +111,16 @@ def _extract_one(spark, row: Row, reader: SourceReader, landing_base: str, run_i
             *([watermark_text(extract, wm_col).alias("max_wm")] if wm_col else []),
         )
         path = landing_path(landing_base, row["target_folder"], trigger.strftime("%Y-%m-%d"), run_id)
-        measured.write.mode("overwrite").option("header", True).csv(path)
+        measured.write.mode("overwrite").options(**CSV_FORMAT).csv(path)
         stats = obs.get
         rows = int(stats.get("rows", 0))
+        written = read_landed_load(spark, path, extract.schema).count()
+        if written != rows:
+            return (row["ingestion_id"], rows, written, STATUS_INCOMPLETE, previous, previous, f"{rows} rows read, {written} rows landed")
         new_wm = previous
         if wm_col and rows > 0 and stats.get("max_wm") is not None:
             new_wm = stats["max_wm"]
-        return (row["ingestion_id"], rows, rows, STATUS_OK, previous, new_wm, None)
+        return (row["ingestion_id"], rows, written, STATUS_OK, previous, new_wm, None)
     except Exception as exc:  # the audit row records the failure; other objects go on
         return (row["ingestion_id"], None, None, STATUS_FAILED, previous, previous, str(exc))
 

@@ -5,16 +5,17 @@ Each table hop is one query with its own checkpoint, run with ``trigger(availabl
 topological order:
 
     landing JSON ─► landing_new_unit_sales_json ─► bronze_new_unit_sales_line_items ─┐
-    landing CSV  ─► bronze_oracle_sales_line_items ──────────────────────────────────┴► bronze_sales_line_items_unified
+    landing CSV  ─► bronze_oracle_sales_line_items ──────────────────────────────────┴► [union by name] bronze_sales_line_items_unified
     bronze unified ─► [foreachBatch] silver_sales_line_items_deduped (SCD1 upsert)
                                      └► silver_sales_line_items_business (touched partitions)
-                                     └► analytics_sales_transactional (touched partitions)
+                                     └► silver_sales_line_items_changes (changed lines, append-only)
+    silver changes ─► [stream-static joins] ─► [foreachBatch] analytics_sales_transactional (SCD1 upsert)
     landing energy CSV ─► bronze_energy_meter_readings ─► [foreachBatch] silver_energy_15_minute_cost
     master parquet ─► bronze_master_files/{entity} (one stream per entity) ─► dims (batch overwrite)
     silver ─► gold tables (batch overwrite)
 
-Parquet has no change feed, so everything downstream of a keyed table is recomputed for
-the partitions the micro-batch touched, inside the same ``foreachBatch``.
+Parquet has no change feed, so the keyed Silver table writes its own: the current version of every
+line that a micro-batch brought, one folder per batch. Streams read that feed, not the table.
 """
 
 from __future__ import annotations
@@ -24,17 +25,21 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from quarterdeck.operators import dims, products, quality
 from quarterdeck.operators.dedupe import latest_master_snapshot
 from quarterdeck.operators.rules import apply_sales_business_rules, standardise_sales_columns
-from quarterdeck.schemas import MASTER_KEYS, MASTER_SCHEMAS
-from quarterdeck.sources import files
-from quarterdeck.streaming.upsert import Scd1Upsert, any_match, path_exists, read_current, read_partitions
+from quarterdeck.schemas import MASTER_KEYS, MASTER_SCHEMAS, SALES_JSON, SALES_RAW
+from quarterdeck.sources import files, tables
+from quarterdeck.streaming.upsert import Scd1Upsert, any_match, ensure_folder, path_exists, read_current, read_partitions
 
 PARTITION = "business_date"
-UNIFIED, ROUTE_FOLDER = "bronze_sales_line_items_unified", "bronze_route"
-BUSINESS = "silver_sales_line_items_business"
+UNIFIED = "bronze_sales_line_items_unified"
+BUSINESS, CHANGES = "silver_sales_line_items_business", "silver_sales_line_items_changes"
+ANALYTICS = "analytics_sales_transactional"
+DB_ROUTE, JSON_ROUTE = "bronze_oracle_sales_line_items", "bronze_new_unit_sales_line_items"
+CHANGE_BATCH = "_change_batch"
 
 
 @dataclass(frozen=True)
@@ -68,7 +73,7 @@ class LakeLayout:
 def _append(df: DataFrame, layout: LakeLayout, name: str, partition_by: list[str] | None = None) -> StreamingQuery:
     w = (
         df.writeStream.format("parquet")
-        .outputMode("append")
+        .outputMode(tables.batch_mode(name))
         .option("checkpointLocation", layout.ckpt(name))
         .trigger(availableNow=True)
     )
@@ -95,10 +100,9 @@ def _await(q: StreamingQuery) -> int:
     return sum(int(p.numInputRows or 0) for p in seen.values())
 
 
-def _read_stream_table(spark: SparkSession, layout: LakeLayout, name: str) -> DataFrame:
+def _read_stream_table(spark: SparkSession, layout: LakeLayout, name: str, schema: StructType | None = None) -> DataFrame:
     path = layout.table(name)
-    schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema or spark.read.parquet(path).schema)
     if layout.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", layout.max_files_per_trigger)
     return reader.parquet(path)
@@ -107,6 +111,11 @@ def _read_stream_table(spark: SparkSession, layout: LakeLayout, name: str) -> Da
 # ------------------------------------------------------------------------ bronze hops
 
 
+def bronze_schema(delivered: StructType) -> StructType:
+    """A route's Bronze columns: those delivered and the ingestion metadata."""
+    return StructType([*delivered.fields, StructField("_ingested_at", TimestampType()), StructField("_source_file", StringType()), StructField("_source_ingestion_route", StringType())])
+
+
 def run_bronze(spark: SparkSession, layout: LakeLayout) -> bool:
     """Lands everything new; tells whether new master files came."""
     new_masters = False
@@ -124,16 +133,14 @@ def run_bronze(spark: SparkSession, layout: LakeLayout) -> bool:
         flagged = quality.with_dq_flags(raw_csv, quality.BRONZE_SALES_RULES)
         flagged = quality.observe_expectations(flagged, quality.BRONZE_SALES_RULES, "dq_bronze_oracle_sales_line_items")
         _await(_append(flagged, layout, "bronze_oracle_sales_line_items"))
-    routes = [
-        n
-        for n in ("bronze_oracle_sales_line_items", "bronze_new_unit_sales_line_items")
-        if path_exists(spark, layout.table(n))
-    ]
-    # One stream and one folder per route: a route that starts later joins without touching the
-    # checkpoints of the others.
-    for name in routes:
-        rows = _read_stream_table(spark, layout, name).drop(quality.FAILED_COL)
-        _await(_append(rows, layout, f"{UNIFIED}/{ROUTE_FOLDER}={name}"))
+    if path_exists(spark, layout.table(DB_ROUTE)) or path_exists(spark, layout.table(JSON_ROUTE)):
+        # One stream over both routes. A route that delivers nothing yet is an empty folder, so the
+        # checkpoint knows both from the first run.
+        streams = []
+        for name, schema in ((DB_ROUTE, SALES_RAW), (JSON_ROUTE, SALES_JSON)):
+            ensure_folder(spark, layout.table(name))
+            streams.append(_read_stream_table(spark, layout, name, bronze_schema(schema)))
+        _await(_append(files.unified_sales(*streams), layout, UNIFIED))
     if path_exists(spark, layout.master):
         for entity in MASTER_KEYS:
             if any_match(spark, f"{layout.master.rstrip('/')}/*/{entity}/{entity}_*"):  # else not delivered yet
@@ -154,8 +161,8 @@ def run_bronze(spark: SparkSession, layout: LakeLayout) -> bool:
 
 
 class SilverSalesUpsert(Scd1Upsert):
-    """SCD1 upsert of deduplicated lines, then recompute of Silver business rows and the
-    analytics table for the same touched dates (dimension lookups as of this batch)."""
+    """SCD1 upsert of deduplicated lines, then the Silver business rows of the same touched dates
+    and the change feed: the current version of every line that the batch brought."""
 
     def __init__(self, layout: LakeLayout, tiebreak=None) -> None:
         col, expr = layout.partitioning()
@@ -175,35 +182,56 @@ class SilverSalesUpsert(Scd1Upsert):
             return touched
         deduped = read_partitions(spark, self.target, pc, touched)
         business = deduped.transform(apply_sales_business_rules)
-        _overwrite_partitions(business, self.layout.table("silver_sales_line_items_business"), pc)
-        write_analytics(self.layout, read_partitions(spark, self.layout.table(BUSINESS), pc, touched))
+        _overwrite_partitions(business, self.layout.table(BUSINESS), pc)
+        keys = batch.select(*self.keys).distinct()
+        changed = read_partitions(spark, self.layout.table(BUSINESS), pc, touched).join(keys, self.keys, "left_semi")
+        # one folder per batch id, overwritten on replay: a replayed batch is not fed twice
+        derived = [] if self.partition_expr is None else [pc]
+        changed.drop(*derived).write.mode("overwrite").parquet(f"{self.layout.table(CHANGES)}/{CHANGE_BATCH}={batch_id}")
         return touched
 
 
-def write_analytics(layout: LakeLayout, business: DataFrame) -> None:
-    """The analytics rows of the given Silver lines, partition by partition; a dimension that was
-    not delivered yet leaves its columns null until it comes."""
-    spark = business.sparkSession
-    col, expr = layout.partitioning()
+def current_dimensions(spark: SparkSession, layout: LakeLayout) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Unit, product and plan dimensions; one that was not delivered yet is empty, so its columns
+    stay null until it comes."""
 
     def dim(name: str, schema: str) -> DataFrame:
         path = layout.table(name)
         return spark.read.parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
-    rows = products.transactional_from_silver(
-        business,
+    return (
         dim("silver_dim_unit", "country_code string, location_id string, unit_id string, unit_name string"),
         dim("silver_dim_product", "product_id string, product_name string, product_category string"),
         dim("silver_daily_budget_forecast", "business_date date, unit_id string, daily_budget_net_sales double, forecast_net_sales double"),
-        with_versions=True,
     )
-    _overwrite_partitions(rows if expr is None else rows.withColumn(col, expr), layout.table("analytics_sales_transactional"), col)
+
+
+def run_analytics(spark: SparkSession, layout: LakeLayout) -> None:
+    """The line-level analytics table: changed Silver lines, joined to the current dimensions in the
+    stream, upserted by key. Of equal versions the later change wins."""
+    if not path_exists(spark, layout.table(CHANGES)):
+        return
+    changes = _read_stream_table(spark, layout, CHANGES)
+    joined = products.transactional_from_silver(changes, *current_dimensions(spark, layout), with_versions=True, keep=(CHANGE_BATCH,))
+    col, expr = layout.partitioning()
+    upsert = Scd1Upsert(layout.table(ANALYTICS), tiebreak=[CHANGE_BATCH], partition_col=col, partition_expr=expr)
+    q = (
+        joined.writeStream.foreachBatch(upsert)
+        .option("checkpointLocation", layout.ckpt(ANALYTICS))
+        .trigger(availableNow=True)
+        .start()
+    )
+    _await(q)
 
 
 def refresh_analytics(spark: SparkSession, layout: LakeLayout) -> None:
     """Recomputes the analytics table of all Silver lines, after new or changed dimensions."""
-    if path_exists(spark, layout.table(BUSINESS)):
-        write_analytics(layout, read_current(spark, layout.table(BUSINESS)))
+    if not path_exists(spark, layout.table(BUSINESS)):
+        return
+    col, expr = layout.partitioning()
+    lines = read_current(spark, layout.table(BUSINESS)).withColumn(CHANGE_BATCH, F.lit(None).cast("int"))
+    rows = products.transactional_from_silver(lines, *current_dimensions(spark, layout), with_versions=True, keep=(CHANGE_BATCH,))
+    _overwrite_partitions(rows if expr is None else rows.withColumn(col, expr), layout.table(ANALYTICS), col)
 
 
 def _overwrite_partitions(df: DataFrame, path: str, partition_col: str = PARTITION) -> None:
@@ -223,7 +251,7 @@ def run_silver_sales(spark: SparkSession, layout: LakeLayout, tiebreak=None) ->
         return
     src = _read_stream_table(spark, layout, UNIFIED)
     q = (
-        src.drop(ROUTE_FOLDER).writeStream.foreachBatch(SilverSalesUpsert(layout, tiebreak))
+        src.writeStream.foreachBatch(SilverSalesUpsert(layout, tiebreak))
         .option("checkpointLocation", layout.ckpt("silver_sales_line_items_deduped"))
         .trigger(availableNow=True)
         .start()
@@ -285,36 +313,36 @@ def run_dims(spark: SparkSession, layout: LakeLayout) -> None:
     unit, override = get("unit"), get("unitmappingoverride")
     if unit is not None:
         override = override if override is not None else spark.createDataFrame([], "unit_id string, corrected_unit_name string")
-        files.write_overwrite_table(dims.dim_unit(unit, override), layout.table("silver_dim_unit"))
+        tables.write_table(dims.dim_unit(unit, override), layout.lake, "silver_dim_unit")
     product = get("product")
     if product is not None:
         corr = get("producthierarchycorrections")
         excl = get("productexclusions")
         corr = corr if corr is not None else spark.createDataFrame([], "product_id string, corrected_category string")
         excl = excl if excl is not None else spark.createDataFrame([], "product_id string, is_active boolean")
-        files.write_overwrite_table(dims.dim_product(product, corr, excl), layout.table("silver_dim_product"))
+        tables.write_table(dims.dim_product(product, corr, excl), layout.lake, "silver_dim_product")
     budget, forecast = get("dailybudget"), get("forecast")
     if budget is not None or forecast is not None:
         if budget is None:
             budget = spark.createDataFrame([], MASTER_SCHEMAS["dailybudget"])
         if forecast is None:
             forecast = spark.createDataFrame([], MASTER_SCHEMAS["forecast"])
-        files.write_overwrite_table(dims.daily_budget_forecast(budget, forecast), layout.table("silver_daily_budget_forecast"))
+        tables.write_table(dims.daily_budget_forecast(budget, forecast), layout.lake, "silver_daily_budget_forecast")
 
 
 def run_gold(spark: SparkSession, layout: LakeLayout) -> None:
     silver_path = layout.table("silver_sales_line_items_business")
     if not path_exists(spark, silver_path):
         return
-    silver = spark.read.parquet(silver_path)
-    files.write_overwrite_table(products.discount_strategy(silver), layout.table("gold_discount_strategy"))
+    silver = read_current(spark, silver_path)
+    tables.write_table(products.discount_strategy(silver), layout.lake, "gold_discount_strategy")
     energy_path = layout.table("silver_energy_15_minute_cost")
     if path_exists(spark, energy_path):
         energy = spark.read.parquet(energy_path)
         gold = products.unit_15_min_profitability(silver, energy)
         col, expr = layout.partitioning()
         gold = gold if expr is None else gold.withColumn(col, expr)
-        files.write_overwrite_table(gold.hint("rebalance", col), layout.table("gold_unit_quarter_hour_sales"), [col])
+        tables.write_table(gold.hint("rebalance", col), layout.lake, "gold_unit_quarter_hour_sales", [col])
 
 
 def run_pipeline(spark: SparkSession, layout: LakeLayout, tiebreak=None) -> None:
@@ -328,5 +356,6 @@ def run_pipeline(spark: SparkSession, layout: LakeLayout, tiebreak=None) -> None
     if new_masters:  # lines of earlier runs get the new dimensions
         refresh_analytics(spark, layout)
     run_silver_sales(spark, layout, tiebreak)
+    run_analytics(spark, layout)
     run_silver_energy(spark, layout)
     run_gold(spark, layout)

@@ -14,12 +14,48 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarterdeck.operators import products
+from quarterdeck.operators.dedupe import dedupe_reposted_sales_lines
+from quarterdeck.operators.rules import apply_sales_business_rules
 from quarterdeck.session import scratch_path
 from quarterdeck.streaming.upsert import Scd1Upsert, read_current
 
 REPLAY_BATCHES = 3
 
 
+def replay_lines_to_analytics(
+    spark: SparkSession,
+    lines: DataFrame,
+    dimensions: tuple[DataFrame, DataFrame, DataFrame],
+    tiebreak: Sequence[str] | None = None,
+    batches: int = REPLAY_BATCHES,
+) -> DataFrame:
+    """Line-level analytics (25 columns) from a stream of sales lines.
+
+    The lines are landed and read as a stream of several micro-batches; the business rules and the
+    left joins with the three dimensions are part of the streaming query, which appends every
+    version of a line with its dimension columns. The current version of each line is the answer.
+    """
+    root = scratch_path(spark, "analytics_replay")
+    landing, log = f"{root}/landing", f"{root}/log"
+    lines.write.parquet(landing)
+    per_trigger = max(1, math.ceil(_count_files(spark, landing) / batches))
+    stream = spark.readStream.schema(spark.read.parquet(landing).schema).option("maxFilesPerTrigger", per_trigger).parquet(landing)
+    extra = [c for c in tiebreak or () if c not in products.TRANSACTIONAL_COLUMNS]
+    joined = products.transactional_from_silver(stream.transform(apply_sales_business_rules), *dimensions, with_versions=True, keep=extra)
+    query = (
+        joined.writeStream.outputMode("append").format("parquet")
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True)
+        .start(log)
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"analytics stream failed: {query.exception()}")
+    versions = spark.read.schema(joined.schema).parquet(log)
+    return dedupe_reposted_sales_lines(versions, tiebreak=tiebreak).drop(*extra)
+
+
 def _count_files(spark: SparkSession, path: str) -> int:
     return len(spark.read.parquet(path).inputFiles())
 

@@ -61,6 +61,12 @@ def any_match(spark: SparkSession, pattern: str) -> bool:
     return bool(fs.globStatus(p))
 
 
+def ensure_folder(spark: SparkSession, path: str) -> None:
+    """An empty folder that a stream may watch before anything is delivered."""
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 from quarterdeck.operators import recon
 from quarterdeck.schemas import INGESTION_CONTROL
 from quarterdeck.sources.adapter import read_table
+from quarterdeck.sources.control import active_control_rows, key_columns
 from quarterdeck.sources.ingest import (
-    active_control_rows,
     append_run_audit,
-    key_columns,
     read_landing,
     run_ingestion,
     source_counts_from_audit,
@@ -82,9 +81,13 @@ def test_incremental_run_audit_watermark_and_recon(spark, tmp_dir):
     src = source_counts_from_audit(all_audit, control).filter("target_entity = 'sales_line_items'")
     r1 = {r.pipeline_run_id: r for r in recon.source_bronze_counts(src, bronze, ["target_entity", "pipeline_run_id"]).collect()}
     assert r1["run1"].row_difference == 0
-    # R5: the broken object never succeeded; the others are fresh
-    late = recon.load_delays(all_audit, F.lit(NOW + dt.timedelta(hours=5)).cast("timestamp"), max_hours=6).collect()
-    assert {r.ingestion_id for r in late} == {1, 2} and not any(r.is_delayed for r in late)
+    # R5: the broken object never succeeded, so it is late; the others are fresh; the inactive one does not count
+    now = F.lit(NOW + dt.timedelta(hours=5)).cast("timestamp")
+    late = {r.ingestion_id: r for r in recon.load_delays(control, all_audit, now, max_hours=6).collect()}
+    assert set(late) == {1, 2, 4} and [late[k].is_delayed for k in (1, 2, 4)] == [False, False, True]
+    assert (late[4].last_status, late[4].failed_runs, late[4].hours_since_success) == ("Failed", 2, None)
+    never = recon.load_delays(control, all_audit.where("ingestion_id = 1"), now, max_hours=0.5)
+    assert {(r.ingestion_id, r.last_status, r.is_delayed) for r in never.collect()} == {(1, "Succeeded", True), (2, "Never run", True), (4, "Never run", True)}
 
 
 def test_master_ingestion_lands_stamped_loads_and_snapshot_picks_newest(spark, tmp_dir):
@@ -116,3 +119,49 @@ def test_master_ingestion_lands_stamped_loads_and_snapshot_picks_newest(spark, t
     assert n > 0 and loads.count() == 2 * n
     snap = latest_master_snapshot(loads, ["product_id"])
     assert snap.count() == n and {r._file_stamp for r in snap.collect()} == {"20260102020000"}
+
+
+def test_rows_lost_on_the_way_show_in_audit_and_reconciliation(spark, tmp_dir, monkeypatch):
+    import glob
+    import os
+
+    from quarterdeck.sources import ingest
+
+    whole = ingest.read_landed_load
+
+    def lossy(session, path, schema):  # a part file is gone before the load is counted
+        os.remove(sorted(glob.glob(f"{path}/part-*"))[0])
+        return whole(session, path, schema)
+
+    monkeypatch.setattr(ingest, "read_landed_load", lossy)
+    control = _control(spark).where("ingestion_id = 1")
+    reader = lambda s, row: _reader(s, row).repartition(4)
+    audit, after = run_ingestion(spark, control, reader, f"{tmp_dir}/landing", run_id="r", trigger_time=NOW)
+    row = audit.first()
+    assert row.status == "Incomplete" and 0 < row.rows_written < row.rows_read and "landed" in row.error_message
+    assert after.first().last_watermark_value == "1998-01-01 00:00:00"  # the next run takes the rows again
+    landed = read_landing(spark, f"{tmp_dir}/landing", "sales_line_items", read_table(spark, SMOKE_DIR, "lineitem").schema)
+    bronze = landed.withColumn("target_entity", F.lit("sales_line_items"))
+    r1 = recon.source_bronze_counts(source_counts_from_audit(audit, control), bronze, ["target_entity"]).first()
+    assert r1.row_difference == row.rows_read - row.rows_written > 0
+
+
+def test_landed_text_survives_quotes_line_ends_and_microseconds(spark, tmp_dir):
+    odd = spark.createDataFrame([(1, 'a "b", c\nd', dt.datetime(2026, 1, 1, 1, 2, 3, 456789)), (2, None, None)], "id long, t string, at timestamp_ntz")
+    control = _control(spark).where("ingestion_id = 2")
+    audit, _ = run_ingestion(spark, control, lambda s, r: odd, f"{tmp_dir}/l", run_id="r", trigger_time=NOW)
+    assert (audit.first().rows_read, audit.first().rows_written) == (2, 2)
+    back = read_landing(spark, f"{tmp_dir}/l", "products", odd.schema, extract_date="2026-01-01", run_id="r")
+    assert sorted(back.drop("extract_date", "run_id").collect()) == sorted(odd.collect())
+
+
+def test_landing_by_day_prunes_folders(spark, tmp_dir):
+    events = read_table(spark, SMOKE_DIR, "events")
+    from quarterdeck.sources.ingest import land_by_day
+
+    land_by_day(events, tmp_dir, "events", F.col("ts"), "run1")
+    one = read_landing(spark, tmp_dir, "events", events.schema, extract_date="2024-01-15")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(extract_date" in plan and "extract_date" in plan.split("PartitionFilters")[1][:120]
+    want = events.where("cast(ts as date) = date '2024-01-15'")
+    assert one.count() == want.count() > 0 and one.select(*events.columns).exceptAll(want).count() == 0

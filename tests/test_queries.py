@@ -14,7 +14,7 @@ from __spark_entry__ import SMOKE_DIR
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-SLOW = {"scd1_stream"}  # covered by test_streaming
+SLOW = {"scd1_stream", "analytics_stream", "energy_stream"}  # covered by test_streaming
 
 
 @pytest.fixture(scope="module")
