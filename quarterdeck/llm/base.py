@@ -19,13 +19,23 @@ from quarterdeck.streaming.upsert import delete_path
 SEPARATORS = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 BLOCK_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20
+_BATCH_BOUND, _SPARK_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"  # with Spark's default
 
 
 # The folder of each staged table that is still in use.
 _FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_BYTES``, so that a batch of long texts takes little of a
+    worker's memory; a bound that the session has set itself stays."""
+    if spark.conf.get(_BATCH_BOUND) == _SPARK_BATCH_BYTES:
+        spark.conf.set(_BATCH_BOUND, str(BATCH_BYTES))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -35,6 +45,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage, so that what follows survives lost executors without repeating the work
     before it, and every later reader sees the same rows.
     """
+    bounded_batches(df.sparkSession)
     path = scratch_path(df.sparkSession, "llm", name)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,14 +11,14 @@ A document's set holds its distinct 3-word shingles (64-bit hashes). The join ru
    No frequent shingle makes a long list: a token stands for all shingles of its position. Tokens travel once, packed and sorted by block of documents; a
    token that several sets of a block hold goes on as one entry, so a hot list reaches its task as
    a few entries for each block, and the rest of its sets only pass by.
-2. *One verified answer per set.* Every set is checked exactly against the least set, the leader,
-   of one of its lists, and then against its other leaders as far as these are not connected to it
-   by then. Sets are reduced to distinct ones before; copies never meet.
+2. *One verified answer per set.* Every set meets the least set, the leader, of each of its lists.
+   Pairs whose sizes or bit signatures rule a link out are skipped without their texts. The others
+   are checked exactly: each set against one leader first, then against those that are not
+   connected to it by then. Sets are reduced to distinct ones before; copies never meet.
 3. *Answers derived from a similar set.* A list whose sets are all connected needs no further
-   check. In the others each set is held as its difference from one set of the list (shingles
-   added, shingles missing), and the overlap of two sets follows from that set's size and these
-   two short differences. Sets are ordered by size so that a block is skipped as soon as its
-   size or its difference rules a link out, and sets already connected are skipped.
+   check. In the others, sets are ordered by size, and pairs are skipped by size, component and
+   signature as before. Sets with a pair left are held as their difference from one set of the
+   list, and the overlap of two sets follows from these two differences.
 4. Links feed connected components; copies take their set's component.
 
 Large lists are cut into blocks of a bounded number of sets and shingles, and each pair of blocks
@@ -43,11 +43,12 @@ from quarterdeck.llm.repeats import bitmap, may_hold
 SHINGLE = 3
 THRESHOLD_PERCENT = 90
 BLOCK_SHINGLES, BLOCK_SETS = 1 << 18, 1 << 11
-BUFFER_TOKENS = 1 << 20  # of a block of documents, packed at once
-BUCKET_TOKENS = 1 << 21  # that a task holds at once
+_SIGNATURE = 1 << 12
+BUFFER_TOKENS = 1 << 18  # of a block of documents, packed at once
+BUCKET_TOKENS = 1 << 20  # that a task holds at once
 _REST = 5  # bytes of a token beside its bucket: equal ones are checked anyway
 
-_SET_SCHEMA = "doc_id long, row_key long, n_shingles long, set_key long, n_tokens long"
+_SET_SCHEMA = "doc_id long, row_key long, n_shingles long, set_key long, n_tokens long, signature binary"
 _TOKEN_SCHEMA = "bucket int, passing int, keys binary, owner binary, rest binary"
 
 
@@ -129,8 +130,15 @@ class _Bounds:
         return self.bounds
 
 
+def _signature(shingles: np.ndarray) -> np.ndarray:
+    """4,096 bits; two signatures differ in no more bits than their sets do in shingles."""
+    bits = np.zeros(_SIGNATURE, np.uint8)
+    bits[(shingles >> np.uint64(17)).astype(np.int64) % _SIGNATURE] = 1
+    return np.packbits(bits).view(np.uint64)
+
+
 def _sets(width: int, percent: int):
-    """(doc_id, row_key, text) → the size and key of each document's set and the number of its tokens."""
+    """(doc_id, row_key, text) → the size, key and signature of each document's set and the number of its tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = _Bounds(percent)
@@ -140,9 +148,11 @@ def _sets(width: int, percent: int):
                 sizes = [s.size for s in sets]
                 tokens = [sum(parts for _, _, parts in set_levels(n, percent, bounds.to(n))) for n in sizes]
                 keys = np.array([_set_key(s) for s in sets], np.uint64).view(np.int64)
+                signatures = pa.array([_signature(s).tobytes() for s in sets], pa.binary())
+                part = batch.slice(row, stop - row)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, stop - row), batch.column(1).slice(row, stop - row), pa.array(sizes, pa.int64()), pa.array(keys), pa.array(tokens, pa.int64())],
-                    names=["doc_id", "row_key", "n_shingles", "set_key", "n_tokens"],
+                    [part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(keys), pa.array(tokens, pa.int64()), signatures],
+                    names=["doc_id", "row_key", "n_shingles", "set_key", "n_tokens", "signature"],
                 )
 
     return run
@@ -253,15 +263,37 @@ def linked(common: np.ndarray, one: np.ndarray, other: np.ndarray, percent: int)
     return 100 * common >= percent * (one + other - common)
 
 
+def may_link(bits: np.ndarray, one: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of these sizes whose signatures differ in ``bits`` may link."""
+    both = one + other
+    return bits <= both - 2 * -(-percent * both // (100 + percent))
+
+
+def _likely(percent: int):
+    """(member, leader, sizes, signatures) → the pairs that may link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, other = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, _SIGNATURE // 64) for i in (4, 5))
+            bits = np.bitwise_count(one ^ other).sum(axis=1, dtype=np.int64)
+            chosen = pa.array(may_link(bits, batch.column(2).to_numpy(), batch.column(3).to_numpy(), percent))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(chosen), batch.column(1).filter(chosen)], names=["member", "leader"])
+
+    return run
+
+
+def _each_set(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
+    for _, _, data, offsets in text_blocks(texts):
+        yield from shingle_sets(data, offsets, width)
+
+
 def _check(width: int, percent: int):
-    """(member, leader, text, leader_text) → which pairs link."""
+    """(member, leader, text, leader_text) → the pairs that link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep: list[bool] = []
-            blocks = (text_blocks(batch.column(i), 1) for i in (2, 3))  # one text at a time
-            for (_, _, *one), (_, _, *other) in zip(*blocks, strict=True):
-                x, y = (next(shingle_sets(*side, width)) for side in (one, other))
+            keep = []
+            for x, y in zip(_each_set(batch.column(2), width), _each_set(batch.column(3), width), strict=True):
                 common = np.intersect1d(x, y, assume_unique=True).size
                 keep.append(bool(linked(common, x.size, y.size, percent)))
             chosen = pa.array(keep, pa.bool_())
@@ -270,49 +302,70 @@ def _check(width: int, percent: int):
     return run
 
 
+class _Scan:
+    """The sets of a list by size, and for each set those before it that may still link with it."""
+
+    def __init__(self, sizes: np.ndarray, signatures: np.ndarray, component: np.ndarray, block: np.ndarray, pair: tuple[int, int], percent: int) -> None:
+        self.sizes, self.signatures, self.block, self.pair, self.percent = sizes, signatures, block, pair, percent
+        self.root = component.copy()
+
+    def __iter__(self) -> Iterator[tuple[int, np.ndarray]]:
+        order = np.argsort(self.sizes, kind="stable")
+        lowest = 0
+        for at, i in enumerate(order):
+            while self.sizes[order[lowest]] * 100 < self.percent * self.sizes[i]:
+                lowest += 1  # too small for this and for every later set
+            before = order[lowest:at]
+            mate = self.pair[1] if self.block[i] == self.pair[0] else self.pair[0]
+            before = before[(self.block[before] == mate) & (self.root[before] != self.root[i])]
+            bits = np.bitwise_count(self.signatures[before] ^ self.signatures[i]).sum(axis=1, dtype=np.int64)
+            yield i, before[may_link(bits, self.sizes[before], self.sizes[i], self.percent)]
+
+
 def within_list(pivot: np.ndarray, sets: list[np.ndarray], component: np.ndarray, block: np.ndarray, pair: tuple[int, int], percent: int) -> list[tuple[int, int]]:
     """Links of the sets of a list that connect what is not connected yet.
 
-    Sets are scanned by size. |x ^ y| = |dx| + |dy| - 2 |dx & dy| for the differences dx, dy of two
-    sets to a third, the pivot; sets whose size is below the bound end the scan of a block.
+    x ^ y is (x ^ pivot) ^ (y ^ pivot), so a pair's answer comes from its differences to the pivot.
     """
     sizes = np.array([s.size for s in sets])
-    order = np.argsort(sizes, kind="stable")
-    place = [np.isin(pivot, s, assume_unique=True, invert=True) for s in sets]
-    missing = [np.flatnonzero(p) for p in place]
-    added = [np.setdiff1d(s, pivot, assume_unique=True) for s in sets]
-    apart = np.array([m.size + a.size for m, a in zip(missing, added, strict=True)])
-    root = component.copy()
-    # Inverted lists over the differences: token -> sets that lack it (or have it besides).
-    lists: dict[tuple[bool, int], list[int]] = {}
+    apart = [np.setxor1d(s, pivot, assume_unique=True) for s in sets]
+    scan = _Scan(sizes, np.stack([_signature(s) for s in sets]), component, block, pair, percent)
     links: list[tuple[int, int]] = []
-    lowest = 0
-    for at, i in enumerate(order):
-        while sizes[order[lowest]] * 100 < percent * sizes[i]:
-            lowest += 1  # too small for this and for every later set
-        shared = np.zeros(sizes.size, np.int64)
-        for token in [(False, int(t)) for t in missing[i]] + [(True, int(t)) for t in added[i]]:
-            held = lists.setdefault(token, [])
-            shared[held] += 1
-            held.append(i)
-        before = order[lowest:at]
-        mates = np.where(block[i] == pair[0], pair[1], pair[0])
-        before = before[(block[before] == mates) & (root[before] != root[i])]
-        differ = apart[i] + apart[before] - 2 * shared[before]
-        common = (sizes[i] + sizes[before] - differ) // 2
-        for j in before[linked(common, sizes[i], sizes[before], percent)]:
-            if root[i] != root[j]:
+    for i, before in scan:
+        for j in before:
+            if scan.root[i] == scan.root[j]:
+                continue
+            differ = np.setxor1d(apart[i], apart[j], assume_unique=True).size
+            if linked((sizes[i] + sizes[j] - differ) // 2, sizes[i], sizes[j], percent):
                 links.append((int(i), int(j)))
-                root[root == root[j]] = root[i]
+                scan.root[scan.root == scan.root[j]] = scan.root[i]
     return links
 
 
+def _screen(percent: int):
+    """The sets of each (leader, one, other) block pair that may link with another one of it."""
+
+    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["leader", "one", "other"], ignore_index=True)
+        group = rows[["leader", "one", "other"]].to_numpy()
+        begin = np.flatnonzero(np.concatenate(([True], (group[1:] != group[:-1]).any(axis=1))))
+        signatures = np.frombuffer(b"".join(rows["signature"]), np.uint64).reshape(len(rows), -1)
+        n, component, block = (rows[c].to_numpy() for c in ("n", "component", "block"))
+        left = np.zeros(len(rows), bool)
+        for a, b in zip(begin, np.append(begin[1:], len(rows)), strict=True):
+            scan = _Scan(n[a:b], signatures[a:b], component[a:b], block[a:b], (int(group[a, 1]), int(group[a, 2])), percent)
+            for i, before in scan:
+                left[a + before] = True
+                left[a + i] |= before.size > 0
+        return rows.loc[left, ["leader", "member", "component", "block", "one", "other"]]
+
+    return run
+
+
 def _within(width: int, percent: int):
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
         keys = rows["member"].to_numpy()
-        sets = []
-        for _, _, data, offsets in text_blocks(pa.array(rows["text"], pa.string())):
-            sets += shingle_sets(data, offsets, width)
+        sets = list(_each_set(pa.array(rows["text"], pa.string()), width))
         pivot = min(sets, key=len)
         found = within_list(pivot, sets, rows["component"].to_numpy(), rows["block"].to_numpy(), (int(key[1]), int(key[2])), percent)
         return pd.DataFrame({"a": [keys[i] for i, _ in found], "b": [keys[j] for _, j in found]}, dtype="int64")
@@ -346,16 +399,26 @@ def shingle_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", wid
     tokens = tokens.repartition(tasks, "bucket").sortWithinPartitions("bucket", "passing")
     checks = staged(tokens.mapInArrow(_leaders, "member long, leader long").distinct(), "jaccard-checks")
 
-    # The texts of the sets that take part in a check.
+    # The sizes and signatures of the sets that take part in a check.
     needed = checks.select("member").union(checks.select("leader")).distinct().withColumnRenamed("member", "set_key")
-    needed = staged(needed.join(owner, "set_key").select("set_key", "row_key"), "jaccard-needed")
-    near = narrow.where(may_hold(bitmap(needed, "row_key"), "row_key")).select("row_key", "text")
-    texts = staged(near.join(needed, "row_key").dropDuplicates(["row_key"]).select("set_key", "text"), "jaccard-texts")
-    as_member = texts.select(F.col("set_key").alias("member"), "text")
-    as_leader = texts.select(F.col("set_key").alias("leader"), F.col("text").alias("leader_text"))
+    needed = needed.join(owner, "set_key").select("set_key", "row_key", "n")
+    signed = sets.select("set_key", "row_key", "signature").join(needed, ["set_key", "row_key"]).dropDuplicates(["set_key", "row_key"])
+    signed = staged(signed.select(F.col("set_key").alias("member"), "n", "signature"), "jaccard-signed")
+    of_leader = signed.toDF("leader", "leader_n", "leader_signature")
+    met = checks.join(signed, "member").join(of_leader, "leader").select("member", "leader", "n", "leader_n", "signature", "leader_signature")
+    likely = staged(met.mapInArrow(_likely(percent), "member long, leader long"), "jaccard-likely")
+
+    def fetched(keys: DataFrame, name: str) -> DataFrame:
+        """(member, text) of the sets of ``keys``: one row of each; no other text is shuffled."""
+        wanted = staged(keys.join(owner, keys["member"] == owner["set_key"]).select("member", "row_key"), f"{name}-wanted")
+        near = narrow.where(may_hold(bitmap(wanted, "row_key"), "row_key")).select("row_key", "text")
+        return staged(near.join(wanted, "row_key").dropDuplicates(["row_key"]).select("member", "text"), name)
+
+    texts = fetched(likely.select("member").union(likely.select("leader")).distinct(), "jaccard-texts")
+    leader_texts = texts.toDF("leader", "leader_text")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        both = pairs.join(as_member, "member").join(as_leader, "leader").select("member", "leader", "text", "leader_text")
+        both = pairs.join(texts, "member").join(leader_texts, "leader").select("member", "leader", "text", "leader_text")
         return staged(both.mapInArrow(_check(width, percent), "a long, b long"), name)
 
     def named(pairs: DataFrame, reached: DataFrame) -> DataFrame:
@@ -370,17 +433,24 @@ def shingle_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", wid
         known = reached.select(F.col("node").alias("a"), F.col("component").alias("b"))
         return staged(connected_components(known.unionByName(links)), "jaccard-reached")
 
-    first = checks.groupBy("member").agg(F.min("leader").alias("leader"))
+    first = likely.groupBy("member").agg(F.min("leader").alias("leader"))
     links = verified(first, "jaccard-first")
     reached = staged(connected_components(links), "jaccard-reached")
-    rest = named(checks.join(first, ["member", "leader"], "left_anti"), reached).where("component <> other").select("member", "leader")
+    rest = named(likely.join(first, ["member", "leader"], "left_anti"), reached).where("component <> other").select("member", "leader")
     links = verified(rest, "jaccard-rest")
     reached = further(reached, links)
 
-    more = _blocks(_open(named(checks, reached), owner)).join(as_member, "member")
+    # Lists that are not connected: small ones share groups, each block pair of a large one is its own.
+    lists = staged(_blocks(_open(named(checks, reached), owner)), "jaccard-lists")
+    shared = max(tasks, -(-lists.count() // BLOCK_SETS))
+    part = F.when(F.col("many") > 1, F.xxhash64("leader", "one", "other")).otherwise(F.pmod(F.xxhash64("leader"), F.lit(shared)))
+    rows = lists.join(signed, "member").withColumn("part", part).repartition(tasks, "part")
+    tiles = "leader long, member long, component long, block int, one int, other int"
+    rows = staged(rows.groupBy("part").applyInPandas(_screen(percent), tiles), "jaccard-open")
+    more = rows.join(fetched(rows.select("member").distinct(), "jaccard-more-texts"), "member")
     more = staged(more.groupBy("leader", "one", "other").applyInPandas(_within(width, percent), "a long, b long"), "jaccard-more")
     reached = further(reached, more)
-    release(texts, checks, needed)
+    release(texts, checks, signed, likely, lists, rows)
 
     least = owner.join(reached, owner["set_key"] == reached["node"], "left")
     least = least.select("set_key", "owner", F.coalesce("component", "set_key").alias("component"))
@@ -426,5 +496,5 @@ def _blocks(lists: DataFrame) -> DataFrame:
     many: Column = F.greatest(F.lit(1), F.ceil(F.col("shingles") / BLOCK_SHINGLES), F.ceil(F.col("size") / BLOCK_SETS)).cast("int")
     dealt = lists.withColumn("many", many).withColumn("block", F.pmod(F.xxhash64("member"), F.col("many")).cast("int"))
     return dealt.withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("many") - 1))).select(
-        "leader", "member", "component", "block", F.least("block", "mate").alias("one"), F.greatest("block", "mate").alias("other")
+        "leader", "member", "component", "many", "block", F.least("block", "mate").alias("one"), F.greatest("block", "mate").alias("other")
     )
