@@ -9,7 +9,6 @@ sample that the weights have not seen makes the scores probabilities.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,19 +18,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.base import bucket
+from quarterdeck.llm.base import bucket, staged
 
 DIMENSIONS = 1 << 15
 ORDERS = 3
+BROADCAST_ROWS = 100_000  # of the sample's keys sent along at most; beyond, a join by shuffle
 SAMPLE_PER_LANGUAGE = 1000  # the bound of the rows that the weights are learned from
 EPOCHS = 3
 ALPHA, BETA, LAMBDA_1, LAMBDA_2 = 0.5, 1.0, 0.02, 0.01
 HOLD_OUT, HELD = 3, 1
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _PIECE = 1 << 20  # characters counted at once
 
 
+def has_letter(text: str) -> bool:
+    """Whether a text has a letter; digits of any script, fractions and circled numbers are none."""
+    return any(c.isalpha() for c in text)
+
+
 def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The features of a whole text and how often each occurs."""
     total = np.zeros(DIMENSIONS, np.int64)
@@ -66,7 +70,7 @@ class LanguageModel:
     temperature: float
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.languages or not text or not _LETTER.search(text):
+        if not self.languages or not text or not has_letter(text):
             return UNDETERMINED, 0.0
         at, count = gram_counts(text)
         chance = softmax((weighted(at, count, self.idf) @ self.weights[at] + self.weights[-1]) / self.temperature)
@@ -140,8 +144,8 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageMod
     """Learns from the texts and non-null languages outside the hold-out.
 
     Document frequencies count all of them. The weights see at most ``per_language`` texts of
-    each language, the first by a hash of the id; every fifth of these is kept for the
-    temperature.
+    each language, the first by a hash of id and text (equal rows count once); every fifth of these
+    is kept for the temperature.
     """
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL").where(bucket(F.col("doc_id"), HOLD_OUT) != HELD)
     known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
@@ -154,10 +158,19 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageMod
             df[feature] = n
     idf = np.log((1 + texts) / (1 + df)) + 1
 
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = known.select("doc_id", "lang").withColumn("turn", F.row_number().over(W.partitionBy("lang").orderBy(*order)))
-    chosen = chosen.where(F.col("turn") <= per_language).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), "turn").dropDuplicates(["_id", "_lang"])
-    sample = known.join(chosen, known["doc_id"].eqNullSafe(chosen["_id"]) & (F.col("lang") == F.col("_lang"))).select("lang", "text", "turn").dropDuplicates(["lang", "turn"])
+    # The first texts of each language by a hash: a threshold on it leaves a few times as many as
+    # wanted, however many there are, and only these are put in order. Equal rows count once.
+    keyed = known.withColumn("key", F.xxhash64("doc_id", "text"))
+    distinct = keyed.select("lang", "key").distinct()
+    sizes = distinct.groupBy(F.col("lang").alias("_lang")).agg((F.lit(4.0 * per_language) / F.count("*")).alias("share"))
+    low = F.shiftrightunsigned("key", 11) / F.lit(float(1 << 53))
+    few = distinct.join(sizes, F.col("lang") == F.col("_lang")).where(low < F.col("share")).select("lang", "key")
+    place = W.partitionBy("lang").orderBy(F.shiftrightunsigned("key", 11), "key")
+    chosen = few.withColumn("turn", F.row_number().over(place)).where(F.col("turn") <= per_language)
+    chosen = staged(chosen.select(F.col("key").alias("_key"), F.col("lang").alias("_lang"), "turn"), "language-sample")
+    chosen = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
+    sample = keyed.join(chosen, (F.col("key") == F.col("_key")) & (F.col("lang") == F.col("_lang")))
+    sample = sample.select("lang", "text", "turn").dropDuplicates(["lang", "turn"])
     rows = sample.mapInArrow(_features, "lang string, at array<int>, count array<int>, turn int").toPandas()
     rows = rows.sort_values(["turn", "lang"], kind="stable")
     languages = sorted(set(rows["lang"]))
@@ -174,7 +187,9 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``doc_id, lang_pred, score`` of every row, from the whole text alone.
 
     A text that is null or has no letter is ``und`` with score 0, as is every text if no
-    language was learned. Repeated rows stay; other columns are ignored.
+    language was learned. Texts are read whole, however long, in pieces; of languages with equal
+    scores the first by name wins. Repeated rows stay; an empty table gives no rows; other columns
+    are ignored.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)  # its size follows the number of languages
 

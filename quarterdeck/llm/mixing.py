@@ -6,7 +6,7 @@ documents at a time along the null space of the constraints (number of documents
 words), until each is 0 or 1, so both totals of every source are kept while documents are
 drawn. It runs over blocks of a source: a block leaves at most two undecided documents, these
 meet in the blocks of the next level, and so on until a source has one block; only there the
-landing phase drops the word constraint and decides the rest by a coin.
+landing phase drops the word constraint and decides the rest by the nearest outcome.
 
 A level shrinks the undecided rows by the factor ``BLOCK / 2``, so the number of levels is the
 logarithm of the corpus. Blocks are dealt by a hash of the row: a source that holds a third of
@@ -27,6 +27,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5  # the mix as a multiple of all sizes
 MOST = 2  # no document more often than this
 BLOCK = 2048
+MOST_LEVELS = 64  # far above the logarithm of any corpus; more is an error
 LANDING = 12  # documents of a source's last block that are kept for the landing
 _EDGE = 1e-9
 
@@ -142,7 +143,7 @@ def _units(docs: DataFrame, weights: tuple[int, ...], share: float, most: int) -
         F.greatest(F.lit(1), F.ceil(F.col("source_units") / BLOCK)).cast("long").alias("blocks"),
     )
     decided = []
-    for level in range(64):
+    for level in range(MOST_LEVELS):
         dealt = waiting.withColumn("block", F.pmod(F.xxhash64("key", F.lit(level)), F.col("blocks")))
         flown = staged(dealt.groupBy("source", "block").applyInPandas(_fly, dealt.schema).drop("block"), f"mix-{level}")
         decided.append(flown.where("p <= 0 OR p >= 1"))
@@ -150,6 +151,8 @@ def _units(docs: DataFrame, weights: tuple[int, ...], share: float, most: int) -
         if waiting.isEmpty():
             break
         waiting = waiting.withColumn("blocks", F.ceil(F.col("blocks") * 2 / BLOCK).cast("long"))
+    else:
+        raise RuntimeError(f"documents are still undecided after {MOST_LEVELS} levels")
     out = decided[0]
     for more in decided[1:]:
         out = out.unionByName(more)

@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarterdeck.llm.base import bucket, span_hashes, text_blocks, words
+from quarterdeck.llm.base import bucket, span_hashes, staged, text_blocks, words
+from quarterdeck.llm.repeats import bitmap, may_hold
 
 CUTOFF = 0.3
 POOLING = 0.1  # weight of the pooled covariance in each class covariance
@@ -171,9 +172,11 @@ def fit(docs: DataFrame, labels: DataFrame, pooling: float = POOLING, ridge: flo
     Several labels of a document count by majority; a draw is left out, as are null ids.
     """
     mark = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.avg("quality").alias("_q"))
-    mark = mark.where("_q <> 0.5").select("_id", (F.col("_q") > 0.5).cast("int").alias("label"))
+    mark = staged(mark.where("_q <> 0.5").select(F.col("_id").cast("long").alias("_id"), (F.col("_q") > 0.5).cast("int").alias("label")), "quality-labels")
+    # A bitmap of the labelled ids keeps most texts without a label out of the statistics.
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    train = narrow.where(bucket(F.col("doc_id"), HOLD_OUT) != 0).mapInArrow(_statistics, "doc_id long, x array<double>")
+    labelled = F.col("doc_id").isNotNull() & (bucket(F.col("doc_id"), HOLD_OUT) != 0)
+    train = narrow.where(labelled).where(may_hold(bitmap(mark, "_id"), "doc_id")).mapInArrow(_statistics, "doc_id long, x array<double>")
     rows = train.join(mark, F.col("doc_id") == F.col("_id")).select("label", "x")
     sums = rows.mapInPandas(_moments, "k int, at int, v double").groupBy("k", "at").agg(F.sum("v").alias("v"))
     held = np.zeros((2, 1 + STATISTICS + STATISTICS**2))
