@@ -51,7 +51,8 @@ def missing_countries(countries: DataFrame, sales: DataFrame, first_run, last_ru
     """R4: (run, country) pairs of a daily run calendar for which a country sent no sales line.
 
     The calendar from ``first_run`` to ``last_run`` is expanded for each country of the master,
-    so a run in which every country was silent is reported too.
+    so a run in which every country was silent is reported too. The days may be dates or columns,
+    such as scalar subqueries.
     """
     days = F.sequence(F.lit(first_run).cast("date"), F.lit(last_run).cast("date"))
     expected = countries.select("country_code").distinct().select(F.explode(days).alias(run_col), "country_code")

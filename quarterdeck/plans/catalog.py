@@ -318,8 +318,9 @@ def q_recon_gold_silver(spark, sf_dir):
 def q_missing_countries(spark, sf_dir):
     """Countries of the master with no sales line in a run; runs are the days of the orders."""
     day = F.col("o_orderdate").cast("date")
-    span = A.read_table(spark, sf_dir, "orders").agg(F.min(day), F.max(day)).first()
-    return recon.missing_countries(A.country_master(spark, sf_dir), silver_sales(spark, sf_dir), *span)
+    orders = A.read_table(spark, sf_dir, "orders")
+    first, last = orders.agg(F.min(day)).scalar(), orders.agg(F.max(day)).scalar()
+    return recon.missing_countries(A.country_master(spark, sf_dir), silver_sales(spark, sf_dir), first, last)
 
 
 def q_duplicate_silver_keys(spark, sf_dir):

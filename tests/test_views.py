@@ -41,3 +41,15 @@ def test_views_match_builders(spark):
     _same(spark.table("vw_combo_analytics"), combo, combo.columns)
     tx = C.q_transactional(spark, SMOKE_DIR)
     _same(spark.table("vw_sales_transactional_from_silver"), tx, tx.columns)
+
+
+def test_view_thresholds_are_those_of_the_builder():
+    from quarterdeck.plans.views import ANALYTICS_VIEWS
+
+    text = ANALYTICS_VIEWS["vw_discount_strategy"]
+    for part in (
+        f"discount_rate_percent > {products.REVIEW_DISCOUNT_RATE_ABOVE} AND net_sales_per_transaction < {products.REVIEW_NET_PER_TXN_BELOW}",
+        f"transaction_count > {products.PROMOTE_TXNS_ABOVE} AND net_sales_per_transaction >= {products.PROMOTE_NET_PER_TXN_AT_LEAST}",
+        f"'{products.ACTION_REVIEW}'", f"'{products.ACTION_PROMOTE}'", f"ELSE '{products.ACTION_MONITOR}'",
+    ):
+        assert part in text
