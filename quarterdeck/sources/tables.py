@@ -58,6 +58,8 @@ def declared_tables(spark: SparkSession, database: str) -> DataFrame:
     """Layer, mode, patterns and comment of every declared table, read back from the catalog."""
     rows = []
     for table in spark.catalog.listTables(database):
+        if table.isTemporary:  # the session's views are listed with every database
+            continue
         found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES `{database}`.`{table.name}`").collect()}
         get = lambda key: found.get(f"quarterdeck.{key}")  # noqa: E731, B023
         rows.append((table.name, get("layer"), get("mode"), get("merge_pattern"), get("source_pattern"), table.description))
