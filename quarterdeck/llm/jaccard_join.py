@@ -498,3 +498,39 @@ def _blocks(lists: DataFrame) -> DataFrame:
     return dealt.withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("many") - 1))).select(
         "leader", "member", "component", "many", "block", F.least("block", "mate").alias("one"), F.greatest("block", "mate").alias("other")
     )
+
+
+# The same groups for small tables: distinct sets, their common shingles, and all that links reach.
+ORACLE = r"""
+WITH RECURSIVE spoken AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE
+      WHEN len(words) = 0 THEN CAST([] AS VARCHAR[])
+      WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+      ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' ')))
+    END AS shingles
+  FROM spoken
+),
+keyed AS (SELECT doc_id, len(shingles) AS n, shingles, md5(array_to_string(list_sort(shingles), chr(10))) AS key FROM sets),
+one AS (SELECT key, any_value(n) AS n, any_value(shingles) AS shingles, min(doc_id) AS least FROM keyed WHERE n > 0 GROUP BY key),
+held AS (SELECT key, n, unnest(shingles) AS shingle FROM one),
+common AS (
+  SELECT a.key AS a, b.key AS b, a.n AS an, b.n AS bn, count(*) AS c
+  FROM held a JOIN held b ON a.shingle = b.shingle AND a.key <> b.key
+  WHERE 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+  GROUP BY a.key, b.key, a.n, b.n
+),
+links AS (SELECT a, b FROM common WHERE 100 * c >= 90 * (an + bn - c)),
+reach AS (
+  SELECT key AS a, key AS b FROM one
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+),
+component AS (SELECT reach.a AS key, min(one.least) AS component_id FROM reach JOIN one ON one.key = reach.b GROUP BY reach.a)
+SELECT keyed.doc_id, CAST(keyed.n AS BIGINT) AS n_shingles, CASE WHEN keyed.n > 0 THEN component.component_id ELSE keyed.doc_id END AS component_id
+FROM keyed LEFT JOIN component ON component.key = keyed.key
+"""

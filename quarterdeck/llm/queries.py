@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterdeck.llm import source_audit, url_filter
+from quarterdeck.llm import jaccard_join, source_audit, url_filter
 from quarterdeck.llm.base import read
 from quarterdeck.llm.decontamination import find_leaks
 from quarterdeck.llm.jaccard_join import shingle_groups
@@ -104,4 +104,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_deobfuscated_pii": op13_deobfuscated_pii,
 }
 
-ORACLE: dict[str, str] = {"op7_temporal_url_filter": url_filter.ORACLE, "op12_perfect_hash_audit": source_audit.ORACLE}
+ORACLE: dict[str, str] = {
+    "op7_temporal_url_filter": url_filter.ORACLE,
+    "op10_ngram_jaccard_join": jaccard_join.ORACLE,
+    "op12_perfect_hash_audit": source_audit.ORACLE,
+}
