@@ -17,7 +17,7 @@ def spark():
 
     ckpt = tempfile.mkdtemp(prefix="qd-test-ckpt-")
     session = build_session(
-        "local[*]", app_name="quarterdeck-tests", shuffle_partitions=8,
+        "local[*]", app_name="quarterdeck-tests", shuffle_partitions=4,
         extra_conf={"spark.checkpoint.dir": ckpt},
     )
     yield session

@@ -43,7 +43,7 @@ def summarise(text: str) -> str:
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session("local[8]")
+    spark = build_session(os.environ.get("PLANS_MASTER", "local[8]"))
     out = [
         "# Physical plans",
         "",
