@@ -19,6 +19,7 @@ from quarterdeck.streaming.upsert import delete_path
 SEPARATORS = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 BLOCK_BYTES = 1 << 20
+BROADCAST_KEYS = 500_000  # rows of a few numbers, about 20 MB as a hash table
 BATCH_BYTES = 4 << 20
 _BATCH_BOUND, _SPARK_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"  # with Spark's default
 
@@ -61,6 +62,12 @@ def release(*tables: DataFrame) -> None:
             delete_path(table.sparkSession, path)
 
 
+def small_side(keys: DataFrame) -> DataFrame:
+    """``keys`` (narrow and staged), sent along with a join if it has at most ``BROADCAST_KEYS`` rows;
+    a larger one is joined by shuffle."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
 def packed(df: DataFrame, **keys: Column) -> DataFrame:
     """``df`` as one struct column ``row`` beside ``keys``, so that no column name can clash."""
     whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.base import packed, staged
+from quarterdeck.llm.base import packed, small_side, staged
 
 WINDOW = 4  # index windows of items of 12 words or more
 SHORT_WINDOW = 3  # of shorter ones; under three words they are not looked for
@@ -117,10 +117,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     if wanted.count() <= BROADCAST_WINDOWS:
         wanted = F.broadcast(wanted)
     hits = seen.join(wanted, "hash").groupBy("doc_key", "item_id").agg(F.collect_set(F.col("at") - F.col("item_at")).alias("shifts"))
+    hits = staged(hits, "leak-hits")
     near = hits.join(items.select("item_id", "item_words"), "item_id")
+    # Only the texts of documents with a hit move, and none before it is known to have one.
+    found = small_side(staged(hits.select("doc_key").distinct(), "leak-keys"))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key().alias("doc_key"), F.col("text").cast("string").alias("text"))
-    both = rows.join(near, "doc_key").withColumn("words", template_words(F.col("text"))).drop("text")
+    both = rows.join(found, "doc_key", "left_semi").join(near, "doc_key").withColumn("words", template_words(F.col("text"))).drop("text")
     # Written out: an expression pulled into the lambdas below would run once for each word.
     both = staged(both.withColumn("_row", F.monotonically_increasing_id()), "leak-candidates")
     return _best(_judged(_aligned(both)))
@@ -217,5 +220,5 @@ def _best(judged: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows and columns of ``docs`` without the documents that leak an item."""
-    leaks = find_leaks(docs, benchmark).select("doc_key").distinct()
-    return packed(docs, doc_key=_key()).join(leaks, "doc_key", "left_anti").select("row.*")
+    leaks = staged(find_leaks(docs, benchmark).select("doc_key").distinct(), "leak-found")
+    return packed(docs, doc_key=_key()).join(small_side(leaks), "doc_key", "left_anti").select("row.*")

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.base import lower, mix, packed, release, span_hashes, staged, text_blocks, words
+from quarterdeck.llm.base import lower, mix, packed, release, small_side, span_hashes, staged, text_blocks, words
 from quarterdeck.llm.components import connected_components
 from quarterdeck.llm.repeats import bitmap, may_hold
 
@@ -412,7 +412,7 @@ def shingle_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", wid
         """(member, text) of the sets of ``keys``: one row of each; no other text is shuffled."""
         wanted = staged(keys.join(owner, keys["member"] == owner["set_key"]).select("member", "row_key"), f"{name}-wanted")
         near = narrow.where(may_hold(bitmap(wanted, "row_key"), "row_key")).select("row_key", "text")
-        return staged(near.join(wanted, "row_key").dropDuplicates(["row_key"]).select("member", "text"), name)
+        return staged(near.join(small_side(wanted), "row_key").dropDuplicates(["row_key"]).select("member", "text"), name)
 
     texts = fetched(likely.select("member").union(likely.select("leader")).distinct(), "jaccard-texts")
     leader_texts = texts.toDF("leader", "leader_text")
@@ -474,7 +474,8 @@ def deduplicated(docs: DataFrame, width: int = SHINGLE, percent: int = THRESHOLD
     named = groups.join(narrow.select("key", "id").distinct(), "key")
     first = F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first")
     kept = named.groupBy("component_id").agg(first, F.max("n_shingles").alias("n"))
-    one = packed(docs, key=key).join(kept.select(F.col("first.key").alias("key"), "n"), "key")
+    kept = staged(kept.select(F.col("first.key").alias("key"), "n"), "jaccard-kept")
+    one = packed(docs, key=key).join(small_side(kept), "key")
     one = one.withColumn("nth", F.when(F.col("n") > 0, F.lit(0)).otherwise(F.monotonically_increasing_id()))
     return one.dropDuplicates(["key", "nth"]).select("row.*")
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.base import packed, ranged, staged, word_count
+from quarterdeck.llm.base import packed, ranged, small_side, staged, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5  # the mix as a multiple of all sizes
@@ -174,6 +174,6 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """The mix itself: the rows and columns of ``docs``, each row as often as the mix takes it."""
-    taken = _units(docs, weights, share, most).where("copies > 0").select("key", "copies")
-    joined = packed(docs, key=_identity()[2]).join(taken, "key")
+    taken = staged(_units(docs, weights, share, most).where("copies > 0").select("key", "copies"), "mix-taken")
+    joined = packed(docs, key=_identity()[2]).join(small_side(taken), "key")
     return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
