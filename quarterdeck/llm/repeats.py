@@ -14,8 +14,8 @@ with one anchor are one short segment around it. So
 
 An anchor with more segments than a block holds (a passage between ever different neighbours) is
 dealt over several blocks, each sorted as any other. What its blocks still have to tell each other
-is which windows they hold: one row for each different window of a block, so what is common to all
-segments travels once per block. Texts go by a 64-bit hash of their content, so copies are read
+is which windows they hold: the different windows of a block, packed by hash, so what is common to
+all segments travels once per block. Texts go by a 64-bit hash of their content, so copies are read
 once. Fixed-size bitmaps keep texts and segments that cannot take part out of the shuffles; they
 only ever let too much through.
 """
@@ -174,7 +174,7 @@ def repeated_windows(raws: list[bytes], length: int) -> list[np.ndarray]:
     return [found[b: b + s - length + 1] for b, s in zip(begin, size, strict=True)]
 
 
-_SORTED = "anchor long, segment long, flags binary, held array<struct<window:long,at:int,alone:boolean>>"
+_SORTED = "anchor long, segment long, flags binary, bucket int, window binary, owner binary, at binary, alone binary"
 
 
 def _sort_block(length: int):
@@ -187,29 +187,36 @@ def _sort_block(length: int):
             if after - begin > BLOCK_SEGMENTS:
                 found += repeated_windows(list(rows["raw"][begin:end]), length)
                 begin = end
-        held = held_windows(rows["anchor"].to_numpy(), list(rows["raw"]), length) if key[0] else [None] * len(rows)
-        return pd.DataFrame({"anchor": rows["anchor"], "segment": rows["segment"], "flags": [np.packbits(f).tobytes() for f in found], "held": held})
+        out = [(a, s, np.packbits(f).tobytes(), -1, None, None, None, None) for a, s, f in zip(rows["anchor"], rows["segment"], found, strict=True)]
+        if key[0]:
+            for anchor, part in rows.groupby("anchor"):
+                held = held_windows(part["segment"].to_numpy(np.int64), list(part["raw"]), length)
+                bucket = (held[0].view(np.uint64) % np.uint64(part["many"].iloc[0])).astype(np.int64)
+                for number in np.unique(bucket):
+                    out.append((anchor, 0, None, int(number), *(x[bucket == number].tobytes() for x in held)))
+        return pd.DataFrame(out, columns=["anchor", "segment", "flags", "bucket", "window", "owner", "at", "alone"])
 
     return run
 
 
-def held_windows(anchors: np.ndarray, raws: list[bytes], length: int) -> list[list[dict]]:
-    """For each segment the windows that it stands for: hash, place, and whether no other one has it.
-
-    Each different window of an anchor is listed once, by the first segment that holds it.
-    """
+def held_windows(segments: np.ndarray, raws: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The different windows of a block: hash, segment and place of the first, and whether it is alone."""
     size = np.array([len(r) for r in raws])
     begin, many = np.cumsum(size) - size, size - length + 1
     row = np.repeat(np.arange(size.size), many)
     at = np.arange(row.size) - np.repeat(np.cumsum(many) - many, many)
     window = span_hashes(np.frombuffer(b"".join(raws), np.uint8), begin[row] + at, begin[row] + at + length)
-    order = np.lexsort((np.arange(row.size), window, anchors[row]))
-    new = np.concatenate(([True], (window[order][1:] != window[order][:-1]) | (anchors[row][order][1:] != anchors[row][order][:-1])))
-    count = np.diff(np.append(np.flatnonzero(new), row.size))
-    out: list[list[dict]] = [[] for _ in raws]
-    for i, n in zip(order[new], count, strict=True):
-        out[row[i]].append({"window": int(window[i].view(np.int64)), "at": int(at[i]), "alone": bool(n == 1)})
-    return out
+    window, first, count = np.unique(window, return_index=True, return_counts=True)
+    return window.view(np.int64), segments[row[first]], at[first].astype(np.int32), count == 1
+
+
+def _across(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """What the blocks of an anchor hold of one bucket → the windows alone in their block that another block has."""
+    window, owner, at, alone = (np.frombuffer(b"".join(rows[c]), t) for c, t in (("window", np.int64), ("owner", np.int64), ("at", np.int32), ("alone", bool)))
+    _, place, count = np.unique(window, return_inverse=True, return_counts=True)
+    met = alone & (count[place] > 1)
+    places = pd.DataFrame({"segment": owner[met], "at": at[met]}).groupby("segment")["at"]
+    return pd.DataFrame([(key[0], segment, _flags(x)) for segment, x in places], columns=["anchor", "segment", "flags"])
 
 
 def _flags(places: pd.Series) -> bytes:
@@ -286,14 +293,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         "block": F.when(F.col("many").isNotNull(), F.pmod(F.xxhash64("segment"), "many")).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(blocks))),
     })
     in_block = staged(dealt.groupBy("own", "block").applyInPandas(_sort_block(length), _SORTED), "repeat-sorted")
+    # A row is a segment with its flags, or (bucket >= 0) windows of a block of a dealt anchor.
     # A window that is alone in its block of a dealt anchor is repeated if another block holds it.
-    windows = in_block.where("held IS NOT NULL").select("anchor", "segment", F.explode("held").alias("one")).select("anchor", "segment", "one.*")
-    single = F.collect_list(F.when(F.col("alone"), F.struct("segment", "at"))).alias("single")  # one per block at most
-    met = windows.groupBy("anchor", "window").agg(F.count("*").alias("n"), single).where("n > 1")
-    pack = F.pandas_udf(_flags, "binary")
-    across = met.select("anchor", F.explode("single").alias("one")).groupBy("anchor", "one.segment").agg(pack("one.at").alias("flags"))
+    windows = in_block.where("bucket >= 0").select("anchor", "bucket", "window", "owner", "at", "alone")
+    across = windows.groupBy("anchor", "bucket").applyInPandas(_across, "anchor long, segment long, flags binary")
     once = several.where("n = 1").select("anchor", "segment")
-    flags = staged(in_block.select("anchor", "segment", "flags").unionByName(across), "repeat-flags").join(once, ["anchor", "segment"])
+    flags = staged(in_block.where("bucket < 0").select("anchor", "segment", "flags").unionByName(across), "repeat-flags").join(once, ["anchor", "segment"])
 
     # A segment that occurs twice goes whole; of the others the windows that were found again.
     single = found.where("mixed").join(once, ["anchor", "segment"], "left_semi").join(flags, ["anchor", "segment"])
