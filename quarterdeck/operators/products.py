@@ -43,6 +43,9 @@ ACTION_MONITOR = "monitor"
 # depends on summation order, its first 6 decimals do not.
 AVG_DECIMALS = 6
 
+# Names that a sales line carries and the line-level table takes from the dimensions instead.
+NAMES_ON_LINES = ["unit_name", "product_name", "product_category", "location_name"]
+
 BUCKET_KEYS = ["country_code", "location_id", "unit_id", "quarter_hour_start_ts"]
 DISCOUNT_KEYS = ["country_code", "location_id", "unit_id", "discount_type", "discount_name", "product_category"]
 ATV_KEYS = ["business_date", "country_code", "location_id", "unit_id"]
@@ -315,15 +318,17 @@ def transactional_from_silver(
 
     Dimension names win over the names carried on the sales line. Each side is one row per
     join key (dims are deduplicated upstream), so the left joins never multiply lines.
+    The product comes first, as lines may come partitioned by it; the unit comes last, as it may be
+    sent along.
     """
-    s = sales.drop("unit_name", "product_name", "product_category", "location_name")
+    s = sales.drop(*NAMES_ON_LINES)
     u = dim_unit.select("country_code", "location_id", "unit_id", "unit_name")
     p = dim_product.select("product_id", "product_name", "product_category")
     b = budget_forecast.select("business_date", "unit_id", "daily_budget_net_sales", "forecast_net_sales")
     joined = (
-        s.join(u, ["country_code", "location_id", "unit_id"], "left")
-        .join(p, "product_id", "left")
+        s.join(p, "product_id", "left")
         .join(b, ["business_date", "unit_id"], "left")
+        .join(u, ["country_code", "location_id", "unit_id"], "left")
     )
     cols = TRANSACTIONAL_COLUMNS[:]
     if with_versions:

@@ -67,8 +67,8 @@ def silver_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_reposted_sales_lines(bronze_sales(spark, sf_dir), tiebreak=A.ADAPTER_TIEBREAK)
 
 
-def silver_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.current_sales_lines(spark, sf_dir).transform(apply_sales_business_rules)
+def silver_sales(spark: SparkSession, sf_dir: str, by_product: bool = False) -> DataFrame:
+    return A.current_sales_lines(spark, sf_dir, by_product).transform(apply_sales_business_rules)
 
 
 def unruled_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +94,11 @@ def silver_dim_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.dim_unit(A.unit_master(spark, sf_dir), A.unit_mapping_override(spark, sf_dir))
 
 
+def lookup_dim_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unit dimension for joins with sales lines, sent along with them if it is small enough."""
+    return A.sent_along(silver_dim_unit(spark, sf_dir))
+
+
 def silver_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.dim_product(
         A.product_master(spark, sf_dir),
@@ -266,8 +271,8 @@ def q_budget_variance(spark, sf_dir):
 
 def q_transactional(spark, sf_dir):
     return products.transactional_from_silver(
-        silver_sales(spark, sf_dir),
-        silver_dim_unit(spark, sf_dir),
+        silver_sales(spark, sf_dir, by_product=True),
+        lookup_dim_unit(spark, sf_dir),
         silver_dim_product(spark, sf_dir),
         silver_budget_forecast(spark, sf_dir),
     )

@@ -10,13 +10,16 @@ trading unit in its nation/region, a part a product):
 * daily budget and forecast = per (ship date, unit) shipped totals scaled by fixed factors
 
 Join strategy: lineitem ⋈ orders is the one large-to-large join (sort-merge on the order
-key). part and supplier grow with the data, so they are left to the optimizer's size
-estimate and AQE's runtime statistics (broadcast only under the configured threshold);
-nation and region are bounded by definition (25 and 5 rows) and are broadcast explicitly.
+key). part is left to the optimizer's size estimate and AQE's runtime statistics; it is joined
+first and on the product id, so that a shuffle by that id moves narrow lines and also serves a
+later join with the product dimension. supplier goes along with the joins up to a checked number
+of rows; nation and region are bounded by definition (25 and 5 rows) and are broadcast explicitly.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +57,12 @@ OVERRIDE_PRICE_FACTOR = "0.90"
 RENAMED_SUFFIX = " (renamed)"
 FAULT_DAYS = 2000
 
+# Fixed values of the plans: lines of one task after they are dealt (below FEW_TASKS tasks Spark's
+# own sizing does), and the rows of units (a few short columns) that are sent along with a join.
+LINES_PER_TASK = 250_000
+FEW_TASKS = 8
+BROADCAST_UNITS = 500_000
+
 DRIVER_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
@@ -87,6 +96,12 @@ def product_id_expr(partkey: Column) -> Column:
     return F.concat(F.lit("P"), partkey.cast("string"))
 
 
+def sent_along(units: DataFrame) -> DataFrame:
+    """A table of one row per unit, broadcast with its joins if it has at most ``BROADCAST_UNITS``
+    rows; a larger one is joined by shuffle or as Spark's statistics say."""
+    return F.broadcast(units) if units.count() <= BROADCAST_UNITS else units
+
+
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation ⋈ region, 25 rows by definition of the schema."""
     nation = read_table(spark, sf_dir, "nation")
@@ -118,8 +133,8 @@ def sales_lines(spark: SparkSession, sf_dir: str, regions: Column | None = None)
     return mapped_lines(spark, sf_dir, order_lines(spark, sf_dir), regions)
 
 
-def current_sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The current version of each sales line.
+def current_sales_lines(spark: SparkSession, sf_dir: str, by_product: bool = False) -> DataFrame:
+    """The current version of each sales line, on request partitioned by product id.
 
     A line's business key is its order and line number, so versions are compared on these native
     keys, in the partitioning of the join, and only the survivors are mapped. Ties fall to the
@@ -127,19 +142,26 @@ def current_sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     lines = order_lines(spark, sf_dir).withColumns({"__product": F.col("l_partkey").cast("string"), "__unit": F.col("l_suppkey").cast("string")})
     newest = latest_per_key(lines, ["l_orderkey", "l_linenumber"], ["source_sequence", "source_update_ts"], tiebreak=["__product", "__unit"])
-    return mapped_lines(spark, sf_dir, newest.drop("__product", "__unit"))
+    return mapped_lines(spark, sf_dir, newest.drop("__product", "__unit"), by_product=by_product)
 
 
-def mapped_lines(spark: SparkSession, sf_dir: str, lines: DataFrame, regions: Column | None = None) -> DataFrame:
-    """Order lines as sales lines under the sales contract."""
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
-    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+def mapped_lines(spark: SparkSession, sf_dir: str, lines: DataFrame, regions: Column | None = None, by_product: bool = False) -> DataFrame:
+    """Order lines as sales lines under the sales contract.
+
+    ``by_product`` deals the lines by product id while they are still a few numbers wide, for a
+    caller that joins the mapped lines with the product dimension next.
+    """
+    part = read_table(spark, sf_dir, "part").select(
+        product_id_expr(F.col("p_partkey")).alias("product_id"), "p_name", "p_type", "p_size"
+    )
+    supplier = sent_along(read_table(spark, sf_dir, "supplier")).select("s_suppkey", "s_name", "s_nationkey")
     geo = _geo(spark, sf_dir)
     geo = geo if regions is None else geo.where(regions)
 
     joined = (
-        lines.join(part, lines.l_partkey == part.p_partkey)
-        .join(supplier, lines.l_suppkey == supplier.s_suppkey)
+        lines.withColumn("product_id", product_id_expr(F.col("l_partkey")))
+        .join(part.hint("merge") if by_product else part, "product_id")
+        .join(supplier, F.col("l_suppkey") == supplier.s_suppkey)
         .join(F.broadcast(geo), F.col("s_nationkey") == geo.n_nationkey)
     )
 
@@ -172,7 +194,7 @@ def mapped_lines(spark: SparkSession, sf_dir: str, lines: DataFrame, regions: Co
             F.lit("T"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")
         ).alias("transaction_line_id"),
         completed.cast("timestamp").alias("transaction_completed_ts"),
-        product_id_expr(F.col("l_partkey")).alias("product_id"),
+        "product_id",
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("product_category"),
         (F.col("l_linestatus") == "O").alias("is_combo"),
@@ -339,17 +361,18 @@ def country_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _daily_unit_gross_cents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shipped gross cents per (date, unit): the plan figures are scaled from it.
+def _daily_unit_gross_cents(spark: SparkSession, sf_dir: str, days_ahead: int = 0) -> DataFrame:
+    """Shipped gross cents per (date, unit), some days ahead: the plan figures are scaled from it.
 
-    Three columns of lineitem only, reduced map-side by a partial aggregate.
+    Three columns of lineitem only, reduced map-side by a partial aggregate. Lines are grouped by the
+    plan's own key, so the shuffle of the sums serves the join of the plans as well.
     """
     li = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").select("l_shipdate", "l_suppkey", "l_extendedprice")
-    # group by the numeric key; the string unit id is built once per group, not per line
-    g = li.groupBy(F.col("l_shipdate").cast("date").alias("business_date"), "l_suppkey").agg(
+    shipped = F.col("l_shipdate").cast("date")
+    day = F.date_add(shipped, days_ahead) if days_ahead else shipped
+    return li.groupBy(day.alias("business_date"), unit_id_expr(F.col("l_suppkey")).alias("unit_id")).agg(
         F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).alias("gross_c")
     )
-    return g.select("business_date", unit_id_expr(F.col("l_suppkey")).alias("unit_id"), "gross_c")
 
 
 def _scaled(cents_col: str, factor: str) -> Column:
@@ -367,9 +390,8 @@ def daily_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecast: the shipped gross of a week before by a fixed factor, so either plan has
     days that the other lacks."""
-    shipped = _daily_unit_gross_cents(spark, sf_dir)
-    ahead = F.date_add("business_date", FORECAST_DAYS_AHEAD).alias("business_date")
-    return shipped.select(ahead, "unit_id", _scaled("gross_c", FORECAST_FACTOR).alias("forecast_net_sales"))
+    shipped = _daily_unit_gross_cents(spark, sf_dir, FORECAST_DAYS_AHEAD)
+    return shipped.select("business_date", "unit_id", _scaled("gross_c", FORECAST_FACTOR).alias("forecast_net_sales"))
 
 
 def faulty_sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -177,3 +177,15 @@ def test_report_orders(spark):
     combo = spark.createDataFrame([("P1", "a", 1.0), ("P2", "b", 5.0), ("P3", "c", None)],
                                   "product_id string, product_name string, combo_units double")
     assert [r.product_id for r in products.order_combo_report(combo).collect()] == ["P2", "P1", "P3"]
+
+
+def test_plans_join_as_a_full_join_whatever_their_keys(spark):
+    from quarterdeck.operators.dims import daily_budget_forecast
+
+    day = ["business_date", "unit_id"]
+    budget = spark.createDataFrame([("1", "A", 1.0), ("1", "A", None), ("2", "A", 2.0), (None, "A", 3.0), ("3", None, 4.0)], "business_date string, unit_id string, daily_budget_net_sales double")
+    forecast = spark.createDataFrame([("1", "A", 5.0), ("1", "A", 6.0), ("4", "A", 7.0), ("4", "A", 7.0), (None, "A", 8.0), ("3", None, None)], "business_date string, unit_id string, forecast_net_sales double")
+    got = daily_budget_forecast(budget, forecast).drop("_silver_refreshed_at")
+    whole = budget.join(forecast, day, "full")
+    assert got.columns == whole.columns and got.count() == whole.count() == 11
+    assert got.exceptAll(whole).count() == 0
