@@ -516,10 +516,10 @@ def _view(name: str, needs: tuple[str, ...]):
         from quarterdeck.plans.views import register_views
 
         sources = {
-            "silver_sales_line_items_business": lambda: silver_sales(spark, sf_dir),
+            "silver_sales_line_items_business": lambda: silver_sales(spark, sf_dir, by_product="silver_dim_product" in needs),
             "gold_discount_strategy": lambda: gold_discount_strategy(spark, sf_dir),
             "gold_unit_quarter_hour_sales": lambda: gold_break_even(spark, sf_dir),
-            "silver_dim_unit": lambda: silver_dim_unit(spark, sf_dir),
+            "silver_dim_unit": lambda: lookup_dim_unit(spark, sf_dir),
             "silver_dim_product": lambda: silver_dim_product(spark, sf_dir),
             "silver_daily_budget_forecast": lambda: silver_budget_forecast(spark, sf_dir),
         }
