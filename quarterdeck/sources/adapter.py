@@ -116,9 +116,12 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Lines are dealt by their order key before anything else: the join needs that shuffle at size,
     deduplication reuses it, and the mapping then runs in as many tasks, however few files hold
-    the table.
+    the table. A large table is dealt over a number of tasks that follows its rows, so what one task
+    sorts does not grow with the table.
     """
-    li = read_table(spark, sf_dir, "lineitem").repartition("l_orderkey")
+    li = read_table(spark, sf_dir, "lineitem")
+    tasks = math.ceil(li.count() / LINES_PER_TASK)
+    li = li.repartition(tasks, "l_orderkey") if tasks > FEW_TASKS else li.repartition("l_orderkey")
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority"
     )

@@ -59,3 +59,31 @@ def test_lines_are_dealt_once_for_join_and_dedupe(spark):
     plan = QUERIES["silver_business"](spark, SMOKE_DIR)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(l_orderkey" in plan
     assert "WindowGroupLimit [l_orderkey" in plan
+
+
+@pytest.mark.parametrize("name", ["transactional", "vw_transactional"])
+def test_transactional_shuffles_lines_three_times_and_plans_once(spark, name):
+    # by order, by product (for the product and its dimension) and by date and unit; the unit
+    # dimension goes along, and the joined plans keep the partitioning of their sums
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES[name](spark, SMOKE_DIR)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    shuffles = [line for line in plan if "Exchange hashpartitioning" in line]
+    assert not [line for line in shuffles if "hashpartitioning(country_code" in line]
+    assert sum("hashpartitioning(business_date" in line for line in shuffles) == 1
+    union = next(i for i, line in enumerate(plan) if line.rstrip().endswith("Union"))
+    assert not any("hashpartitioning(business_date" in line for line in plan[union:])
+
+
+def test_large_tables_are_dealt_over_tasks_that_follow_their_rows(spark, monkeypatch):
+    from quarterdeck.sources import adapter
+
+    rows = adapter.read_table(spark, SMOKE_DIR, "lineitem").count()
+    monkeypatch.setattr(adapter, "LINES_PER_TASK", rows // 20)
+    lines = QUERIES["duplicate_silver_keys"](spark, SMOKE_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(l_orderkey" in lines and "REPARTITION_BY_NUM" in lines
+    assert sorted(QUERIES["duplicate_keys"](spark, SMOKE_DIR).collect()) == sorted(
+        adapter.sales_lines(spark, SMOKE_DIR).groupBy("business_date", "transaction_id", "transaction_line_id").count().where("count > 1").collect())
