@@ -9,6 +9,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -82,3 +84,19 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh sub-folder of the shared checkpoint area for one run of one job."""
     return "/".join([checkpoint_root(spark), "quarterdeck", *parts, uuid.uuid4().hex])
+
+
+@contextmanager
+def shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside remove their shuffle files when they end, not when the driver's garbage
+    collector finds them; the session's own setting comes back after."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

@@ -13,12 +13,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quarterdeck.operators import products
 from quarterdeck.operators.dedupe import dedupe_reposted_sales_lines
 from quarterdeck.operators.rules import apply_sales_business_rules
-from quarterdeck.session import scratch_path
-from quarterdeck.streaming.upsert import Scd1Upsert, read_current
+from quarterdeck.session import scratch_path, shuffle_files_removed
+from quarterdeck.sources.adapter import sent_along
+from quarterdeck.streaming.upsert import Scd1Upsert, delete_path, read_current
 
 REPLAY_BATCHES = 3
 
@@ -35,16 +37,35 @@ def replay_lines_to_analytics(
     The lines are landed and read as a stream of several micro-batches; the business rules and the
     left joins with the three dimensions are part of the streaming query, which appends every
     version of a line with its dimension columns. The current version of each line is the answer.
+
+    The dimensions are written once and read by every micro-batch; the unit dimension is sent along
+    if it is small enough. Landing and dimensions go when the stream has ended, and shuffle files
+    when the query that wrote them has.
     """
     root = scratch_path(spark, "analytics_replay")
     landing, log = f"{root}/landing", f"{root}/log"
-    lines.write.parquet(landing)
+    with shuffle_files_removed(spark):
+        unit, product, plan = (_written(spark, dim, f"{root}/dimensions/{i}") for i, dim in enumerate(dimensions))
+        lines.drop(*products.NAMES_ON_LINES).write.option("compression", "zstd").parquet(landing)
+        schema = _stream_lines(spark, root, (sent_along(unit), product, plan), tiebreak, batches)
+    for done in (landing, f"{root}/dimensions"):
+        delete_path(spark, done)
+    versions = spark.read.schema(schema).parquet(log)
+    return dedupe_reposted_sales_lines(versions, tiebreak=tiebreak).drop(*_extra(tiebreak))
+
+
+def _extra(tiebreak: Sequence[str] | None) -> list[str]:
+    return [c for c in tiebreak or () if c not in products.TRANSACTIONAL_COLUMNS]
+
+
+def _stream_lines(spark: SparkSession, root: str, dimensions: tuple[DataFrame, DataFrame, DataFrame], tiebreak: Sequence[str] | None, batches: int) -> StructType:
+    """The streaming query from the landing folder into the log; returns the log's schema."""
+    landing, log = f"{root}/landing", f"{root}/log"
     per_trigger = max(1, math.ceil(_count_files(spark, landing) / batches))
     stream = spark.readStream.schema(spark.read.parquet(landing).schema).option("maxFilesPerTrigger", per_trigger).parquet(landing)
-    extra = [c for c in tiebreak or () if c not in products.TRANSACTIONAL_COLUMNS]
-    joined = products.transactional_from_silver(stream.transform(apply_sales_business_rules), *dimensions, with_versions=True, keep=extra)
+    joined = products.transactional_from_silver(stream.transform(apply_sales_business_rules), *dimensions, with_versions=True, keep=_extra(tiebreak))
     query = (
-        joined.writeStream.outputMode("append").format("parquet")
+        joined.writeStream.outputMode("append").format("parquet").option("compression", "zstd")
         .option("checkpointLocation", f"{root}/checkpoint")
         .trigger(availableNow=True)
         .start(log)
@@ -52,8 +73,12 @@ def replay_lines_to_analytics(
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(f"analytics stream failed: {query.exception()}")
-    versions = spark.read.schema(joined.schema).parquet(log)
-    return dedupe_reposted_sales_lines(versions, tiebreak=tiebreak).drop(*extra)
+    return joined.schema
+
+
+def _written(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _count_files(spark: SparkSession, path: str) -> int:
