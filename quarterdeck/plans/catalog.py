@@ -500,12 +500,15 @@ def q_table_registry(spark, sf_dir):
 
 
 def q_scd1_stream(spark, sf_dir):
+    """Current lines from a stream of their versions, in the columns of the answer: landing, upserts
+    and table are written, so columns that nothing reads would travel through all of them."""
     from quarterdeck.streaming.replay import replay_sales_as_stream
 
-    return replay_sales_as_stream(spark, bronze_sales(spark, sf_dir), tiebreak=A.ADAPTER_TIEBREAK).select(
+    lines = bronze_sales(spark, sf_dir).select(
         *KEYS, "unit_id", "product_id", "gross_sales", "discount_amount", "line_status",
         "source_sequence", "source_update_ts", "extraction_ts",
     )
+    return replay_sales_as_stream(spark, lines, tiebreak=A.ADAPTER_TIEBREAK).select(*lines.columns)
 
 
 def _view(name: str, needs: tuple[str, ...]):

@@ -95,7 +95,7 @@ def replay_sales_as_stream(
     landing, target, ckpt = f"{root}/landing", f"{root}/target", f"{root}/checkpoint"
     (
         bronze.withColumn("arrival_group", F.dayofmonth("source_update_ts") % F.lit(batches))
-        .write.mode("overwrite")
+        .write.mode("overwrite").option("compression", "zstd")
         .partitionBy("arrival_group")
         .parquet(landing)
     )
@@ -115,13 +115,15 @@ def replay_sales_as_stream(
         partition_col="business_month",
         partition_expr=F.trunc(F.col("business_date"), "month"),
     )
-    query = (
-        stream.writeStream.foreachBatch(upsert)
-        .option("checkpointLocation", ckpt)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    with shuffle_files_removed(spark):
+        query = (
+            stream.writeStream.foreachBatch(upsert)
+            .option("checkpointLocation", ckpt)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(f"replay stream failed: {query.exception()}")
+    delete_path(spark, landing)
     return read_current(spark, target).drop("business_month")

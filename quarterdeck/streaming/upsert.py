@@ -9,12 +9,12 @@ partitions. For each micro-batch:
    calendar, not by the data);
 3. the stored rows of those partitions (partition pruning) are unioned with the batch and
    reduced to the newest version per key (the same total order as batch dedupe);
-4. the result is written to a stage of its own, ``_staging/{uuid}``, swapped in with dynamic
-   partition overwrite, and the stage is deleted.
+4. the result is written once, by partition, to a stage of its own, ``_staging/{uuid}``; its
+   partition folders then take the place of the table's by renaming, and the stage is deleted.
 
 No decision rests on a batch id or a checkpoint: a stage that a crash left behind holds
-versions that may be missing from the table, so the next call reads every complete one as
-further input, with the partitions it touches, and deletes it after the swap. The pick of the
+versions that may be missing from the table, so the next call reads what every complete one still
+holds as further input, with the partitions it touches, and deletes it after the swap. The pick of the
 newest version is a maximum under a total order, so replays and repairs give the same rows, and
 an older version that arrives later loses.
 """
@@ -72,6 +72,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    fs, p = _fs(spark, path)
+    if not fs.rename(p, _fs(spark, to)[1]):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
 def read_partitions(spark: SparkSession, target: str, partition_col: str, values: list) -> DataFrame | None:
     """Only the given partitions of a table, with their schemas merged.
 
@@ -128,9 +134,9 @@ class Scd1Upsert:
         return touched
 
     def _left_stages(self, spark: SparkSession) -> list[str]:
-        """Complete stages of calls that did not finish (incomplete ones are deleted)."""
+        """Complete stages of calls that did not finish (incomplete and swapped ones are deleted)."""
         found = list_folders(spark, self.staging)
-        complete = [p for p in found if path_exists(spark, f"{p}/_SUCCESS")]
+        complete = [p for p in found if path_exists(spark, f"{p}/_SUCCESS") and any_match(spark, f"{p}/[!_.]*")]
         for path in found:
             if path not in complete:
                 delete_path(spark, path)
@@ -160,21 +166,18 @@ class Scd1Upsert:
                 # by name, so a column added by a later extract is null on older stored rows
                 merged = merged.unionByName(stored, allowMissingColumns=True)
             newest = latest_per_key(merged, self.keys, self.order, self.tiebreak)
-            newest.write.mode("overwrite").parquet(stage)
+            newest.write.mode("overwrite").option("compression", "zstd").partitionBy(self.partition_col).parquet(stage)
             return touched
         finally:
             rows.unpersist()
 
     def _swap(self, spark: SparkSession, stage: str) -> None:
-        # REBALANCE lets AQE size the write tasks: small partitions are coalesced into one
-        # file, a hot date is split over several tasks instead of one.
-        staged = spark.read.parquet(stage).hint("rebalance", self.partition_col)
-        (
-            staged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.partition_col)
-            .parquet(self.target)
-        )
+        ensure_folder(spark, self.target)
+        for folder in list_folders(spark, stage):
+            name = folder.rsplit("/", 1)[1]
+            if name.startswith(f"{self.partition_col}="):
+                delete_path(spark, f"{self.target}/{name}")
+                move_path(spark, folder, f"{self.target}/{name}")
 
 
 def read_current(spark: SparkSession, target: str) -> DataFrame:

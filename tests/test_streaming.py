@@ -248,3 +248,34 @@ def test_upsert_accepts_a_new_column_in_a_later_batch(spark, tmp_dir):
     out = {(r.business_date.day, r.transaction_id): r for r in read_current(spark, target).collect()}
     assert out[(2, "T1")].discount_amount == 5.0 and out[(2, "T1")].loyalty_id == "C9"
     assert out[(1, "T2")].loyalty_id is None and out[(2, "T3")].loyalty_id is None
+
+
+def test_upsert_writes_a_batch_once_and_reads_what_a_half_swapped_stage_holds(spark, tmp_dir):
+    target = os.path.join(tmp_dir, "t")
+    up = Scd1Upsert(target)
+    up(_rows(spark, [(1, "T1", "L1", 1, 1, 1.0), (2, "T2", "L1", 1, 1, 2.0), (3, "T3", "L1", 1, 1, 3.0)]), 0)
+    stage = f"{up.staging}/left"
+    up._stage(spark, _rows(spark, [(1, "T1", "L1", 2, 2, 5.0), (2, "T2", "L1", 2, 2, 6.0)]), stage, 1)
+    staged = {os.path.basename(f) for f in glob.glob(f"{stage}/business_date=2026-01-01/*.parquet")}
+    assert staged and not glob.glob(f"{stage}/business_date=2026-01-03")
+    # the first partition was swapped in before the crash, the second one was deleted only
+    for day in ("01", "02"):
+        __import__("shutil").rmtree(f"{target}/business_date=2026-01-{day}")
+    os.rename(f"{stage}/business_date=2026-01-01", f"{target}/business_date=2026-01-01")
+    up(_rows(spark, [(3, "T4", "L1", 1, 1, 4.0)]), 2)
+    got = {r.transaction_id: r.discount_amount for r in read_current(spark, target).collect()}
+    assert got == {"T1": 5.0, "T2": 6.0, "T3": 3.0, "T4": 4.0} and not glob.glob(f"{up.staging}/*")
+    # the files of the swapped partition are the staged ones, not a second copy
+    assert {os.path.basename(f) for f in glob.glob(f"{target}/business_date=2026-01-01/*.parquet")} == staged
+
+
+def test_replays_leave_neither_landing_nor_dimensions_and_restore_the_session(spark):
+    from quarterdeck.session import checkpoint_root
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, root = spark.conf.get(name, None), checkpoint_root(spark).removeprefix("file:")
+    known = set(glob.glob(f"{root}/quarterdeck/*_replay/*"))
+    assert C.q_analytics_stream(spark, SMOKE_DIR).count() > 0 and C.q_scd1_stream(spark, SMOKE_DIR).count() > 0
+    for run in set(glob.glob(f"{root}/quarterdeck/*_replay/*")) - known:
+        assert not glob.glob(f"{run}/landing") and not glob.glob(f"{run}/dimensions")
+    assert spark.conf.get(name, None) == before
