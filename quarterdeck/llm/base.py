@@ -62,10 +62,14 @@ def release(*tables: DataFrame) -> None:
             delete_path(table.sparkSession, path)
 
 
+def is_small(keys: DataFrame) -> bool:
+    """Whether ``keys`` (narrow and staged) has at most ``BROADCAST_KEYS`` rows."""
+    return keys.count() <= BROADCAST_KEYS
+
+
 def small_side(keys: DataFrame) -> DataFrame:
-    """``keys`` (narrow and staged), sent along with a join if it has at most ``BROADCAST_KEYS`` rows;
-    a larger one is joined by shuffle."""
-    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+    """``keys``, sent along with a join if it is small; a larger one is joined by shuffle."""
+    return F.broadcast(keys) if is_small(keys) else keys
 
 
 def packed(df: DataFrame, **keys: Column) -> DataFrame:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.base import lower, mix, packed, release, small_side, span_hashes, staged, text_blocks, words
+from quarterdeck.llm.base import is_small, lower, mix, packed, release, small_side, span_hashes, staged, text_blocks, words
 from quarterdeck.llm.components import connected_components
 from quarterdeck.llm.repeats import bitmap, may_hold
 
@@ -411,8 +411,12 @@ def shingle_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", wid
     def fetched(keys: DataFrame, name: str) -> DataFrame:
         """(member, text) of the sets of ``keys``: one row of each; no other text is shuffled."""
         wanted = staged(keys.join(owner, keys["member"] == owner["set_key"]).select("member", "row_key"), f"{name}-wanted")
-        near = narrow.where(may_hold(bitmap(wanted, "row_key"), "row_key")).select("row_key", "text")
-        return staged(near.join(small_side(wanted), "row_key").dropDuplicates(["row_key"]).select("member", "text"), name)
+        near = narrow.select("row_key", "text")
+        if is_small(wanted):  # the join itself leaves out the other texts, without a Python worker
+            near = near.join(F.broadcast(wanted), "row_key")
+        else:
+            near = near.where(may_hold(bitmap(wanted, "row_key"), "row_key")).join(wanted, "row_key")
+        return staged(near.dropDuplicates(["row_key"]).select("member", "text"), name)
 
     texts = fetched(likely.select("member").union(likely.select("leader")).distinct(), "jaccard-texts")
     leader_texts = texts.toDF("leader", "leader_text")

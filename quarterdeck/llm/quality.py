@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarterdeck.llm.base import bucket, span_hashes, staged, text_blocks, words
+from quarterdeck.llm.base import bucket, is_small, span_hashes, staged, text_blocks, words
 from quarterdeck.llm.repeats import bitmap, may_hold
 
 CUTOFF = 0.3
@@ -155,14 +155,29 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, stop - row), pa.ListArray.from_arrays(ends, flat)], names=["doc_id", "x"])
 
 
+def _add(held: np.ndarray, label: np.ndarray, x: np.ndarray) -> None:
+    """Adds the count, sum and sum of products of each label's rows of ``x``."""
+    for k in (0, 1):
+        if (label == k).any():
+            own = x[label == k]
+            held[k] += np.concatenate(([len(own)], own.sum(axis=0), (own.T @ own).ravel()))
+
+
+def _text_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = np.zeros((2, 1 + STATISTICS + STATISTICS**2))
+    for batch in batches:
+        label = batch.column(0).to_numpy()
+        for row, stop, data, offsets in text_blocks(batch.column(1)):
+            _add(held, label[row:stop], statistics(data, offsets))
+    k, at = np.repeat([0, 1], held.shape[1]), np.tile(np.arange(held.shape[1]), 2)
+    yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(at, pa.int32()), pa.array(held.ravel())], names=["k", "at", "v"])
+
+
 def _moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held = np.zeros((2, 1 + STATISTICS + STATISTICS**2))
     for rows in batches:
-        label = rows["label"].to_numpy()
-        for k in (0, 1):
-            if (label == k).any():
-                x = np.stack(rows["x"][label == k].to_numpy())
-                held[k] += np.concatenate(([len(x)], x.sum(axis=0), (x.T @ x).ravel()))
+        if len(rows):
+            _add(held, rows["label"].to_numpy(), np.stack(rows["x"].to_numpy()))
     yield pd.DataFrame({"k": np.repeat([0, 1], held.shape[1]), "at": np.tile(np.arange(held.shape[1]), 2), "v": held.ravel()})
 
 
@@ -173,12 +188,17 @@ def fit(docs: DataFrame, labels: DataFrame, pooling: float = POOLING, ridge: flo
     """
     mark = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.avg("quality").alias("_q"))
     mark = staged(mark.where("_q <> 0.5").select(F.col("_id").cast("long").alias("_id"), (F.col("_q") > 0.5).cast("int").alias("label")), "quality-labels")
-    # A bitmap of the labelled ids keeps most texts without a label out of the statistics.
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     labelled = F.col("doc_id").isNotNull() & (bucket(F.col("doc_id"), HOLD_OUT) != 0)
-    train = narrow.where(labelled).where(may_hold(bitmap(mark, "_id"), "doc_id")).mapInArrow(_statistics, "doc_id long, x array<double>")
-    rows = train.join(mark, F.col("doc_id") == F.col("_id")).select("label", "x")
-    sums = rows.mapInPandas(_moments, "k int, at int, v double").groupBy("k", "at").agg(F.sum("v").alias("v"))
+    near, same, moments = narrow.where(labelled), F.col("doc_id") == F.col("_id"), "k int, at int, v double"
+    if is_small(mark):
+        # One Python step, so that a core keeps one worker: few labels go to the texts.
+        parts = near.join(F.broadcast(mark), same).select("label", "text").mapInArrow(_text_moments, moments)
+    else:
+        # A bitmap of the labelled ids keeps most texts without a label out of the statistics.
+        train = near.where(may_hold(bitmap(mark, "_id"), "doc_id")).mapInArrow(_statistics, "doc_id long, x array<double>")
+        parts = train.join(mark.hint("merge"), same).select("label", "x").mapInPandas(_moments, moments)
+    sums = parts.groupBy("k", "at").agg(F.sum("v").alias("v"))
     held = np.zeros((2, 1 + STATISTICS + STATISTICS**2))
     for k, at, v in sums.collect():  # 2 x (1 + d + d^2) rows
         held[k, at] = v

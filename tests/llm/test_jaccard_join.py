@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from quarterdeck.llm import jaccard_join
+from quarterdeck.llm import base, jaccard_join
 from quarterdeck.llm.jaccard_join import _leaders, level_bounds, most_apart, pack_tokens, set_tokens, shingle_groups, within_list
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -168,3 +168,13 @@ def test_linked_sets_share_a_token(percent):
             assert np.intersect1d(set_tokens(one, percent, bounds), set_tokens(other, percent, bounds)).size
             shared += 1
     assert shared > 300
+
+
+def test_a_few_texts_are_fetched_without_a_bitmap(make_docs, monkeypatch):
+    words = [f"w{i}" for i in range(80)]
+    rows = [(i, " ".join([*words[: 40 + i % 20], *words[60 - i % 7:]])) for i in range(60)] + [(i, f"other text {i} here") for i in range(60, 90)] + [(7, words[0])]
+    calls, bitmap = [], jaccard_join.bitmap
+    monkeypatch.setattr(jaccard_join, "bitmap", lambda *a: calls.append(a) or bitmap(*a))
+    assert run(make_docs(rows)) == brute(rows) and not calls
+    monkeypatch.setattr(base, "BROADCAST_KEYS", 0)
+    assert run(make_docs(rows)) == brute(rows) and calls

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
 import pytest
 
-from quarterdeck.llm import quality
+from quarterdeck.llm import base, quality
 from quarterdeck.llm.base import read
 
 
@@ -57,3 +58,23 @@ def test_statistics_do_not_depend_on_the_block(text):
     data = np.frombuffer(other + text + other, np.uint8)
     cuts = np.cumsum([0, len(other), len(text), len(other)])
     assert np.allclose(alone[0], quality.statistics(data, cuts)[1])
+
+
+def test_a_few_labels_are_learnt_in_one_python_step(spark, make_docs, monkeypatch):
+    rnd = np.random.default_rng(7)
+    docs = make_docs([(i, " ".join(rnd.choice(["a", "Bc", "d1", "e!", "\n"], 30 + i % 9))) for i in range(80)] + [(3, "again"), (None, "x"), (5, None)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 80, 2)] + [(i, int(i % 3 == 0)) for i in range(1, 60)] + [(None, 1)], "doc_id long, quality int")
+    plans, collect = [], type(docs).collect
+
+    def seen(frame):
+        plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        return collect(frame)
+
+    monkeypatch.setattr(type(docs), "collect", seen)
+    few = quality.fit(docs, labels)
+    assert len(re.findall("MapInArrow|MapInPandas|ArrowEvalPython", plans[-1])) == 1
+    monkeypatch.setattr(base, "BROADCAST_KEYS", 0)
+    many = quality.fit(docs, labels)
+    assert len(re.findall("MapInArrow|MapInPandas|ArrowEvalPython", plans[-1])) == 3
+    for name in ("means", "factors", "log_dets", "log_odds"):
+        assert np.allclose(getattr(few, name), getattr(many, name))
