@@ -301,6 +301,11 @@ TRANSACTIONAL_COLUMNS = [
     "discount_name",
 ]
 TRANSACTIONAL_STREAM_EXTRA = ["line_status", "source_sequence", "source_update_ts", "extraction_ts"]
+# Columns that the line-level table takes from each dimension; the plan's key comes first.
+UNIT_COLUMNS = ["country_code", "location_id", "unit_id", "unit_name"]
+PRODUCT_COLUMNS = ["product_id", "product_name", "product_category"]
+PLAN_KEY = ["business_date", "unit_id"]
+PLAN_COLUMNS = [*PLAN_KEY, "daily_budget_net_sales", "forecast_net_sales"]
 
 
 def transactional_from_silver(
@@ -322,12 +327,12 @@ def transactional_from_silver(
     sent along.
     """
     s = sales.drop(*NAMES_ON_LINES)
-    u = dim_unit.select("country_code", "location_id", "unit_id", "unit_name")
-    p = dim_product.select("product_id", "product_name", "product_category")
-    b = budget_forecast.select("business_date", "unit_id", "daily_budget_net_sales", "forecast_net_sales")
+    u = dim_unit.select(*UNIT_COLUMNS)
+    p = dim_product.select(*PRODUCT_COLUMNS)
+    b = budget_forecast.select(*PLAN_COLUMNS)
     joined = (
         s.join(p, "product_id", "left")
-        .join(b, ["business_date", "unit_id"], "left")
+        .join(b, PLAN_KEY, "left")
         .join(u, ["country_code", "location_id", "unit_id"], "left")
     )
     cols = TRANSACTIONAL_COLUMNS[:]

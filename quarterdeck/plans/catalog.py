@@ -107,8 +107,8 @@ def silver_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def silver_budget_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.daily_budget_forecast(A.daily_budget(spark, sf_dir), A.daily_forecast(spark, sf_dir))
+def silver_budget_forecast(spark: SparkSession, sf_dir: str, partitioned: bool = True) -> DataFrame:
+    return dims.daily_budget_forecast(A.daily_budget(spark, sf_dir), A.daily_forecast(spark, sf_dir), partitioned)
 
 
 def gold_discount_strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -395,7 +395,7 @@ def q_analytics_stream(spark, sf_dir):
     """Line-level analytics from a stream of sales lines, joined to the dimensions in the stream."""
     from quarterdeck.streaming.replay import replay_lines_to_analytics
 
-    dimensions = silver_dim_unit(spark, sf_dir), silver_dim_product(spark, sf_dir), silver_budget_forecast(spark, sf_dir)
+    dimensions = silver_dim_unit(spark, sf_dir), silver_dim_product(spark, sf_dir), silver_budget_forecast(spark, sf_dir, partitioned=False)
     return replay_lines_to_analytics(spark, bronze_sales(spark, sf_dir), dimensions, tiebreak=A.ADAPTER_TIEBREAK)
 
 

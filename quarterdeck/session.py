@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -87,16 +87,24 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 
 @contextmanager
-def shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
-    """Queries run inside remove their shuffle files when they end, not when the driver's garbage
-    collector finds them; the session's own setting comes back after."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Queries run inside have these session settings (``__`` stands for a dot); the session's own
+    come back after."""
+    names = {name: name.replace("__", ".") for name in values}
+    before = {names[name]: spark.conf.get(names[name], None) for name in values}
     try:
+        for name, value in values.items():
+            spark.conf.set(names[name], value)
         yield
     finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def shuffle_files_removed(spark: SparkSession) -> AbstractContextManager[None]:
+    """Queries run inside remove their shuffle files when they end, not when the driver's garbage
+    collector finds them."""
+    return settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true")
