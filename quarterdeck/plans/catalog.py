@@ -108,7 +108,7 @@ def silver_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_budget_forecast(spark: SparkSession, sf_dir: str, partitioned: bool = True) -> DataFrame:
-    return dims.daily_budget_forecast(A.daily_budget(spark, sf_dir), A.daily_forecast(spark, sf_dir), partitioned)
+    return dims.daily_budget_forecast(A.daily_budget(spark, sf_dir), A.daily_forecast(spark, sf_dir, partitioned), partitioned)
 
 
 def gold_discount_strategy(spark: SparkSession, sf_dir: str) -> DataFrame:

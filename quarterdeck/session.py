@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import SparkSession
@@ -87,14 +87,12 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 
 @contextmanager
-def settings(spark: SparkSession, **values: str) -> Iterator[None]:
-    """Queries run inside have these session settings (``__`` stands for a dot); the session's own
-    come back after."""
-    names = {name: name.replace("__", ".") for name in values}
-    before = {names[name]: spark.conf.get(names[name], None) for name in values}
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Queries run inside have these session settings; the session's own come back after."""
+    before = {name: spark.conf.get(name, None) for name in values}
     try:
         for name, value in values.items():
-            spark.conf.set(names[name], value)
+            spark.conf.set(name, value)
         yield
     finally:
         for name, value in before.items():
@@ -107,4 +105,4 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
 def shuffle_files_removed(spark: SparkSession) -> AbstractContextManager[None]:
     """Queries run inside remove their shuffle files when they end, not when the driver's garbage
     collector finds them."""
-    return settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true")
+    return settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})

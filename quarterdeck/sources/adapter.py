@@ -390,10 +390,17 @@ def daily_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shipped.select("business_date", "unit_id", _scaled("gross_c", BUDGET_FACTOR).alias("daily_budget_net_sales"))
 
 
-def daily_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily_forecast(spark: SparkSession, sf_dir: str, partitioned: bool = True) -> DataFrame:
     """Forecast: the shipped gross of a week before by a fixed factor, so either plan has
-    days that the other lacks."""
-    shipped = _daily_unit_gross_cents(spark, sf_dir, FORECAST_DAYS_AHEAD)
+    days that the other lacks.
+
+    Not ``partitioned``, the budget's sums are moved ahead: beside the budget they are not taken
+    from the lines a second time, but shuffled once more for a join by date and unit.
+    """
+    if partitioned:
+        shipped = _daily_unit_gross_cents(spark, sf_dir, FORECAST_DAYS_AHEAD)
+    else:
+        shipped = _daily_unit_gross_cents(spark, sf_dir).withColumn("business_date", F.date_add("business_date", FORECAST_DAYS_AHEAD))
     return shipped.select("business_date", "unit_id", _scaled("gross_c", FORECAST_FACTOR).alias("forecast_net_sales"))
 
 

@@ -20,24 +20,21 @@ from pyspark.sql.types import StructType
 from quarterdeck.operators import products
 from quarterdeck.operators.dedupe import dedupe_reposted_sales_lines
 from quarterdeck.operators.rules import apply_sales_business_rules
-from quarterdeck.schemas import DEDUP_KEYS
 from quarterdeck.session import scratch_path, settings, shuffle_files_removed
 from quarterdeck.sources.adapter import sent_along
 from quarterdeck.streaming.upsert import Scd1Upsert, delete_path, read_current
 
 REPLAY_BATCHES = 3
 
-# Settings of tables that a job writes for itself: nearly every value of theirs is different, so
-# dictionaries only cost time (a third of a write), and buckets of one file are read in their order.
-WRITTEN_AND_READ_ONCE = {
-    "parquet__enable__dictionary": "false",
-    "spark__sql__parquet__outputTimestampType": "TIMESTAMP_MICROS",
-    "spark__sql__legacy__bucketedTableScan__outputOrdering": "true",
+# Settings of tables that a job writes for itself: ids, times and amounts are nearly all different, so
+# dictionaries cost more time than they save space, and buckets of one file are read in their order.
+OWN_TABLES = {
+    "parquet.enable.dictionary": "false",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
 }
 # Columns that the business rules read beside those of the answer.
 RULE_COLUMNS = ["quantity", "is_priced_product", "is_kitchen_instruction"]
-# Sorting by the line's id first settles most comparisons at once; the groups are the same.
-FINEST_KEY_FIRST = DEDUP_KEYS[::-1]
 
 
 def replay_lines_to_analytics(
@@ -61,16 +58,16 @@ def replay_lines_to_analytics(
     root = scratch_path(spark, "analytics_replay")
     landing, log = f"{root}/landing", f"{root}/log"
     unit, product, plan = dimensions
-    with shuffle_files_removed(spark), settings(spark, **WRITTEN_AND_READ_ONCE):
+    with shuffle_files_removed(spark), settings(spark, OWN_TABLES):
         unit = _written(spark, unit.select(*products.UNIT_COLUMNS), f"{root}/dimensions/unit")
         product = _written(spark, product.select(*products.PRODUCT_COLUMNS), f"{root}/dimensions/product")
         lines.select(*_landed(lines, tiebreak)).write.option("compression", "zstd").parquet(landing)
         with _bucketed(spark, plan.select(*products.PLAN_COLUMNS), products.PLAN_KEY, f"{root}/dimensions/plan") as plan:
-            schema = _stream_lines(spark, root, (sent_along(unit), product, plan.hint("merge")), tiebreak, batches)
+            schema = _stream_lines(spark, root, (sent_along(unit), product, plan), tiebreak, batches)
     for done in (landing, f"{root}/dimensions"):
         delete_path(spark, done)
     versions = spark.read.schema(schema).parquet(log)
-    return dedupe_reposted_sales_lines(versions, FINEST_KEY_FIRST, tiebreak=tiebreak).drop(*_extra(tiebreak))
+    return dedupe_reposted_sales_lines(versions, tiebreak=tiebreak).drop(*_extra(tiebreak))
 
 
 def _extra(tiebreak: Sequence[str] | None) -> list[str]:
@@ -118,7 +115,7 @@ def _bucketed(spark: SparkSession, df: DataFrame, keys: Sequence[str], path: str
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = df.write.format("parquet").option("compression", "zstd").option("path", path)
     try:
-        with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
             writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
         yield spark.table(table)
     finally:

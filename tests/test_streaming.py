@@ -279,3 +279,79 @@ def test_replays_leave_neither_landing_nor_dimensions_and_restore_the_session(sp
     for run in set(glob.glob(f"{root}/quarterdeck/*_replay/*")) - known:
         assert not glob.glob(f"{run}/landing") and not glob.glob(f"{run}/dimensions")
     assert spark.conf.get(name, None) == before
+
+
+def test_a_plan_in_buckets_is_joined_as_it_lies(spark, tmp_dir):
+    import datetime as dt
+
+    from quarterdeck.session import settings
+    from quarterdeck.streaming import replay
+
+    day = lambda d: d and dt.date(2026, 1, d)
+    cells = [(1, "U1"), (1, "U2"), (2, "U1"), (2, "U1"), (None, "U1"), (3, None), *((4 + i % 20, f"U{i}") for i in range(200))]
+    plan = spark.createDataFrame([(day(d), u, float(i), None) for i, (d, u) in enumerate(cells)], "business_date date, unit_id string, daily_budget_net_sales double, forecast_net_sales double")
+    lines = spark.createDataFrame([(i, day(d), u) for i, (d, u) in enumerate([*cells[::2], (9, "U9999"), (None, None)])], "line int, business_date date, unit_id string")
+    name, table = "spark.sql.adaptive.coalescePartitions.enabled", lambda: [t.name for t in spark.catalog.listTables() if t.name.startswith("quarterdeck_replay")]
+    before = spark.conf.get(name)
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    keys = products.PLAN_KEY
+    want = sorted(lines.join(plan, keys, "left").collect(), key=str)
+    dealt = plan.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+    with settings(spark, off | replay.OWN_TABLES), replay._bucketed(spark, dealt, keys, f"{tmp_dir}/plan") as stored:
+        joined = lines.join(stored, keys, "left")
+        physical = joined._jdf.queryExecution().executedPlan().toString()
+        assert sorted(joined.collect(), key=str) == want and len(table()) == 1
+    # the lines are shuffled and sorted, the plan is not
+    assert "SortMergeJoin" in physical and physical.count("Exchange") == 1 and physical.count(" Sort ") == 1
+    assert not table() and spark.conf.get(name) == before and spark.read.parquet(f"{tmp_dir}/plan").count() == len(cells)
+
+
+def test_the_analytics_stream_shuffles_no_plan_and_lands_what_it_reads(spark, monkeypatch):
+    from quarterdeck.session import settings
+    from quarterdeck.streaming import replay
+
+    seen = {}
+
+    def stream(spark, root, dimensions, *rest):
+        seen["landed"] = set(spark.read.parquet(f"{root}/landing").columns)
+        lines = spark.read.parquet(f"{root}/landing")
+        seen["join"] = lines.join(dimensions[2], products.PLAN_KEY, "left")._jdf.queryExecution().executedPlan().toString()
+        return replayed(spark, root, dimensions, *rest)
+
+    replayed = replay._stream_lines
+    monkeypatch.setattr(replay, "_stream_lines", stream)
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        streamed = C.q_analytics_stream(spark, SMOKE_DIR)
+    assert seen["join"].count("Exchange") == 1 and seen["join"].count(" Sort ") == 1
+    assert {"source_file_name", "is_combo", "_source_ingestion_route"} & seen["landed"] == set()
+    want = products.transactional_from_silver(
+        C.silver_sales(spark, SMOKE_DIR), C.silver_dim_unit(spark, SMOKE_DIR), C.silver_dim_product(spark, SMOKE_DIR), C.silver_budget_forecast(spark, SMOKE_DIR), with_versions=True)
+    assert streamed.columns == want.columns and streamed.count() == want.count() and streamed.exceptAll(want).count() == 0
+
+
+def test_a_stored_plan_has_the_rows_of_the_partitioned_one(spark):
+    import datetime as dt
+
+    from quarterdeck.operators import dims
+
+    d = dt.date(2026, 1, 1)
+    budget = spark.createDataFrame([(d, "U1", 1.0), (d, "U1", 2.0), (d, "U2", 3.0), (None, "U1", 4.0), (d, None, 5.0), (d, "U4", None)], "business_date date, unit_id string, daily_budget_net_sales double")
+    forecast = spark.createDataFrame([(d, "U1", 6.0), (d, "U1", 7.0), (d, "U3", 8.0), (None, "U1", 9.0), (None, None, 10.0), (d, "U4", 11.0)], "business_date date, unit_id string, forecast_net_sales double")
+    both = [dims.daily_budget_forecast(budget, forecast, how).drop("_silver_refreshed_at") for how in (True, False)]
+    assert both[0].columns == both[1].columns and len(both[0].collect()) == 11
+    assert sorted(both[0].collect(), key=str) == sorted(both[1].collect(), key=str)
+
+
+def test_a_forecast_moved_ahead_has_the_rows_of_the_grouped_one(spark, tmp_dir):
+    import datetime as dt
+
+    day = lambda d: d and dt.datetime(2026, 1, d)
+    rows = [(day(1), 1, 1.25), (day(1), 1, 2.5), (day(8), 1, 3.0), (None, 1, 4.0), (None, 1, 5.0), (day(1), None, 6.0), (day(2), 2, None), (day(31), 2, 7.0)]
+    spark.createDataFrame(rows, "l_shipdate timestamp_ntz, l_suppkey long, l_extendedprice double").write.parquet(f"{tmp_dir}/lineitem.parquet")
+    grouped, moved = (A.daily_forecast(spark, tmp_dir, partitioned) for partitioned in (True, False))
+    assert grouped.columns == moved.columns and moved.count() == 6
+    assert sorted(grouped.collect(), key=str) == sorted(moved.collect(), key=str)
+    # the budget's shuffle of the lines serves the forecast as well
+    plans = [C.silver_budget_forecast(spark, tmp_dir, partitioned) for partitioned in (True, False)]
+    rows = [sorted(p.drop("_silver_refreshed_at").collect(), key=str) for p in plans]
+    assert rows[0] == rows[1] and plans[1].columns == plans[0].columns
